@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from martkit.functions.dates import month_start
 from martkit.functions.numbers import half_up
 from martkit.functions.text import _col
+from martkit.session import shared_root
 
 
 def period_series(
@@ -130,13 +131,14 @@ def peaks(
     """The ``count`` largest values whose positions differ by more than ``apart`` rows.
 
     Picking greedily by value is the same as taking the largest remaining row ``count`` times, each time
-    leaving out rows near earlier picks. One aggregation carries the picks: nothing is collected per series.
-    Equal values take the earlier position.
+    leaving out rows near earlier picks. Nothing is collected per series. The numbered series is read once
+    per pick, so it is frozen with a checkpoint first. Equal values take the earlier position.
     """
+    shared_root(df.sparkSession)
     keys = list(series) or ["_all"]
     placed = df if series else df.withColumn("_all", F.lit(0))
     w = Window.partitionBy(*keys).orderBy(order)
-    placed = placed.select(*keys, order, value, (F.row_number().over(w) - 1).alias("position"))
+    placed = placed.select(*keys, order, value, (F.row_number().over(w) - 1).alias("position")).checkpoint()
     best = F.max_by(F.struct(order, value, "position"), F.struct(F.col(value), -F.col("position")))
     remaining, picks = placed, None
     for _ in range(count):
