@@ -1,4 +1,8 @@
-"""Lenient conversions: a bad value becomes null, it never fails the job."""
+"""Lenient conversions: a bad value becomes null, it never fails the job.
+
+Texts are rewritten step by step to one plain form that a cast accepts. Every step mentions its input once, so
+the expression, and the code generated for it, stays small however many spellings are understood.
+"""
 
 from __future__ import annotations
 
@@ -9,39 +13,57 @@ from pyspark.sql import functions as F
 
 from martkit.functions.text import _col, _lookup, strip
 
-_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$"
-
 # Spreadsheets count days from this date.
 SERIAL_EPOCH = "1899-12-30"
 _SERIAL_MIN, _SERIAL_MAX = -693593, 2958465  # 0001-01-01 .. 9999-12-31
 
-# (pattern, group numbers of year, month, day), tried in this order
-_YEAR_FIRST = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
-_YEAR_FIRST_SLASH = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
-_SLASH = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
-_DASH = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
-_DASH_SHORT = r"^(\d{1,2})-(\d{1,2})-(\d{2})$"
-_SLASH_SHORT = r"^(\d{1,2})/(\d{1,2})/(\d{2})$"
-
-RECORD_FORMATS = ((_YEAR_FIRST, (1, 2, 3)), (_SLASH, (3, 2, 1)), (_SLASH, (3, 1, 2)), (_YEAR_FIRST_SLASH, (1, 2, 3)))
-LOCALE_FORMATS = (
-    (_YEAR_FIRST, (1, 2, 3)),
-    (_YEAR_FIRST_SLASH, (1, 2, 3)),
-    (_DASH, (3, 2, 1)),
-    (_SLASH, (3, 2, 1)),
-    (_DASH_SHORT, (3, 2, 1)),
-    (_SLASH_SHORT, (3, 2, 1)),
-)
-GUESS_FORMATS = ("d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d.M.yyyy", "yyyyMMdd")
-
 ERA_OFFSET = 543
 ERA_THRESHOLD = 2400
 
+_NUMBER = r"\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*"
+_PLAIN_DATE = r"(?!0000)\d{4}-\d{1,2}-\d{1,2}"
+
+# Rewrites to year-month-day.
+_YEAR_FIRST_SLASH = (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3")
+# The month-first reading of d/m/Y only applies where the second part cannot be a month.
+_MONTH_FIRST_SLASH = (r"^(0?[1-9]|1[0-2])/(1[3-9]|2\d|3[01])/(\d{4})$", "$3-$1-$2")
+_DAY_FIRST_SLASH = (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1")
+_DAY_FIRST_DASH = (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1")
+# Two-digit years: 69-99 are 19xx, 00-68 are 20xx.
+_SHORT_YEAR_19 = (r"^(\d{1,2})([-/])(\d{1,2})\2(69|[789]\d)$", "19$4-$3-$1")
+_SHORT_YEAR_20 = (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{2})$", "20$4-$3-$1")
+
+_RECORD_DATES = (_YEAR_FIRST_SLASH, _MONTH_FIRST_SLASH, _DAY_FIRST_SLASH)
+_NUMERIC_DATES = (_YEAR_FIRST_SLASH, _DAY_FIRST_DASH, _DAY_FIRST_SLASH, _SHORT_YEAR_19, _SHORT_YEAR_20)
+# Other forms become "~" year-month-day or day month-name year.
+_GUESSED_DATES = (
+    (r"^(\d{4}-\d{1,2}-\d{1,2})[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?Z?$", "~$1"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "~$1-$2-$3"),
+    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$", "~$3-$2-$1"),
+    (r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})$", "$2 $1 $3"),
+    (r"^(\d{1,2})-([A-Za-z]{3,9})-(\d{4})$", "$1 $2 $3"),
+)
+_NAMED_DATE = r"(?U)^(\d{1,2})\s+(\S+)\s+(\d{4})$"
+_ENGLISH_MONTHS = (
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
+)
+
+
+def _rewrite(text: Column, steps: Sequence[tuple[str, str]]) -> Column:
+    for pattern, replacement in steps:
+        text = F.regexp_replace(text, pattern, replacement)
+    return text
+
+
+def _only(text: Column, pattern: str) -> Column:
+    """The text when all of it matches, else an empty text, which no cast accepts."""
+    return F.regexp_replace(text, rf"(?s)^(?!{pattern}$).*$", "")
+
 
 def lenient_double(c: Column | str) -> Column:
     """The pattern keeps out texts such as ``5d`` that the JVM would read as numbers."""
-    text = _col(c).cast("string")
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return _only(_col(c).cast("string"), _NUMBER).try_cast("double")
 
 
 def lenient_long(c: Column | str) -> Column:
@@ -58,21 +80,6 @@ def serial_date(c: Column | str) -> Column:
     )
 
 
-def _compose_date(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month, day).try_cast("date")
-
-
-def _pattern_date(text: Column, pattern: str, groups: tuple[int, int, int], convert_era: bool = False) -> Column:
-    year, month, day = (F.regexp_extract(text, pattern, g) for g in groups)
-    number = year.try_cast("int")
-    two_digits = F.length(year) == 2
-    # two-digit years: 69-99 are 19xx, 00-68 are 20xx
-    number = F.when(two_digits, number + F.when(number >= 69, 1900).otherwise(2000)).otherwise(number)
-    if convert_era:
-        number = F.when(number > ERA_THRESHOLD, number - ERA_OFFSET).otherwise(number)
-    return F.when(text.rlike(pattern) & (number > 0), _compose_date(number, month, day))
-
-
 def lenient_date(c: Column | str, serial_numbers: bool = False) -> Column:
     """``Y-m-d``, ``d/m/Y``, ``m/d/Y``, ``Y/m/d`` in that order, else null.
 
@@ -80,17 +87,14 @@ def lenient_date(c: Column | str, serial_numbers: bool = False) -> Column:
     form cannot. With ``serial_numbers`` a bare number is a spreadsheet day number.
     """
     text = strip(_col(c).cast("string"))
-    tries = [_pattern_date(text, p, g) for p, g in RECORD_FORMATS]
-    if serial_numbers:
-        tries.append(serial_date(text))
-    return F.coalesce(*tries)
+    written = _only(_rewrite(text, _RECORD_DATES), _PLAIN_DATE).try_cast("date")
+    return F.coalesce(written, serial_date(text)) if serial_numbers else written
 
 
 def iso_utc_timestamp(c: Column | str) -> Column:
     """``YYYY-MM-DDTHH:MM:SS[.ffffff]Z`` to a zone-less UTC timestamp, independent of the session zone."""
-    text = _col(c)
-    shape = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?Z$"
-    return F.when(text.rlike(shape), F.regexp_replace(text, "Z$", "").try_cast("timestamp_ntz"))
+    shape = r"\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?Z"
+    return F.regexp_replace(_only(_col(c), shape), "Z$", "").try_cast("timestamp_ntz")
 
 
 def local_wall_time(c: Column | str, zone: str = "Asia/Bangkok") -> Column:
@@ -98,38 +102,40 @@ def local_wall_time(c: Column | str, zone: str = "Asia/Bangkok") -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(c).cast("timestamp_ntz"))
 
 
-def locale_date(
-    c: Column | str, month_numbers: Mapping[str, int], convert_era: bool = True
-) -> Column:
+def locale_date(c: Column | str, month_numbers: Mapping[str, int], convert_era: bool = True) -> Column:
     """Numeric dates, then ``D <month name> YYYY`` in the given language, then common English forms.
 
     Named months and the last path always bring a Buddhist year (above 2400) back by 543. With
     ``convert_era`` numeric dates get the same treatment; without it ``24/08/2569`` stays in year 2569.
     """
-    text = strip(_col(c).cast("string"))
-    numeric = [_pattern_date(text, p, g, convert_era) for p, g in LOCALE_FORMATS]
+    names = {name.lower(): str(n) for name, n in month_numbers.items()}
+    names |= {full: str(i) for i, full in enumerate(_ENGLISH_MONTHS, 1)}
+    names |= {full[:3]: str(i) for i, full in enumerate(_ENGLISH_MONTHS, 1)}
 
-    named = r"(?U)^(\d{1,2})\s+(\S+)\s+(\d{4})$"
-    month = _lookup(F.regexp_extract(text, named, 2), {k: str(v) for k, v in month_numbers.items()})
-    by_name = _pattern_date(
-        F.concat_ws("/", F.regexp_extract(text, named, 1), month, F.regexp_extract(text, named, 3)),
-        _SLASH, (3, 2, 1), convert_era=True,
-    )
+    text = _rewrite(strip(_col(c).cast("string")), (*_NUMERIC_DATES, *_GUESSED_DATES))
+    month = _lookup(F.lower(F.regexp_extract(text, _NAMED_DATE, 2)), names)
+    named = F.concat(F.lit("~$3-"), F.coalesce(month, F.lit("0")), F.lit("-$1"))
+    text = _only(F.regexp_replace(text, F.lit(_NAMED_DATE), named), f"~?{_PLAIN_DATE}")
 
-    stamp = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}"
-    guessed = F.coalesce(
-        *[F.try_to_date(text, f) for f in GUESS_FORMATS],
-        F.when(text.rlike(stamp), text.try_cast("timestamp_ntz").cast("date")),
-    )
-    guessed = F.when(F.year(guessed) > ERA_THRESHOLD, F.add_months(guessed, -12 * ERA_OFFSET)).otherwise(guessed)
-    # a named month with an impossible day is null, it does not reach the guesses
-    return F.coalesce(*numeric, F.when(month.isNotNull(), by_name).otherwise(guessed))
+    plain = F.ltrim(text, F.lit("~"))
+    year = F.substring(plain, 1, 4).try_cast("int")
+    shifted = (year > ERA_THRESHOLD) if convert_era else (year > ERA_THRESHOLD) & text.startswith("~")
+    year = year - shifted.cast("int") * ERA_OFFSET
+    # the year is moved before the date is built: 29 February of an era year need not be one of that number
+    return F.concat(F.lpad(year.cast("string"), 4, "0"), F.substring(plain, 5, 6)).try_cast("date")
 
 
 def number_in_range(
     c: Column | str, low: float, high: float, null_tokens: Sequence[str] = ("", "-", "nan", "none", "null")
 ) -> Column:
-    """First number in the text once commas are dropped, kept only within ``[low, high]``."""
+    """First number in the text once commas are dropped, kept only within ``[low, high]``.
+
+    The null tokens hold no digits, so they fall out with every other text without a number; a token that
+    does is matched as a whole text.
+    """
     text = F.replace(strip(_col(c).cast("string")), F.lit(","), F.lit(""))
+    tokens = [t for t in null_tokens if any(ch.isdigit() for ch in t)]
+    if tokens:
+        text = F.when(~F.lower(text).isin(*tokens), text)
     number = F.regexp_extract(text, r"\d+(?:\.\d+)?", 0).try_cast("double")
-    return F.when(~F.lower(text).isin(*null_tokens) & number.between(low, high), number)
+    return F.when(number.between(low, high), number)

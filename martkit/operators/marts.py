@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from martkit.functions.bands import Bands
 
 
+def n_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def count_by(df: DataFrame, keys: Sequence[str | Column] | str, name: str = "n") -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.groupBy(*keys).agg(n_rows().alias(name))
 
 
 def rollup_by(df: DataFrame, keys: Sequence[str | Column], measures: Mapping[str, Column]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Star-schema queries: measures over a fact and its dimensions.
 
-A visual is measures x grouping x slicer x order. Only the dimensions it names are joined. The fact is first
-rolled up to the join keys it needs, so a join moves groups, not fact rows. Dimensions carry no broadcast
-hint: the planner broadcasts them while their measured size allows.
+A visual is measures x grouping x slicer x order. Only the dimensions it names are joined, to a fact that is
+itself a roll-up of the raw rows. Dimensions carry no broadcast hint: the planner broadcasts them while their
+measured size allows, and beyond that joins by shuffle, splitting skewed keys at run time.
 """
 
 from __future__ import annotations
