@@ -9,10 +9,11 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit import labels
+from martkit.functions.numbers import round_half_up
 from martkit.functions.text import _col
 from martkit.operators.quality import QualityError, require_rows
 from martkit.operators.ranking import latest_where
@@ -56,6 +57,17 @@ def is_promoted(candidate: Column | float, champion: Column) -> Column:
     return champion.isNull() | (error < champion)
 
 
+def replay_promotions(log: DataFrame, model: str = "model_name", error: str = "rmse", at: str = "run_at") -> DataFrame:
+    """Which runs of a metric log were promoted, had each met the champion of its time.
+
+    A champion is only replaced by a strictly lower error, so a run is promoted when its error is below every
+    earlier one. A log has one row per run and model.
+    """
+    earlier = Window.partitionBy(model).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    champion = F.min(error).over(earlier)
+    return log.withColumn("champion_rmse", champion).withColumn("deployed", is_promoted(F.col(error), F.col("champion_rmse")))
+
+
 def promote(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -82,14 +94,18 @@ def with_lag_mean(requests: DataFrame) -> DataFrame:
 def score(model: PipelineModel, requests: DataFrame, unit: str = labels.PRICE_UNIT, model_time=None) -> DataFrame:
     """Forecast floored at zero and rounded to 2 digits, its change against the last price and direction."""
     scored = model.transform(with_lag_mean(requests)).drop("features")
-    forecast = F.round(F.greatest(F.lit(0.0), F.col("prediction")), 2)
-    out = scored.withColumn("forecast", forecast).drop("prediction")
+    out = scored.withColumn("forecast", floored_forecast("prediction")).drop("prediction")
     return forecast_change(out.withColumn("unit", F.lit(unit)).withColumn("model_time", F.lit(model_time).cast("string")))
 
 
+def floored_forecast(prediction: Column | str) -> Column:
+    """Never below zero, two digits."""
+    return round_half_up(F.greatest(F.lit(0.0), _col(prediction)), 2).cast("double")
+
+
 def forecast_change(df: DataFrame, forecast: str = "forecast", last: str = "lag_1") -> DataFrame:
     delta = F.col(forecast) - F.col(last)
-    return df.withColumn("delta", F.round(delta, 2)).withColumn("direction", F.when(delta >= 0, "up").otherwise("down"))
+    return df.withColumn("delta", round_half_up(delta, 2).cast("double")).withColumn("direction", F.when(delta >= 0, "up").otherwise("down"))
 
 
 def split_by_key(df: DataFrame, key: str, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -39,18 +39,17 @@ def _with_month(df: DataFrame, at: str) -> DataFrame:
 def _stage(df: DataFrame, label: str) -> DataFrame:
     """Write to scratch and read back: cuts lineage to the table about to change.
 
-    Rows are spread by month plus the rest of the row, so one hot month is written by many tasks, each
-    month's rows in at most as many files as there are shuffle partitions.
+    Rebalancing by month keeps the file count down; a month with very many rows is still split over tasks.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.partitionBy(MONTH).parquet(path)
+    df.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def _replace_months(staged: DataFrame, path: str, months: Sequence[str]) -> None:
     """Give each listed month exactly the staged rows, clearing months that have none."""
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    staged.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
     filled = {r[MONTH] for r in staged.select(MONTH).distinct().collect()}  # at most the listed months
     spark = staged.sparkSession
     empty = spark.createDataFrame([], staged.drop(MONTH).schema)
@@ -140,8 +139,10 @@ def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Se
     scratch = scratch_path(spark, "insert")
     absent_keys(fresh, table, keys).write.parquet(scratch)
     new = spark.read.schema(fresh.schema).parquet(scratch)
-    writer = new.write.mode("append")
-    (writer.partitionBy(MONTH) if at else writer).parquet(path)
+    if at:
+        new.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
+    else:
+        new.write.mode("append").parquet(path)
     return new.count()
 
 
