@@ -73,8 +73,7 @@ def canonical_label(t):
     WITH c AS ({_CANONICAL}), s AS ({_SPELLINGS})
     SELECT c_custkey, segment_label AS segment FROM s JOIN c ON lower(segment) = segment_key""")
 def canonical_applied(t):
-    rows = spelled_segments(t)
-    return dedupe.apply_canonical(rows, dedupe.canonical_labels(rows, "segment"), "segment")
+    return dedupe.apply_canonical(spelled_segments(t), "segment")
 
 
 @query("first_in_feed", """

@@ -6,12 +6,12 @@ the expression, and the code generated for it, stays small however many spelling
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from martkit.functions.text import _col, _lookup, strip
+from martkit.functions.text import WHITE, _col, _lookup, strip
 
 # Spreadsheets count days from this date.
 SERIAL_EPOCH = "1899-12-30"
@@ -23,27 +23,31 @@ ERA_THRESHOLD = 2400
 _NUMBER = r"\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*"
 _PLAIN_DATE = r"(?!0000)\d{4}-\d{1,2}-\d{1,2}"
 
-# Rewrites to year-month-day.
-_YEAR_FIRST_SLASH = (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3")
-# The month-first reading of d/m/Y only applies where the second part cannot be a month.
-_MONTH_FIRST_SLASH = (r"^(0?[1-9]|1[0-2])/(1[3-9]|2\d|3[01])/(\d{4})$", "$3-$1-$2")
-_DAY_FIRST_SLASH = (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1")
-_DAY_FIRST_DASH = (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1")
+# Rewrites to year-month-day. Alternatives of one pattern fill different groups; the empty ones vanish.
+_YEAR_FIRST = r"(\d{4})([-/])(\d{1,2})\2(\d{1,2})"
+_DAY_FIRST = r"(\d{1,2})([-/])(\d{1,2})\6(\d{4})"
+_FOUR_DIGIT_YEAR = (rf"^(?:{_YEAR_FIRST}|{_DAY_FIRST})$", "$1$8-$3$7-$4$5")
 # Two-digit years: 69-99 are 19xx, 00-68 are 20xx.
 _SHORT_YEAR_19 = (r"^(\d{1,2})([-/])(\d{1,2})\2(69|[789]\d)$", "19$4-$3-$1")
 _SHORT_YEAR_20 = (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{2})$", "20$4-$3-$1")
-
-_RECORD_DATES = (_YEAR_FIRST_SLASH, _MONTH_FIRST_SLASH, _DAY_FIRST_SLASH)
-_NUMERIC_DATES = (_YEAR_FIRST_SLASH, _DAY_FIRST_DASH, _DAY_FIRST_SLASH, _SHORT_YEAR_19, _SHORT_YEAR_20)
+_NUMERIC_DATES = (_FOUR_DIGIT_YEAR, _SHORT_YEAR_19, _SHORT_YEAR_20)
+# Record files write d/m/Y with slashes only. Its month-first reading applies where the second part is no month.
+_MONTH_FIRST = r"(0?[1-9]|1[0-2])/(1[3-9]|2\d|3[01])/(\d{4})"
+_RECORD_DATES = (
+    (rf"^(?:{_YEAR_FIRST}|{_MONTH_FIRST}|(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}))$", "$1$7$10-$3$5$9-$4$6$8"),
+)
 # Other forms become "~" year-month-day or day month-name year.
+_STAMP = r"(\d{4})-(\d{1,2})-(\d{1,2})[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?Z?"
+_COMPACT = r"(\d{4})(\d{2})(\d{2})"
+_DOTTED = r"(\d{1,2})\.(\d{1,2})\.(\d{4})"
 _GUESSED_DATES = (
-    (r"^(\d{4}-\d{1,2}-\d{1,2})[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?Z?$", "~$1"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "~$1-$2-$3"),
-    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$", "~$3-$2-$1"),
-    (r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})$", "$2 $1 $3"),
-    (r"^(\d{1,2})-([A-Za-z]{3,9})-(\d{4})$", "$1 $2 $3"),
+    (rf"^(?:{_STAMP}|{_COMPACT}|{_DOTTED})$", "~$1$4$9-$2$5$8-$3$6$7"),
+    (
+        r"^(?:([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})|(\d{1,2})-([A-Za-z]{3,9})-(\d{4}))$",
+        "$2$4 $1$5 $3$6",
+    ),
 )
-_NAMED_DATE = r"(?U)^(\d{1,2})\s+(\S+)\s+(\d{4})$"
+_NAMED_DATE = rf"^(\d{{1,2}})[{WHITE}]+([^{WHITE}]+)[{WHITE}]+(\d{{4}})$"
 _ENGLISH_MONTHS = (
     "january", "february", "march", "april", "may", "june",
     "july", "august", "september", "october", "november", "december",
@@ -56,6 +60,11 @@ def _rewrite(text: Column, steps: Sequence[tuple[str, str]]) -> Column:
     return text
 
 
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it mentions several times but that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _only(text: Column, pattern: str) -> Column:
     """The text when all of it matches, else an empty text, which no cast accepts."""
     return F.regexp_replace(text, rf"(?s)^(?!{pattern}$).*$", "")
@@ -112,17 +121,21 @@ def locale_date(c: Column | str, month_numbers: Mapping[str, int], convert_era:
     names |= {full: str(i) for i, full in enumerate(_ENGLISH_MONTHS, 1)}
     names |= {full[:3]: str(i) for i, full in enumerate(_ENGLISH_MONTHS, 1)}
 
-    text = _rewrite(strip(_col(c).cast("string")), (*_NUMERIC_DATES, *_GUESSED_DATES))
-    month = _lookup(F.lower(F.regexp_extract(text, _NAMED_DATE, 2)), names)
-    named = F.concat(F.lit("~$3-"), F.coalesce(month, F.lit("0")), F.lit("-$1"))
-    text = _only(F.regexp_replace(text, F.lit(_NAMED_DATE), named), f"~?{_PLAIN_DATE}")
+    def spell_month(text: Column) -> Column:
+        month = _lookup(F.lower(F.regexp_extract(text, _NAMED_DATE, 2)), names)
+        named = F.concat(F.lit("~$3-"), F.coalesce(month, F.lit("0")), F.lit("-$1"))
+        return _only(F.regexp_replace(text, F.lit(_NAMED_DATE), named), f"~?{_PLAIN_DATE}")
+
+    def to_common_era(text: Column) -> Column:
+        # the year is moved before the date is built: 29 February of an era year need not be one of that number
+        plain = F.ltrim(text, F.lit("~"))
+        year = F.substring(plain, 1, 4).try_cast("int")
+        shifted = (year > ERA_THRESHOLD) if convert_era else (year > ERA_THRESHOLD) & text.startswith("~")
+        year = year - shifted.cast("int") * ERA_OFFSET
+        return F.concat(F.lpad(year.cast("string"), 4, "0"), F.substring(plain, 5, 6)).try_cast("date")
 
-    plain = F.ltrim(text, F.lit("~"))
-    year = F.substring(plain, 1, 4).try_cast("int")
-    shifted = (year > ERA_THRESHOLD) if convert_era else (year > ERA_THRESHOLD) & text.startswith("~")
-    year = year - shifted.cast("int") * ERA_OFFSET
-    # the year is moved before the date is built: 29 February of an era year need not be one of that number
-    return F.concat(F.lpad(year.cast("string"), 4, "0"), F.substring(plain, 5, 6)).try_cast("date")
+    text = _rewrite(strip(_col(c).cast("string")), (*_NUMERIC_DATES, *_GUESSED_DATES))
+    return _with(_with(text, spell_month), to_common_era)
 
 
 def number_in_range(
@@ -133,9 +146,9 @@ def number_in_range(
     The null tokens hold no digits, so they fall out with every other text without a number; a token that
     does is matched as a whole text.
     """
-    text = F.replace(strip(_col(c).cast("string")), F.lit(","), F.lit(""))
+    text = F.replace(_col(c).cast("string"), F.lit(","), F.lit(""))
     tokens = [t for t in null_tokens if any(ch.isdigit() for ch in t)]
     if tokens:
-        text = F.when(~F.lower(text).isin(*tokens), text)
+        text = F.when(~F.lower(strip(text)).isin(*tokens), text)
     number = F.regexp_extract(text, r"\d+(?:\.\d+)?", 0).try_cast("double")
     return F.when(number.between(low, high), number)

@@ -8,9 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spark's \s is ASCII-only; (?U) also covers no-break and wide spaces.
-_SPACES = r"(?U)\s+"
-_OUTER_SPACES = r"(?U)^\s+|\s+$"
+# All Unicode white space; the \s of a JVM pattern is ASCII-only.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_SPACES = f"[{WHITE}]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -36,7 +36,7 @@ def header_key(name: str | None) -> str:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), _OUTER_SPACES, "")
+    return F.btrim(_col(c), F.lit(WHITE))
 
 
 def strip_or_null(c: Column | str) -> Column:

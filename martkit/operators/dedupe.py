@@ -53,18 +53,18 @@ def canonical_labels(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def apply_canonical(df: DataFrame, canonical: DataFrame, label: str) -> DataFrame:
-    """Overwrite ``label`` with its canonical spelling.
+def apply_canonical(df: DataFrame, label: str) -> DataFrame:
+    """Overwrite ``label`` with its most frequent spelling, as ``canonical_labels`` picks it.
 
-    Only spellings that differ from the canonical one can change, so the lookup is cut down to those
-    before the join. No broadcast hint: the lookup grows with the number of labels, and the planner
-    broadcasts it when its measured size allows, else joins by shuffle with skew splitting.
+    The join only carries spellings that change. No broadcast hint: the lookup grows with the number of
+    labels, and the planner broadcasts it when its measured size allows, else joins by shuffle with skew
+    splitting. A window group holds the spellings of one label.
     """
-    spellings = df.select(F.col(label).alias("_spelling")).distinct()
+    counts = df.groupBy(F.col(label).alias("_spelling")).agg(F.count(F.lit(1)).alias("n"))
+    best = Window.partitionBy(F.lower("_spelling")).orderBy(F.desc("n"), F.asc("_spelling"))
     changed = (
-        spellings.join(canonical, F.lower("_spelling") == F.col(f"{label}_key"))
-        .where(F.col("_spelling") != F.col(f"{label}_label"))
-        .select("_spelling", F.col(f"{label}_label").alias("_canonical"))
+        counts.select("_spelling", F.first("_spelling").over(best).alias("_canonical"))
+        .where(F.col("_spelling") != F.col("_canonical"))
     )
     return (
         df.join(changed, F.col(label) == F.col("_spelling"), "left")

@@ -12,7 +12,7 @@ from martkit.functions.dates import month_start
 from martkit.functions.numbers import at_least, fixed_mean
 from martkit.functions.text import aliased_segment
 from martkit.operators.calendar import entity_dimension, month_dimension
-from martkit.operators.dedupe import apply_canonical, canonical_labels
+from martkit.operators.dedupe import apply_canonical
 from martkit.operators.marts import count_bands, rollup_by, summarise
 from martkit.operators.quality import Gate, RowRule, off_globe, out_of_range
 from martkit.operators.ranking import top_n
@@ -43,7 +43,7 @@ def enrich_events(events: DataFrame, kind: str = "earthquake") -> DataFrame:
 
 
 def with_canonical_regions(enriched: DataFrame) -> DataFrame:
-    return apply_canonical(enriched, canonical_labels(enriched, "region"), "region")
+    return apply_canonical(enriched, "region")
 
 
 def _magnitude_mean():

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import month_start
@@ -36,21 +36,27 @@ def _with_month(df: DataFrame, at: str) -> DataFrame:
     return df.withColumn(MONTH, F.date_format(month_start(at), "yyyy-MM"))
 
 
-def _stage(df: DataFrame, label: str) -> DataFrame:
-    """Write to scratch and read back: cuts lineage to the table about to change.
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write to scratch and read back: worked out once, and without lineage to the table about to change."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Rebalancing by month keeps the file count down; a month with very many rows is still split over tasks.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def _months(df: DataFrame) -> set[str]:
+    """Months present; one row per month comes to the driver."""
+    return {r[MONTH] for r in df.select(MONTH).distinct().collect()}
 
 
-def _replace_months(staged: DataFrame, path: str, months: Sequence[str]) -> None:
-    """Give each listed month exactly the staged rows, clearing months that have none."""
-    staged.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
-    filled = {r[MONTH] for r in staged.select(MONTH).distinct().collect()}  # at most the listed months
+def _replace_months(staged: DataFrame, path: str, filled: set[str], months: Sequence[str], seen: Observation | None = None, *metrics) -> None:
+    """Give each listed month exactly the staged rows, clearing those that are not ``filled``.
+
+    Rebalancing by month keeps the file count down; a month with very many rows is still split over tasks.
+    """
+    spread = staged.hint("rebalance", MONTH)
+    if seen:
+        spread = spread.observe(seen, *metrics)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
     spark = staged.sparkSession
     empty = spark.createDataFrame([], staged.drop(MONTH).schema)
     for month in sorted(set(months) - filled):
@@ -88,8 +94,12 @@ def absent_keys(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> D
     The stored table may be huge and the batch small, so the table is first cut to the keys of the batch: with
     a batch under the broadcast bound that is a map-only pass over its key columns, without shuffling it.
     """
-    conflicts = existing.select(*keys).join(batch.select(*keys), list(keys), "left_semi").distinct()
-    return batch.join(conflicts, list(keys), "left_anti")
+    return batch.join(_clashing(batch, existing, keys), list(keys), "left_anti")
+
+
+def _clashing(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the batch found in the table."""
+    return existing.select(*keys).join(batch.select(*keys), list(keys), "left_semi").distinct()
 
 
 def replace_window(
@@ -104,29 +114,28 @@ def replace_window(
     """Delete ``[start, end)`` and insert the batch; keys present elsewhere in the table are ignored.
 
     Within the batch the first row per key by ``order`` is kept. An empty batch clears the window. Rows of
-    the touched months outside the window are kept. Reports attempted and kept rows.
+    the touched months outside the window are kept. Reports distinct keys of the batch and stored rows.
     """
     spark = batch.sparkSession
     lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     months = months_between(start, end)
-    inside = (F.col(at) >= lo) & (F.col(at) < hi)
 
-    fresh = _with_month(keep_first(batch, keys, order).drop(*order), at)
-    table = read_months(spark, path, fresh.schema)
-    # month bounds prune partitions; rows outside the window are what the table keeps
-    kept = table.where(~inside)
-    survivors = kept.where(F.col(MONTH).isin(*months))
-    accepted = absent_keys(fresh, kept, keys)
-    touched = _stage(survivors.unionByName(accepted.select(*survivors.columns)), "window")
-    # a batch may hold rows outside its window: they land in their own months, next to what is there
-    stray = [r[MONTH] for r in touched.select(MONTH).distinct().collect() if r[MONTH] not in months]
-    if stray:
-        rest = kept.where(F.col(MONTH).isin(*stray))
-        touched = _stage(touched.unionByName(rest), "window-stray")
-    attempted = batch.count()
-    _replace_months(touched, path, months)
-    stored = spark.read.schema(fresh.schema).parquet(path)
-    return {"attempted": attempted, "in_window": stored.where(inside & F.col(MONTH).isin(*months)).count()}
+    fresh = stage(_with_month(keep_first(batch, keys, order).drop(*order), at), "window-batch")
+    first_load = not _exists(spark, path)
+    kept = read_months(spark, path, fresh.schema).where((F.col(at) < lo) | (F.col(at) >= hi))
+    # a batch may hold rows outside its window: their months are rewritten too
+    touched = sorted(set(months) | _months(fresh))
+    inside = (F.col(at) >= lo) & (F.col(at) < hi)
+    accepted, filled = fresh, set(touched)
+    if not first_load:
+        # what the rewrite needs from the table is staged: clashing keys, and rows of touched months to be kept
+        accepted = fresh.join(stage(_clashing(fresh, kept, keys), "window-clash"), list(keys), "left_anti")
+        survivors = stage(kept.where(F.col(MONTH).isin(*touched)), "window-kept")
+        accepted = accepted.unionByName(survivors)
+        filled = _months(accepted)
+    written = Observation()
+    _replace_months(accepted, path, filled, touched, written, F.count_if(inside).alias("rows"))
+    return {"distinct": fresh.count(), "in_window": written.get["rows"]}
 
 
 def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), at: str | None = None) -> int:
@@ -135,10 +144,10 @@ def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Se
     fresh = keep_first(batch, keys, order)
     if at:
         fresh = _with_month(fresh, at)
-    table = read_months(spark, path, fresh.schema)
-    scratch = scratch_path(spark, "insert")
-    absent_keys(fresh, table, keys).write.parquet(scratch)
-    new = spark.read.schema(fresh.schema).parquet(scratch)
+    if _exists(spark, path):
+        fresh = stage(fresh, "insert-batch")
+        fresh = absent_keys(fresh, spark.read.schema(fresh.schema).parquet(path), keys)
+    new = stage(fresh, "insert")
     if at:
         new.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
     else:
@@ -157,8 +166,10 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], at: str, version: s
     spark = batch.sparkSession
     fresh = batch if version in batch.columns else batch.withColumn(version, F.current_timestamp())
     fresh = _with_month(keep_last(fresh, keys, [version]), at)
-    fresh = _stage(fresh, "upsert-batch")
-    months = [r[MONTH] for r in fresh.select(MONTH).distinct().collect()]  # months of one batch
-    table = read_months(spark, path, fresh.schema).where(F.col(MONTH).isin(*months))
-    untouched = table.join(fresh.select(*keys), list(keys), "left_anti")
-    _replace_months(_stage(untouched.unionByName(fresh), "upsert"), path, months)
+    fresh = stage(fresh, "upsert-batch")
+    months = _months(fresh)
+    if _exists(spark, path):
+        table = spark.read.schema(fresh.schema).parquet(path).where(F.col(MONTH).isin(*months))
+        untouched = stage(table.join(fresh.select(*keys), list(keys), "left_anti"), "upsert-kept")
+        fresh = untouched.unionByName(fresh)
+    _replace_months(fresh, path, months, sorted(months))

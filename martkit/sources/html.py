@@ -18,6 +18,7 @@ from martkit.functions.text import _col, squash, squeeze
 _TABLE = r"(?is)<table\b[^>]*>(.*?)</table\s*>"
 _ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|$)"
 _CELL = r"(?is)<t[hd]\b[^>]*>(.*?)(?=</t[hd]\s*>|<t[hd]\b|$)"
+_HEADING = r"(?is)<th\b[^>]*>(.*?)(?=</th\s*>|<t[hd]\b|$)"
 _TAG = r"(?s)<[^>]*>"
 _HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
 _ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
@@ -46,15 +47,17 @@ def element_texts(html: Column | str, tag: str) -> Column:
     return F.transform(_all(visible(html), pattern), plain_text)
 
 
-def table_rows(html: Column | str) -> Column:
-    """Array of tables, each an array of rows, each an array of cell texts."""
-    def cells(row: Column) -> Column:
-        return F.transform(_all(row, _CELL), plain_text)
+def page_tables(html: Column | str) -> Column:
+    """Array of (header, rows): the heading cells of the first row, and the cell texts of all rows."""
+    def cells(pattern: str):
+        return lambda row: F.transform(_all(row, pattern), plain_text)
 
-    def rows(table: Column) -> Column:
-        return F.filter(F.transform(_all(table, _ROW), cells), lambda r: F.size(r) > 0)
+    def table(source: Column) -> Column:
+        rows = F.transform(_all(source, _ROW), cells(_CELL))
+        first = F.coalesce(F.get(_all(source, _ROW), F.lit(0)), F.lit(""))
+        return F.struct(cells(_HEADING)(first).alias("header"), F.filter(rows, lambda r: F.size(r) > 0).alias("rows"))
 
-    return F.transform(_all(visible(html), _TABLE), rows)
+    return F.transform(_all(visible(html), _TABLE), table)
 
 
 def extract_prices(
@@ -68,36 +71,43 @@ def extract_prices(
     Per table: the column whose squashed header holds ``key``, else the second column when the first one has
     at least two dates. A page without any record that way gives every two-cell row that starts with a date.
     """
-    def dated(c: Column) -> Column:
-        return locale_date(c, labels.MONTH_NUMBERS)
-
     low, high = price_range
-    base = pages.withColumn("_tables", table_rows(html))
+
+    def price(cell: Column) -> Column:
+        return number_in_range(cell, low, high)
+
+    def named_column(header: Column) -> Column:
+        return F.array_position(F.transform(header, lambda h: squash(h).contains(key)), True).cast("int")
+
+    def dated_rows(rows: Column) -> Column:
+        return F.filter(
+            F.transform(rows, lambda cells, i: F.struct(
+                i.alias("row_no"), locale_date(F.get(cells, F.lit(0)), labels.MONTH_NUMBERS).alias("date"), cells.alias("cells")
+            )),
+            lambda r: r["date"].isNotNull() & (F.size(r["cells"]) >= 2),
+        )
+
+    def records(table: Column, table_no: Column) -> Column:
+        def record(row: Column) -> Column:
+            second = price(F.get(row["cells"], F.lit(1)))
+            by_name = price(F.get(row["cells"], table["named_at"] - 1))
+            primary = F.when(table["named_at"] > 0, by_name).when(F.size(table["rows"]) >= 2, second)
+            return F.struct(
+                table_no.alias("table_no"), row["row_no"].alias("row_no"), row["date"].alias("date"),
+                primary.alias("primary"), second.alias("second"),
+            )
+
+        return F.transform(table["rows"], record)
+
     others = [c for c in pages.columns if c != html]
-    tables = base.select(*others, F.posexplode("_tables").alias("table_no", "rows")).where(F.size("rows") > 0)
-    header = F.col("rows")[0]
-    named = F.array_position(F.transform(header, lambda h: squash(h).contains(key)), True).cast("int")
-    tables = tables.withColumn("named_at", named).withColumn(
-        "date_hits", F.size(F.filter("rows", lambda r: dated(F.get(r, F.lit(0))).isNotNull()))
-    )
-    rows = tables.select(
-        *others, "table_no", "named_at", "date_hits", F.posexplode("rows").alias("row_no", "cells")
-    ).where(F.size("cells") >= 2)
-    rows = rows.select(
-        *others, "table_no", "row_no", "named_at", "date_hits",
-        dated(F.get("cells", F.lit(0))).alias("date"),
-        number_in_range(F.get("cells", F.greatest(F.col("named_at") - 1, F.lit(0))), low, high).alias("named_price"),
-        number_in_range(F.get("cells", F.lit(1)), low, high).alias("second_price"),
-    ).where(F.col("date").isNotNull())
-    primary = F.when(F.col("named_at") > 0, F.col("named_price")).when(F.col("date_hits") >= 2, F.col("second_price"))
-    # the fallback counts only where the page has no record at all; pages are keyed by their other columns
-    has_primary = rows.select(*others, primary.alias("p")).where("p is not null").select(*others).distinct()
-    first = rows.withColumn("price", primary)
-    fallback = rows.join(has_primary, others, "left_anti").withColumn("price", F.col("second_price"))
-    out = [*others, "table_no", "row_no", "date", "price"]
-    return first.where("price is not null").select(*out).unionByName(
-        fallback.where("price is not null").select(*out)
-    )
+    tables = F.transform(page_tables(html), lambda t: F.struct(
+        named_column(t["header"]).alias("named_at"), dated_rows(t["rows"]).alias("rows")
+    ))
+    all_records = pages.select(*others, F.flatten(F.transform(tables, records)).alias("records"))
+    found = all_records.withColumn("is_found", F.exists("records", lambda r: r["primary"].isNotNull()))
+    rows = found.select(*others, "is_found", F.inline("records"))
+    chosen = F.when(F.col("is_found"), F.col("primary")).otherwise(F.col("second"))
+    return rows.select(*others, "table_no", "row_no", "date", chosen.alias("price")).where("price is not null")
 
 
 def extract_price(
