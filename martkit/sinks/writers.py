@@ -1,8 +1,9 @@
 """Conflict-aware writes to month-partitioned Parquet tables.
 
-No table is read and overwritten in one step: what replaces a month is written to the shared scratch area
-first, then moved in with a partition overwrite. A lost executor only repeats tasks of one of the two writes,
-and a job that dies in between leaves the table as it was. Running a load again gives the same table.
+No table is read and overwritten in one step: what a rewrite needs from the table is written to the shared
+scratch area first. A lost executor only repeats tasks of one write. Running a load again gives the same table;
+a load that died while months were being swapped in is repaired by running it again, provided its window starts
+and ends on month bounds, so that nothing but the batch belongs to the months it rewrites.
 """
 
 from __future__ import annotations

@@ -17,10 +17,9 @@ EVENT_KEYS = ("event_id",)
 
 def month_windows(spark: SparkSession, start: date, until: date) -> DataFrame:
     """(window_start, window_end) of every full month from ``start`` to ``until``."""
-    bounds = spark.range(1).select(
-        F.lit(start).cast("date").alias("lo"), F.add_months(F.trunc(F.lit(until).cast("date"), "MM"), -1).alias("hi")
-    )
-    starts = bounds.where("lo <= hi").select(F.explode(F.expr("sequence(lo, hi, interval 1 month)")).alias("window_start"))
+    months = max(0, (until.year - start.year) * 12 + until.month - start.month)
+    first = F.trunc(F.lit(start).cast("date"), "MM")
+    starts = spark.range(months).select(F.add_months(first, F.col("id").cast("int")).alias("window_start"))
     return starts.withColumn("window_end", F.add_months("window_start", 1))
 
 
