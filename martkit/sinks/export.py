@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.sinks.writers import _exists
@@ -31,12 +31,13 @@ def write_csv(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> D
     ordered = df.orderBy(*order) if order else df
     plain = ordered.select(*[_csv_text(F.col(f"`{n}`"), t).alias(n) for n, t in df.dtypes])
     first = plain.columns[0]
-    counted = Observation()
-    out = plain.observe(counted, F.count(F.lit(1)).alias("rows")).withColumnRenamed(first, BOM + first)
+    out = plain.withColumnRenamed(first, BOM + first)
     out.write.mode("overwrite").option("header", "true").option("escape", '"').option("encoding", "UTF-8").csv(path)
     spark = df.sparkSession
+    # counted in the files, where a quoted text may span lines; the table itself is not worked out again
+    rows = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path).count()
     size = list_files(spark, path, "*.csv").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files"))
-    return size.select(F.lit(path.rsplit("/", 1)[-1]).alias("name"), F.lit(counted.get["rows"]).alias("rows"), "files", "bytes")
+    return size.select(F.lit(path.rsplit("/", 1)[-1]).alias("name"), F.lit(rows).cast("bigint").alias("rows"), "files", "bytes")
 
 
 def export_bundle(tables: Mapping[str, tuple[DataFrame, Sequence]], folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import month_start
@@ -49,15 +49,13 @@ def _months(df: DataFrame) -> set[str]:
     return {r[MONTH] for r in df.select(MONTH).distinct().collect()}
 
 
-def _replace_months(staged: DataFrame, path: str, filled: set[str], months: Sequence[str], seen: Observation | None = None, *metrics) -> None:
+def _replace_months(staged: DataFrame, path: str, filled: set[str], months: Sequence[str]) -> None:
     """Give each listed month exactly the staged rows, clearing those that are not ``filled``.
 
     Rebalancing by month keeps the file count down; a month with very many rows is still split over tasks.
     """
-    spread = staged.hint("rebalance", MONTH)
-    if seen:
-        spread = spread.observe(seen, *metrics)
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    writer = staged.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(MONTH).parquet(path)
     spark = staged.sparkSession
     empty = spark.createDataFrame([], staged.drop(MONTH).schema)
     for month in sorted(set(months) - filled):
@@ -127,16 +125,14 @@ def replace_window(
     # a batch may hold rows outside its window: their months are rewritten too
     touched = sorted(set(months) | _months(fresh))
     inside = (F.col(at) >= lo) & (F.col(at) < hi)
-    accepted, filled = fresh, set(touched)
+    accepted, survivors, filled = fresh, None, set(touched)
     if not first_load:
         # what the rewrite needs from the table is staged: clashing keys, and rows of touched months to be kept
         accepted = fresh.join(stage(_clashing(fresh, kept, keys), "window-clash"), list(keys), "left_anti")
         survivors = stage(kept.where(F.col(MONTH).isin(*touched)), "window-kept")
-        accepted = accepted.unionByName(survivors)
-        filled = _months(accepted)
-    written = Observation()
-    _replace_months(accepted, path, filled, touched, written, F.count_if(inside).alias("rows"))
-    return {"distinct": fresh.count(), "in_window": written.get["rows"]}
+        filled = _months(accepted) | _months(survivors)
+    _replace_months(accepted.unionByName(survivors) if survivors else accepted, path, filled, touched)
+    return {"distinct": fresh.count(), "in_window": accepted.where(inside).count()}
 
 
 def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), at: str | None = None) -> int:
