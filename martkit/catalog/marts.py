@@ -167,12 +167,15 @@ def fact_rollup_5d(t):
 
 
 def order_fact(t):
-    """Day x nation x segment x status x priority. Orders are first added up per customer and the other
-    keys, so the joins move groups; names are attached to the small result."""
-    first = marts.rollup_by(t.orders, ["o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderstatus", "o_orderpriority"], {"n": marts.n_rows()})
-    placed = first.join(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
-    keys = ["day", "c_nationkey", "c_mktsegment", "o_orderstatus", "o_orderpriority"]
-    rolled = placed.groupBy(*keys).agg(F.sum("n").alias("n"))
+    """Day x nation x segment x status x priority.
+
+    Adding up per customer and day first would hardly shrink the rows and cost a second shuffle of all of
+    them. They are joined once; a customer with very many orders is split by the skew join, and its groups
+    are combined before the only other shuffle. Names are attached to the small result.
+    """
+    orders = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderstatus", "o_orderpriority")
+    placed = orders.join(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    rolled = marts.count_by(placed, ["day", "c_nationkey", "c_mktsegment", "o_orderstatus", "o_orderpriority"])
     named = rolled.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return named.select(
         "day", F.col("n_name").alias("nation"), F.col("c_mktsegment").alias("segment"),

@@ -150,9 +150,9 @@ def mart_status(t):
 
 
 def _land_feed(t, path: str, spoil: bool = False):
-    """Events as feed pages: all text, a few without id, some twice."""
+    """Events as feed pages, all text; spoiled ones have no id in one kind of event."""
     key = F.col("event_id")
-    event = F.when(F.lit(spoil) & (key % 50 == 7), F.lit(" ")).otherwise(key.cast("string"))
+    event = F.when(F.lit(spoil) & (F.col("event_type") == "error"), F.lit(" ")).otherwise(key.cast("string"))
     columns = {
         "time": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), "latitude": (key % 181 - 90).cast("string"),
         "longitude": F.lit("x"), "depth": F.lit(""), "mag": F.col("value").cast("string"), "magType": F.lit(" ml "),
@@ -176,7 +176,7 @@ def feed_scan(t):
     return parse_events(read_feed(t.spark, path)).where(is_loadable()).select(*_STORED)
 
 
-@query("load_window", f"{_PARSED} WHERE event_id % 50 <> 7")
+@query("load_window", f"{_PARSED} WHERE event_type <> 'error'")
 def load_window(t):
     """The landed pages hold every event twice; loading the window twice must not double anything."""
     landing, path = scratch_path(t.spark, "landing"), scratch_path(t.spark, "events")
@@ -187,7 +187,7 @@ def load_window(t):
     return t.spark.read.parquet(path).select(*_STORED)
 
 
-@query("micro_batch", f"{_PARSED} WHERE event_id % 50 <> 7")
+@query("micro_batch", f"{_PARSED} WHERE event_type <> 'error'")
 def micro_batch(t):
     """The same pages landing in two rounds and read as a stream that ends when it has caught up."""
     landing, path, checkpoint = (scratch_path(t.spark, n) for n in ("stream-in", "stream-out", "stream-state"))

@@ -84,12 +84,12 @@ def first_in_feed(t):
 
 
 @query("reject_counts", """
-    SELECT count(*) FILTER (event_id % 10 <> 0 AND event_id % 15 <> 1) AS loaded,
-           count(*) FILTER (event_id % 10 = 0 OR event_id % 15 = 1) AS rejected FROM events""")
+    SELECT count(*) FILTER (event_type <> 'error' AND value >= 1) AS loaded,
+           count(*) FILTER (event_type = 'error' OR value < 1) AS rejected FROM events""")
 def reject_counts(t):
     spoiled = t.events.select(
-        F.when(F.pmod("event_id", F.lit(10)) != 0, F.col("event_id").cast("string")).alias("event_id"),
-        F.when(F.pmod("event_id", F.lit(15)) != 1, F.col("ts")).alias("occurred_at"),
+        F.when(F.col("event_type") != "error", F.col("event_id").cast("string")).alias("event_id"),
+        F.when(F.col("value") >= 1, F.col("ts")).alias("occurred_at"),
     )
     return spoiled.agg(F.count_if(is_loadable()).alias("loaded"), F.count_if(~is_loadable()).alias("rejected"))
 

@@ -11,7 +11,7 @@ import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -81,8 +81,9 @@ class _Book(InputPartition):
 
 
 class _WorkbookReader(DataSourceReader):
-    def __init__(self, paths: Sequence[str]):
+    def __init__(self, paths: Sequence[str], header: bool):
         self.paths = paths
+        self.header = header
 
     def partitions(self):
         return [_Book(p) for p in self.paths]
@@ -90,13 +91,20 @@ class _WorkbookReader(DataSourceReader):
     def read(self, partition):
         name = partition.path.rsplit("/", 1)[-1]
         rows = sheet_rows(partition.path)
-        next(rows, None)
-        for row in rows:
-            yield name, row
+        first = next(rows, None)
+        if self.header:
+            yield name, first
+        else:
+            for row in rows:
+                yield name, row
 
 
 class WorkbookSource(DataSource):
-    """``spark.read.format("workbook").option("paths", "a.xlsx\\nb.xlsx")`` -> (source_file, cells)."""
+    """``spark.read.format("workbook").option("paths", "a.xlsx\nb.xlsx")`` -> (source_file, cells).
+
+    Gives the rows below the first one, or with ``header=true`` only the first one. Every path has to be
+    readable as a file on the executors, such as a mounted share.
+    """
 
     @classmethod
     def name(cls):
@@ -106,7 +114,8 @@ class WorkbookSource(DataSource):
         return "source_file string, cells array<string>"
 
     def reader(self, schema):
-        return _WorkbookReader([p for p in self.options["paths"].split("\n") if p])
+        paths = [p for p in self.options["paths"].split("\n") if p]
+        return _WorkbookReader(paths, self.options.get("header", "false").lower() == "true")
 
 
 def read_workbooks(
@@ -117,25 +126,24 @@ def read_workbooks(
     required: Sequence[str] = (),
     tag: str = "source_file",
 ) -> DataFrame:
-    """Workbooks with differing headers as one table of text columns, like ``read_harmonised``."""
+    """Workbooks with differing headers as one table of text columns, like ``read_harmonised``.
+
+    Headers are read by tasks too; the driver only sees one header per workbook.
+    """
     spark.dataSource.register(WorkbookSource)
-    maps = []
-    for path in paths:
-        header = next(sheet_rows(path), None)
-        name = path.rsplit("/", 1)[-1]
+    books = spark.read.format("workbook").option("paths", "\n".join(paths))
+    positions = {}
+    for name, header in books.option("header", "true").load().collect():
         if header is None:
             raise ValueError(f"{name} holds no data")
-        positions = map_headers(header, aliases)
-        require_columns(name, positions, required, header)
-        maps.append((name, positions))
-    rows = spark.read.format("workbook").option("paths", "\n".join(paths)).load()
-    # file name -> position of the target in that file: one literal map per target, a file per entry
-    columns = []
-    for target in targets:
-        pairs = [F.lit(x) for name, pos in maps if target in pos for x in (name, pos[target])]
+        positions[name] = map_headers(header, aliases)
+        require_columns(name, positions[name], required, header)
+
+    def pick(target: str) -> Column:
+        pairs = [F.lit(x) for name, at in positions.items() if target in at for x in (name, at[target])]
         if not pairs:
-            columns.append(F.lit(None).cast("string").alias(target))
-            continue
-        at = F.try_element_at(F.create_map(*pairs), F.col("source_file"))
-        columns.append(F.get("cells", at).alias(target))
-    return rows.select(*columns, F.col("source_file").alias(tag))
+            return F.lit(None).cast("string")
+        return F.get("cells", F.try_element_at(F.create_map(*pairs), F.col("source_file")))
+
+    rows = books.option("header", "false").load()
+    return rows.select(*[pick(t).alias(t) for t in targets], F.col("source_file").alias(tag))
