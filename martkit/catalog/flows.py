@@ -224,10 +224,10 @@ _EVENT_SUMMARY = f"""
            (SELECT region FROM ({_EVENT_MARTS['by_region']}) ORDER BY events DESC, region LIMIT 1) AS top_region FROM ({_EVENT_SUMMARY})""")
 def event_summary_record(t):
     marts = events.event_marts(_enriched(t))
-    return with_leaders(marts["summary"].drop("refreshed_at"), {
-        "strongest_place": (marts["strongest"], [F.desc("magnitude"), F.desc("occurred_at")], "place"),
-        "top_region": (marts["by_region"], [F.desc("events"), F.asc("region")], "region"),
-    })
+    return with_leaders(marts["summary"].drop("refreshed_at"), [
+        (marts["strongest"], [F.desc("magnitude"), F.desc("occurred_at")], {"strongest_place": "place"}),
+        (marts["by_region"], [F.desc("events"), F.asc("region")], {"top_region": "region"}),
+    ])
 
 
 @query("event_fact", f"""

@@ -329,10 +329,10 @@ def summary_record(t):
     summary = marts.summarise(t.orders, {"total": marts.n_rows()}, refreshed=False)
     daily, nations = windows.daily_series(t.orders, "o_orderdate"), orders_by_nation(t)
     by_day, by_nation = [F.desc("n"), F.asc("day")], [F.desc("n"), F.asc("nation")]
-    return ranking.with_leaders(summary, {
-        "peak_day": (daily, by_day, "day"), "peak_n": (daily, by_day, "n"),
-        "top_nation": (nations, by_nation, "nation"), "top_nation_n": (nations, by_nation, "n"),
-    })
+    return ranking.with_leaders(summary, [
+        (daily, by_day, {"peak_day": "day", "peak_n": "n"}),
+        (nations, by_nation, {"top_nation": "nation", "top_nation_n": "n"}),
+    ])
 
 
 @query("summary_record_events", f"""
@@ -344,10 +344,10 @@ def summary_record(t):
 def summary_record_events(t):
     strongest, order = _strongest(t, 20), [F.desc("value"), F.desc("ts"), F.asc("event_id")]
     types, by_count = marts.count_by(t.events, "event_type"), [F.desc("n"), F.asc("event_type")]
-    return ranking.with_leaders(_event_summary(t), {
-        "strongest_id": (strongest, order, "event_id"), "strongest_at": (strongest, order, "ts"),
-        "top_type": (types, by_count, "event_type"), "top_type_n": (types, by_count, "n"),
-    })
+    return ranking.with_leaders(_event_summary(t), [
+        (strongest, order, {"strongest_id": "event_id", "strongest_at": "ts"}),
+        (types, by_count, {"top_type": "event_type", "top_type_n": "n"}),
+    ])
 
 
 # --- filters ---------------------------------------------------------------------------------------------

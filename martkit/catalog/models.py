@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martkit import labels
-from martkit.catalog import half_up_sql, mean_sql, query
+from martkit.catalog import ORACLES, half_up_sql, mean_sql, query
 from martkit.catalog.series import LAG_SQL, daily_prices, lag_features, ordered_holdout
 from martkit.functions.dates import month_start
 from martkit.functions.numbers import fixed_mean
@@ -80,7 +80,36 @@ def forecast_change(t):
     return forecast.forecast_change(rows)
 
 
-@query("price_regression")
+def _least_squares_sql(train: str, inputs: list[str], target: str) -> str:
+    """CTEs ending in ``fit``: one row with weights ``w0`` (intercept) .. ``wN``.
+
+    The normal equations, solved by elimination step by step. The mean of the lags is left out: it adds
+    nothing to the predictions.
+    """
+    terms, size = ["1.0", *inputs], len(inputs) + 1
+    cells = [f"sum({terms[i]} * {terms[j] if j < size else target}) AS m{i}_{j}" for i in range(size) for j in range(size + 1)]
+    steps = [f"s0 AS (SELECT {', '.join(cells)} FROM ({train}))"]
+    for k in range(size):
+        scaled = {j: f"(m{k}_{j} / m{k}_{k})" for j in range(size + 1)}
+        out = [
+            f"{scaled[j]} AS m{i}_{j}" if i == k else f"m{i}_{j} - m{i}_{k} * {scaled[j]} AS m{i}_{j}"
+            for i in range(size) for j in range(size + 1)
+        ]
+        steps.append(f"s{k + 1} AS (SELECT {', '.join(out)} FROM s{k})")
+    weights = ", ".join(f"m{i}_{size} AS w{i}" for i in range(size))
+    return ", ".join([*steps, f"fit AS (SELECT {weights} FROM s{size})"])
+
+
+_LAG_NAMES = [f"lag_{k}" for k in range(1, 6)]
+_PREDICTED = "w0 + " + " + ".join(f"w{k} * lag_{k}" for k in range(1, 6))
+_HELD = f"SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day DESC) <= 5 AS is_holdout FROM ({LAG_SQL})"
+_SCORED = """SELECT * EXCLUDE (p), CAST('บาท/ลิตร' AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS model_time, round(greatest(p, 0), 2) AS forecast,
+    round(round(greatest(p, 0), 2) - lag_1, 2) AS delta, CASE WHEN round(greatest(p, 0), 2) >= lag_1 THEN 'up' ELSE 'down' END AS direction"""
+
+
+@query("price_regression", f"""
+    WITH h AS ({_HELD}), {_least_squares_sql('SELECT * FROM h WHERE NOT is_holdout', _LAG_NAMES, 'price')},
+    r AS (SELECT h.*, {_PREDICTED} AS p FROM h, fit WHERE is_holdout) {_SCORED} FROM r""")
 def price_regression(t):
     """One regression over all series: holdout rows with forecast, floor, change and direction."""
     rows = ordered_holdout(t)
@@ -88,17 +117,20 @@ def price_regression(t):
     return forecast.score(model, rows.where("is_holdout"))
 
 
-@query("model_rmse")
+@query("model_rmse", f"""
+    WITH h AS ({_HELD}), {_least_squares_sql('SELECT * FROM h WHERE NOT is_holdout', _LAG_NAMES, 'price')}
+    SELECT round(sqrt(avg(({_PREDICTED} - price) ** 2)), 4) AS rmse, true AS promoted FROM h, fit WHERE is_holdout""")
 def model_rmse(t):
     """The candidate's holdout error and whether it becomes champion of an empty log."""
     log = t.spark.createDataFrame([], "model_name string, rmse double, deployed boolean, run_at timestamp")
-    _, error, promoted = forecast.train_and_select(ordered_holdout(t), "price", "is_holdout", log, "daily")
-    return daily_prices(t).agg(F.count(F.lit(1)).alias("history")).select(
-        "history", F.lit(error).alias("rmse"), F.lit(promoted).alias("promoted")
-    )
+    model, _, promoted = forecast.train_and_select(ordered_holdout(t), "price", "is_holdout", log, "daily")
+    error = forecast.rmse(model.transform(ordered_holdout(t).where("is_holdout")), "price")
+    return error.select(F.round("rmse", 4).alias("rmse"), F.lit(promoted).alias("promoted"))
 
 
-@query("next_forecast")
+@query("next_forecast", f"""
+    WITH l AS ({LAG_SQL}), {_least_squares_sql('SELECT * FROM l', _LAG_NAMES, 'price')},
+    r AS (SELECT f.*, {_PREDICTED} AS p FROM ({ORACLES["latest_features"]}) f, fit) {_SCORED} FROM r""")
 def next_forecast(t):
     """Forecast of the day after the last one, per series."""
     model = forecast.train_regression(lag_features(t), "price")

@@ -60,11 +60,16 @@ def latest_where(df: DataFrame, condition: Column, value: str, order: str) -> Co
     return df.where(condition).agg(F.max_by(value, order).alias(value)).scalar()
 
 
-def with_leaders(summary: DataFrame, leaders: dict[str, tuple[DataFrame, Sequence[Column], str]]) -> DataFrame:
-    """Add to a one-row summary the first value of other marts.
+def with_leaders(
+    summary: DataFrame, leaders: Sequence[tuple[DataFrame, Sequence[Column], dict[str, str]]]
+) -> DataFrame:
+    """Add to a one-row summary values of the first row of other marts.
 
-    ``leaders`` maps a new column to (mart, order, column). Each is a top-1 scalar subquery.
+    Each leader is (mart, order, new column -> mart column): one top-1 scalar subquery per mart.
     """
-    return summary.select(
-        "*", *[top_n(mart, order, 1).select(c).scalar().alias(n) for n, (mart, order, c) in leaders.items()]
-    )
+    out = summary
+    for i, (mart, order, columns) in enumerate(leaders):
+        first = top_n(mart, order, 1).select(F.struct(*[F.col(c).alias(n) for n, c in columns.items()]).alias("first"))
+        out = out.withColumn(f"_{i}", first.scalar())
+    values = [F.col(f"_{i}.{n}") for i, (_, _, columns) in enumerate(leaders) for n in columns]
+    return out.select(*summary.columns, *values)

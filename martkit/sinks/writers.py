@@ -21,27 +21,44 @@ from martkit.session import scratch_path
 MONTH = "month"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+def _file_system(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
-def read_months(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table, or no rows when nothing was written yet. ``schema`` includes the month column."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, location = _file_system(spark, path)
+    return fs.exists(location)
 
 
 def _with_month(df: DataFrame, at: str) -> DataFrame:
     return df.withColumn(MONTH, F.date_format(month_start(at), "yyyy-MM"))
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write to scratch and read back: worked out once, and without lineage to the table about to change."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Staging:
+    """Rows written to scratch and read back: worked out once, and without lineage to the table about to change.
+
+    The folder goes when the load has succeeded. After a failure it stays, with the rows a repair may need.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.root = scratch_path(spark, label)
+        self.count = 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, kind, value, trace) -> None:
+        if kind is None:
+            fs, path = _file_system(self.spark, self.root)
+            fs.delete(path, True)
 
 
 def _months(df: DataFrame) -> set[str]:
@@ -117,22 +134,21 @@ def replace_window(
     """
     spark = batch.sparkSession
     lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    months = months_between(start, end)
-
-    fresh = stage(_with_month(keep_first(batch, keys, order).drop(*order), at), "window-batch")
-    first_load = not _exists(spark, path)
-    kept = read_months(spark, path, fresh.schema).where((F.col(at) < lo) | (F.col(at) >= hi))
-    # a batch may hold rows outside its window: their months are rewritten too
-    touched = sorted(set(months) | _months(fresh))
     inside = (F.col(at) >= lo) & (F.col(at) < hi)
-    accepted, survivors, filled = fresh, None, set(touched)
-    if not first_load:
-        # what the rewrite needs from the table is staged: clashing keys, and rows of touched months to be kept
-        accepted = fresh.join(stage(_clashing(fresh, kept, keys), "window-clash"), list(keys), "left_anti")
-        survivors = stage(kept.where(F.col(MONTH).isin(*touched)), "window-kept")
-        filled = _months(accepted) | _months(survivors)
-    _replace_months(accepted.unionByName(survivors) if survivors else accepted, path, filled, touched)
-    return {"distinct": fresh.count(), "in_window": accepted.where(inside).count()}
+    months = months_between(start, end)
+    with Staging(spark, "window") as stage:
+        fresh = stage(_with_month(keep_first(batch, keys, order).drop(*order), at))
+        # a batch may hold rows outside its window: their months are rewritten too
+        touched = sorted(set(months) | _months(fresh))
+        accepted, survivors, filled = fresh, None, set(touched)
+        if _exists(spark, path):
+            # what the rewrite needs from the table is staged: clashing keys, and rows of touched months to be kept
+            kept = spark.read.schema(fresh.schema).parquet(path).where((F.col(at) < lo) | (F.col(at) >= hi))
+            accepted = fresh.join(stage(_clashing(fresh, kept, keys)), list(keys), "left_anti")
+            survivors = stage(kept.where(F.col(MONTH).isin(*touched)))
+            filled = _months(accepted) | _months(survivors)
+        _replace_months(accepted.unionByName(survivors) if survivors else accepted, path, filled, touched)
+        return {"distinct": fresh.count(), "in_window": accepted.where(inside).count()}
 
 
 def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), at: str | None = None) -> int:
@@ -141,15 +157,16 @@ def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Se
     fresh = keep_first(batch, keys, order)
     if at:
         fresh = _with_month(fresh, at)
-    if _exists(spark, path):
-        fresh = stage(fresh, "insert-batch")
-        fresh = absent_keys(fresh, spark.read.schema(fresh.schema).parquet(path), keys)
-    new = stage(fresh, "insert")
-    if at:
-        new.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
-    else:
-        new.write.mode("append").parquet(path)
-    return new.count()
+    with Staging(spark, "insert") as stage:
+        if _exists(spark, path):
+            fresh = stage(fresh)
+            fresh = absent_keys(fresh, spark.read.schema(fresh.schema).parquet(path), keys)
+        new = stage(fresh)
+        if at:
+            new.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
+        else:
+            new.write.mode("append").parquet(path)
+        return new.count()
 
 
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], at: str, version: str = "inserted_at") -> None:
@@ -163,10 +180,10 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], at: str, version: s
     spark = batch.sparkSession
     fresh = batch if version in batch.columns else batch.withColumn(version, F.current_timestamp())
     fresh = _with_month(keep_last(fresh, keys, [version]), at)
-    fresh = stage(fresh, "upsert-batch")
-    months = _months(fresh)
-    if _exists(spark, path):
-        table = spark.read.schema(fresh.schema).parquet(path).where(F.col(MONTH).isin(*months))
-        untouched = stage(table.join(fresh.select(*keys), list(keys), "left_anti"), "upsert-kept")
-        fresh = untouched.unionByName(fresh)
-    _replace_months(fresh, path, months, sorted(months))
+    with Staging(spark, "upsert") as stage:
+        fresh = stage(fresh)
+        months = _months(fresh)
+        if _exists(spark, path):
+            table = spark.read.schema(fresh.schema).parquet(path).where(F.col(MONTH).isin(*months))
+            fresh = stage(table.join(fresh.select(*keys), list(keys), "left_anti")).unionByName(fresh)
+        _replace_months(fresh, path, months, sorted(months))

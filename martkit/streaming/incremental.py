@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martkit.operators.quality import require_rows
-from martkit.sinks.writers import insert_if_absent, replace_window, stage, upsert
+from martkit.sinks.writers import Staging, insert_if_absent, replace_window, upsert
 from martkit.sources.feed import FEED_SCHEMA, is_loadable, parse_events
 
 EVENT_KEYS = ("event_id",)
@@ -34,11 +34,12 @@ def load_window(feed: DataFrame, path: str, start: datetime, end: datetime) -> d
     The pages are parsed once, into the scratch area; attempted, rejected, distinct and stored rows are
     reported separately.
     """
-    events = stage(parse_events(feed), "feed")
-    order = [c for c in ("feed_order",) if c in events.columns]
-    counts = events.agg(F.count_if(is_loadable()).alias("good"), F.count_if(~is_loadable()).alias("bad")).first()
-    good = events.where(is_loadable()).withColumn("ingested_at", F.lit(datetime.now()).cast("timestamp_ntz"))
-    result = replace_window(good, path, "occurred_at", start, end, list(EVENT_KEYS), order)
+    with Staging(feed.sparkSession, "feed") as stage:
+        events = stage(parse_events(feed))
+        order = [c for c in ("feed_order",) if c in events.columns]
+        counts = events.agg(F.count_if(is_loadable()).alias("good"), F.count_if(~is_loadable()).alias("bad")).first()
+        good = events.where(is_loadable()).withColumn("ingested_at", F.lit(datetime.now()).cast("timestamp_ntz"))
+        result = replace_window(good, path, "occurred_at", start, end, list(EVENT_KEYS), order)
     return result | {"attempted": counts.good, "rejected": counts.bad}
 
 
