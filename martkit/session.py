@@ -20,6 +20,8 @@ def local_session(app: str = "martkit", cpus: int | None = None, memory: str = "
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        # the JVM never compiles methods above 8000 bytes; wide cleaning projections exceed that as one method
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import month_start
@@ -66,6 +66,15 @@ def _months(df: DataFrame) -> set[str]:
     return {r[MONTH] for r in df.select(MONTH).distinct().collect()}
 
 
+def _month_sizes(df: DataFrame, inside: Column) -> list:
+    """(month, n, inside) of each month present."""
+    return df.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("inside")).collect()
+
+
+def _starts_month(at: datetime) -> bool:
+    return at == datetime(at.year, at.month, 1)
+
+
 def _replace_months(staged: DataFrame, path: str, filled: set[str], months: Sequence[str]) -> None:
     """Give each listed month exactly the staged rows, clearing those that are not ``filled``.
 
@@ -138,17 +147,23 @@ def replace_window(
     months = months_between(start, end)
     with Staging(spark, "window") as stage:
         fresh = stage(_with_month(keep_first(batch, keys, order).drop(*order), at))
+        accepted, per_month = fresh, _month_sizes(fresh, inside)
+        distinct = sum(r.n for r in per_month)
         # a batch may hold rows outside its window: their months are rewritten too
-        touched = sorted(set(months) | _months(fresh))
-        accepted, survivors, filled = fresh, None, set(touched)
+        touched = sorted({*months, *(r[MONTH] for r in per_month)})
+        survivors = None
         if _exists(spark, path):
             # what the rewrite needs from the table is staged: clashing keys, and rows of touched months to be kept
             kept = spark.read.schema(fresh.schema).parquet(path).where((F.col(at) < lo) | (F.col(at) >= hi))
-            accepted = fresh.join(stage(_clashing(fresh, kept, keys)), list(keys), "left_anti")
-            survivors = stage(kept.where(F.col(MONTH).isin(*touched)))
-            filled = _months(accepted) | _months(survivors)
+            clash = stage(_clashing(fresh, kept, keys))
+            if not clash.isEmpty():
+                accepted = fresh.join(clash, list(keys), "left_anti")
+                per_month = _month_sizes(accepted, inside)
+            if touched != months or not (_starts_month(start) and _starts_month(end)):
+                survivors = stage(kept.where(F.col(MONTH).isin(*touched)))
+        filled = {r[MONTH] for r in per_month} | (_months(survivors) if survivors else set())
         _replace_months(accepted.unionByName(survivors) if survivors else accepted, path, filled, touched)
-        return {"distinct": fresh.count(), "in_window": accepted.where(inside).count()}
+        return {"distinct": distinct, "in_window": sum(r.inside for r in per_month)}
 
 
 def insert_if_absent(batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), at: str | None = None) -> int:
