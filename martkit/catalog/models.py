@@ -103,8 +103,10 @@ def _least_squares_sql(train: str, inputs: list[str], target: str) -> str:
 _LAG_NAMES = [f"lag_{k}" for k in range(1, 6)]
 _PREDICTED = "w0 + " + " + ".join(f"w{k} * lag_{k}" for k in range(1, 6))
 _HELD = f"SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day DESC) <= 5 AS is_holdout FROM ({LAG_SQL})"
-_SCORED = """SELECT * EXCLUDE (p), CAST('บาท/ลิตร' AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS model_time, round(greatest(p, 0), 2) AS forecast,
-    round(round(greatest(p, 0), 2) - lag_1, 2) AS delta, CASE WHEN round(greatest(p, 0), 2) >= lag_1 THEN 'up' ELSE 'down' END AS direction"""
+_FLOORED = "CAST(round(CAST(greatest(p, 0) AS DECIMAL(18, 9)), 2) AS DOUBLE)"
+_SCORED = f"""SELECT * EXCLUDE (p), CAST('บาท/ลิตร' AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS model_time, {_FLOORED} AS forecast,
+    CAST(round(CAST({_FLOORED} - lag_1 AS DECIMAL(18, 9)), 2) AS DOUBLE) AS delta,
+    CASE WHEN {_FLOORED} >= lag_1 THEN 'up' ELSE 'down' END AS direction"""
 
 
 @query("price_regression", f"""
