@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from martkit import labels
@@ -11,6 +12,8 @@ from martkit.functions.dates import month_start
 from martkit.functions.numbers import fixed_mean
 from martkit.operators import forecast
 from martkit.operators.windows import latest_features
+from martkit.session import scratch_path
+from martkit.sinks import writers
 
 _SPOILED = f"""SELECT event_type, day, CASE WHEN day(day) % 7 = 1 THEN -lag_1 WHEN day(day) % 7 = 2 THEN 'NaN'::DOUBLE
     WHEN day(day) % 7 = 3 THEN NULL WHEN day(day) % 7 = 4 THEN 'Infinity'::DOUBLE ELSE lag_1 END AS lag_1,
@@ -130,6 +133,29 @@ def model_rmse(t):
     return error.select(F.round("rmse", 4).alias("rmse"), F.lit(promoted).alias("promoted"))
 
 
+@query("promotion_log", f"""
+    WITH h AS ({_HELD}), {_least_squares_sql('SELECT * FROM h WHERE NOT is_holdout', _LAG_NAMES, 'price')},
+    r AS (SELECT round(sqrt(avg(({_PREDICTED} - price) ** 2)), 4) AS rmse FROM h, fit WHERE is_holdout)
+    SELECT 'daily' AS model_name, rmse, unnest([true, false]) AS deployed FROM r""")
+def promotion_log(t):
+    """Two runs over the same features, each logged: the first is promoted and stored, the second is not better.
+
+    The stored model then gives the logged error again."""
+    model_path, log_path = scratch_path(t.spark, "model"), scratch_path(t.spark, "model-log")
+    features = writers.rebuild(ordered_holdout(t), scratch_path(t.spark, "features"))
+    log = t.spark.createDataFrame([], "model_name string, rmse double, deployed boolean, run_at timestamp")
+    for _ in range(2):
+        model, error, go = forecast.train_and_select(features, "price", "is_holdout", log, "daily")
+        if go:
+            forecast.promote(model, model_path)
+        forecast.log_run(t.spark, log_path, "daily", error, go)
+        log = t.spark.read.parquet(log_path)
+    stored = PipelineModel.load(model_path).transform(features.where("is_holdout"))
+    checked = forecast.rmse(stored, "price").select(F.round("rmse", 4)).scalar()
+    same = F.round("rmse", 4) == checked
+    return log.where(same).select("model_name", checked.alias("rmse"), "deployed")
+
+
 @query("next_forecast", f"""
     WITH l AS ({LAG_SQL}), {_least_squares_sql('SELECT * FROM l', _LAG_NAMES, 'price')},
     r AS (SELECT f.*, {_PREDICTED} AS p FROM ({ORACLES["latest_features"]}) f, fit) {_SCORED} FROM r""")

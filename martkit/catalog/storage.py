@@ -16,7 +16,7 @@ from martkit.plans.weather import store_readings
 from martkit.session import scratch_path
 from martkit.sinks import export, writers
 from martkit.sources.feed import FEED_COLUMNS, is_loadable, parse_events, parse_readings, read_feed
-from martkit.sources.tabular import read_harmonised
+from martkit.sources.tabular import list_files, read_harmonised
 from martkit.streaming import incremental
 
 _ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
@@ -137,6 +137,16 @@ def export_manifest(t):
     return manifest.select("name", "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
+@query("file_listing", """
+    SELECT o_orderstatus AS part, true AS has_bytes FROM orders GROUP BY 1""")
+def file_listing(t):
+    """Files of a table written in parts, found by listing alone."""
+    path = scratch_path(t.spark, "listing")
+    t.orders.write.partitionBy("o_orderstatus").parquet(path)
+    part = F.regexp_extract("path", "o_orderstatus=([^/]*)/", 1).alias("part")
+    return list_files(t.spark, path, "*.parquet").groupBy(part).agg((F.sum("bytes") > 0).alias("has_bytes"))
+
+
 @query("mart_status", "SELECT true AS ready, count(*) AS total, max(ts) AS last_event FROM events")
 def mart_status(t):
     path = scratch_path(t.spark, "status")
