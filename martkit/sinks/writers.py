@@ -154,12 +154,14 @@ def replace_window(
         survivors = None
         if _exists(spark, path):
             # what the rewrite needs from the table is staged: clashing keys, and rows of touched months to be kept
-            kept = spark.read.schema(fresh.schema).parquet(path).where((F.col(at) < lo) | (F.col(at) >= hi))
+            # months the window covers whole are skipped by partition pruning
+            covered = months[(not _starts_month(start)):(len(months) - (not _starts_month(end)))]
+            kept = spark.read.schema(fresh.schema).parquet(path).where(~F.col(MONTH).isin(*covered) & ~inside)
             clash = stage(_clashing(fresh, kept, keys))
             if not clash.isEmpty():
                 accepted = fresh.join(clash, list(keys), "left_anti")
                 per_month = _month_sizes(accepted, inside)
-            if touched != months or not (_starts_month(start) and _starts_month(end)):
+            if touched != covered:
                 survivors = stage(kept.where(F.col(MONTH).isin(*touched)))
         filled = {r[MONTH] for r in per_month} | (_months(survivors) if survivors else set())
         _replace_months(accepted.unionByName(survivors) if survivors else accepted, path, filled, touched)
