@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martkit.llm import decontamination
+from martkit.llm import decontamination, mixing, quality
 from martkit.llm.catalog import query, table
 
 #: The word pattern of the contracts and A-Z lowered, in SQL.
@@ -34,3 +35,30 @@ FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN found USING (doc_id)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op5_quality_divergence")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rate(table(spark, folder, "documents"))
+
+
+OP6_SQL = f"""
+WITH doc AS (SELECT doc_id, source, CAST(len({TOKENS_SQL.format("text")}) AS BIGINT) AS size, md5(CAST(doc_id AS VARCHAR)) AS turn FROM documents),
+src AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM doc GROUP BY source),
+cap AS (SELECT *, place % 3 + 1 AS weight, 3.0::DOUBLE * source_size AS cap, 3.0::DOUBLE * source_size / (place % 3 + 1) AS ratio FROM src),
+lev AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY ratio, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM cap),
+aim AS (SELECT source, CAST(source_size AS BIGINT) AS source_size,
+  least(cap, weight * (SELECT level FROM lev WHERE level <= ratio ORDER BY ratio, place LIMIT 1)) AS target FROM lev),
+mid AS (SELECT doc_id, d.source, size, source_size, target,
+  sum(size) OVER (PARTITION BY d.source ORDER BY turn, doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2.0::DOUBLE AS middle
+  FROM doc d JOIN aim a ON d.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source_size, round(target, 3) AS target,
+  CAST(CASE WHEN size > 0 THEN size * least(greatest(ceil((target - middle) / source_size), 0), 3) ELSE 0 END AS BIGINT) AS taken FROM mid
+"""
+
+
+@query("op6_curriculum_mix", OP6_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    planned = mixing.plan(table(spark, folder, "documents"))
+    return planned.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
