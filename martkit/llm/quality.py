@@ -25,8 +25,8 @@ COMMON_WORDS = (
     "de la le les et en un une du que pour dans qui "
     "el los las del se por con para su"
 ).split()
-MIN_CHARS, MIN_WORDS = 200, 100
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.2, 0.45
+MIN_CHARS, MIN_WORDS = 200, 50
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.165, 0.2
 
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -98,10 +98,10 @@ def _covered(p: str) -> Column:
     return F.when(F.size(p) > 0, F.coalesce(gaps, F.lit(0)) + 3).otherwise(0).cast("long")
 
 
-def references(found: DataFrame, lang_col: str = "lang") -> DataFrame:
-    """Per language the histograms of all its documents that pass the base rules: one row for each language."""
+def references(found: DataFrame, lang_col: str = "lang", passing: str = "NOT _q_base_failed") -> DataFrame:
+    """Per language the histograms of all its ``passing`` documents: one row for each language."""
     parts = {"_q_classes": 7, "_q_words": len(COMMON_WORDS) + 1}
-    sums = [F.sum(F.when(~F.col("_q_base_failed"), F.get(c, F.lit(k)))).alias(f"{c}{k}") for c, n in parts.items() for k in range(n)]
+    sums = [F.sum(F.when(F.expr(passing), F.get(c, F.lit(k)))).alias(f"{c}{k}") for c, n in parts.items() for k in range(n)]
     total = found.groupBy(F.col(f"`{lang_col}`").alias("_q_lang")).agg(*sums)
     return total.select("_q_lang", *[F.array(*[f"{c}{k}" for k in range(n)]).alias(f"{c}_ref") for c, n in parts.items()])
 
@@ -120,24 +120,29 @@ def judge(
     found: DataFrame, reference: DataFrame, lang_col: str = "lang", min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS,
     max_char_distance: float = MAX_CHAR_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE,
 ) -> DataFrame:
-    """``features`` with distances and the verdict ``_q_kept``."""
+    """``features`` with distances and the verdict ``_q_kept``: a text long enough goes if both distances exceed their limits."""
     df = found.join(reference, F.col(f"`{lang_col}`").eqNullSafe(F.col("_q_lang")), "left")
     for counts, name in (("_q_classes", "_q_char_distance"), ("_q_words", "_q_word_distance")):
         n, m, distance = js_distance(counts, f"{counts}_ref")
         df = df.withColumn("_q_n", n).withColumn("_q_m", m).withColumn(name, distance)
     enough_chars = F.aggregate("_q_classes", F.lit(0).cast("long"), lambda a, x: a + x) >= min_chars
-    far = F.coalesce(enough_chars & (F.col("_q_char_distance") > max_char_distance), F.lit(False)) | F.coalesce(
-        (F.col("_q_n_words") >= min_words) & (F.col("_q_word_distance") > max_word_distance), F.lit(False)
-    )
+    far = (F.col("_q_char_distance") > max_char_distance) & (F.col("_q_word_distance") > max_word_distance)
+    far = F.coalesce(enough_chars & (F.col("_q_n_words") >= min_words) & far, F.lit(False))
     return df.withColumn("_q_kept", ~F.col("_q_base_failed") & ~far)
 
 
+def settled(found: DataFrame, lang_col: str = "lang", **limits) -> DataFrame:
+    """References without the documents that a first reference already rejects, so that junk does not shape them."""
+    first = judge(found, references(found, lang_col), lang_col, **limits)
+    return stage(references(first.withColumn("_q_own", F.col(f"`{lang_col}`")).drop("_q_lang"), "_q_own", "_q_kept"), "quality-ref")
+
+
 def rate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **limits) -> DataFrame:
     """Per document the counts, both distances and the verdict. Texts are read once: the features are staged."""
     need(docs, id_col, text_col, lang_col)
     plain = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     found = stage(features(plain), "quality")
-    rated = judge(found, references(found), **limits)
+    rated = judge(found, settled(found, **limits), **limits)
     return rated.select(
         "doc_id", *[F.col(f"_q_{c}").alias(c) for c in _BASE], F.col("_q_base_failed").alias("base_failed"), F.col("_q_kept").alias("kept"),
         F.col("_q_char_distance").alias("char_distance"), F.col("_q_word_distance").alias("word_distance"),
@@ -149,5 +154,5 @@ def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limi
     shuffle all texts to join a verdict to them."""
     need(docs, text_col, lang_col)
     plain = docs.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    reference = stage(references(features(plain)), "quality-ref")
+    reference = settled(stage(features(plain), "quality"), **limits)
     return judge(features(docs, text_col, keep_rest=True), reference, lang_col, **limits).where("_q_kept").select(*[f"`{c}`" for c in docs.columns])
