@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import decontamination, mixing, quality
+from martkit.llm import decontamination, licenses, mixing, quality, secrets, tokens
 from martkit.llm.catalog import query, table
+from martkit.session import scratch_path
 
 #: The word pattern of the contracts and A-Z lowered, in SQL.
 WORDS_SQL = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -62,3 +64,34 @@ SELECT doc_id, size, source_size, round(target, 3) AS target,
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     planned = mixing.plan(table(spark, folder, "documents"))
     return planned.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    counted = tokens.count(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+OP3_SQL = f"""
+WITH doc AS (SELECT doc_id, {WORDS_SQL.format("text")} AS w FROM documents),
+phrase AS (SELECT * FROM (VALUES ('mit', ['under', 'the', 'mit', 'license']), ('apache-2', ['apache', 'license', 'version', '2']), ('cc-by-nc', ['cc', 'by', 'nc'])) t(label, p)),
+place AS (SELECT doc_id, label, i - 1 AS at FROM (SELECT doc_id, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS i FROM doc, phrase WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
+found AS (SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels
+FROM doc LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op3_license_diagonals")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    whole = [F.col(c).cast("long").alias(c) for c in ("n_words", "n_base", "first_word", "last_word")]
+    return found.select("doc_id", *whole, "base_labels", "labels", "score")
+
+
+@query("op4_linked_secrets")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
+    counts = [F.size(F.filter("spans", lambda s, k=p.kind: s["kind"] == k)).cast("long").alias(f"n_{p.kind}") for p in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"))
