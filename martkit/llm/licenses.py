@@ -80,9 +80,10 @@ def votes(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, k: int =
     hashed = words.withColumn("h", F.transform(starts, lambda i: _gram([F.get("w", i + j) for j in range(k)])))
     proof = lambda i: lower_ascii(F.array_join(F.slice("raw", i + 1, k), " "))
     listed = F.transform("h", lambda h, i: F.struct(h.alias("gram"), F.when(h.isin(hashes), proof(i)).alias("proof")))
+    # the last entry stands for the text itself; exploding "outer" keeps the planner from testing the whole expression twice
     end = F.array(F.struct(F.lit(0).cast("long").alias("gram"), F.lit("").alias("proof")))
     every = hashed.select("row", "doc_id", "n_words", F.concat(F.coalesce(listed, end.cast("array<struct<gram:bigint,proof:string>>")), end).alias("grams"))
-    rows = every.select("row", "doc_id", "n_words", F.posexplode("grams").alias("at", "g"))
+    rows = every.select("row", "doc_id", "n_words", F.posexplode_outer("grams").alias("at", "g"))
     rows = rows.select("row", "doc_id", "n_words", "at", "g.gram", "g.proof")
     met = rows.join(F.broadcast(known.unionByName(ends)), ["gram", "proof"]).repartition("row")
     diagonal = F.when(F.col("template") >= 0, F.col("at") - F.col("place"))

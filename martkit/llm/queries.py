@@ -75,8 +75,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 OP3_SQL = f"""
 WITH doc AS (SELECT doc_id, {WORDS_SQL.format("text")} AS w FROM documents),
 phrase AS (SELECT * FROM (VALUES ('mit', ['under', 'the', 'mit', 'license']), ('apache-2', ['apache', 'license', 'version', '2']), ('cc-by-nc', ['cc', 'by', 'nc'])) t(label, p)),
-place AS (SELECT doc_id, label, i - 1 AS at FROM (SELECT doc_id, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS i FROM doc, phrase WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
-found AS (SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY doc_id)
+place AS (SELECT doc_id, label, i - 1 AS pos FROM (SELECT doc_id, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS i FROM doc, phrase WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
+found AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels
 FROM doc LEFT JOIN found USING (doc_id)
 """
@@ -93,5 +93,6 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=p.kind: s["kind"] == k)).cast("long").alias(f"n_{p.kind}") for p in secrets.BASE]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(p.kind) for p in secrets.BASE]
     return found.select("doc_id", *counts, F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"))
