@@ -15,8 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import WORD, id_text, lower_ascii
+from martkit.llm.common import id_text, lower_ascii
 
+#: The word pattern of the contract for texts whose capitals are still there.
+CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 K = 3
 #: Diagonals this near to each other are one passage.
 SHIFT = 3
@@ -74,7 +76,7 @@ def votes(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, k: int =
     ends = docs.sparkSession.createDataFrame([(0, "", -1, 0)], known.schema)
     texts = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     # all capitals are lowered for the hash; the proof, worked out only where a hash fits, lowers A-Z alone
-    words = texts.withColumn("raw", F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).drop("text")
+    words = texts.withColumn("raw", F.regexp_extract_all("text", F.lit(CASED_WORD), F.lit(0))).drop("text")
     words = words.withColumn("w", F.transform("raw", F.lower)).withColumn("n_words", F.size("raw"))
     starts = F.when(F.col("n_words") >= k, F.sequence(F.lit(0), F.col("n_words") - k))
     hashed = words.withColumn("h", F.transform(starts, lambda i: _gram([F.get("w", i + j) for j in range(k)])))
