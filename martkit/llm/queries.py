@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import decontamination, licenses, mixing, quality, secrets, tokens
+from martkit.llm import ans, decontamination, licenses, mixing, quality, secrets, tokens
 from martkit.llm.catalog import query, table
 from martkit.session import scratch_path
 
@@ -96,3 +96,14 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     counts = [count(p.kind) for p in secrets.BASE]
     return found.select("doc_id", *counts, F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"))
+
+
+#: The id that ends a document in the contract of the token files.
+END_ID = 2
+
+
+@query("op10_token_files")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    ans.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return ans.decoded(ans.read(spark, path))
