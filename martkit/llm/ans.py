@@ -33,7 +33,7 @@ LANES = 64
 BLOCK = 1 << 15
 SHARD = 1 << 20
 _LOW = 1 << 31
-_HEAD = struct.Struct("<6I")
+_HEAD = "<6I"
 
 SHARDS = "part int, shard int, n_ids long, doc_ids array<long>, lengths array<long>, data binary"
 IDS = "doc_id long, part int, shard int, first long, n_tokens long, ids_crc32 long"
@@ -67,7 +67,7 @@ def encode(ids: np.ndarray, lanes: int = LANES, block: int = BLOCK) -> bytes:
     blocks = -(-len(ids) // block)
     steps = -(-block // lanes)
     if not blocks:
-        return _HEAD.pack(MAGIC, lanes, block, 0, 0, 0)
+        return struct.pack(_HEAD, MAGIC, lanes, block, 0, 0, 0)
     freq = frequencies(counts.astype(np.int64)).astype(np.uint64)
     start = (np.cumsum(freq) - freq).astype(np.uint64)
     grid = np.full(blocks * steps * lanes, -1, np.int64).reshape(blocks, steps * lanes)
@@ -104,18 +104,18 @@ def encode(ids: np.ndarray, lanes: int = LANES, block: int = BLOCK) -> bytes:
     first = (np.cumsum(per_block) - per_block).astype("<u4")
     little = ids.astype("<u4")
     sums = np.array([zlib.crc32(little[b * block : (b + 1) * block]) for b in range(blocks)], "<u4")
-    head = _HEAD.pack(MAGIC, lanes, block, len(ids), blocks, len(symbols))
+    head = struct.pack(_HEAD, MAGIC, lanes, block, len(ids), blocks, len(symbols))
     return b"".join([head, symbols.astype("<u4").tobytes(), freq.astype("<u4").tobytes(), first.tobytes(), sums.tobytes(), state.astype("<u8").tobytes(), words.astype("<u4").tobytes()])
 
 
 def decode(blob: bytes, only: range | None = None) -> np.ndarray:
     """The ids of a shard, or those of some of its blocks, from their checkpoints. Checksums are verified."""
-    magic, lanes, block, n, blocks, size = _HEAD.unpack_from(blob)
+    magic, lanes, block, n, blocks, size = struct.unpack_from(_HEAD, blob)
     if magic != MAGIC:
         raise DamagedBlock("not a shard of token ids")
     if not blocks:
         return np.zeros(0, np.uint32)
-    take, at = [], _HEAD.size
+    take, at = [], struct.calcsize(_HEAD)
     for kind, count in (("<u4", size), ("<u4", size), ("<u4", blocks), ("<u4", blocks), ("<u8", blocks * lanes)):
         take.append(np.frombuffer(blob, kind, count, at))
         at += take[-1].nbytes

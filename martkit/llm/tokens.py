@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 from collections.abc import Callable
 
 import numpy as np
@@ -114,13 +115,8 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(free)) for b in range(256)]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One for each worker process: what it remembers serves later tasks, too."""
-    import sys
-
     kept = sys.modules.setdefault("_martkit_encoders", type(sys)("_martkit_encoders")).__dict__
     return kept.get(path) or kept.setdefault(path, Encoder(path))
 
