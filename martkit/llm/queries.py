@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import ans, decontamination, licenses, mixing, quality, secrets, tokens
+from martkit.llm import ans, decontamination, licenses, mixing, near, quality, secrets, tokens
 from martkit.llm.catalog import query, table
 from martkit.session import scratch_path
 
@@ -107,3 +107,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     ans.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
     return ans.decoded(ans.read(spark, path))
+
+
+@query("op9_near_duplicate_forest")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return near.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
