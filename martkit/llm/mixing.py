@@ -57,18 +57,19 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], most_times: float) ->
 
 def plan(
     docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most_times: float = 3, id_col: str = "doc_id", text_col: str = "text",
-    source_col: str = "source", carry: tuple[str, ...] = (),
+    source_col: str = "source",
 ) -> DataFrame:
     """Per document its size, its source's size and target, how many passes take it, and the positions of those passes.
 
     Within a source, documents lie in the order of a digest of their id; a pass takes them from the start until the target
-    is met, the document across the end by whichever total is nearer. ``carry``: columns handed on.
+    is met, the document across the end by whichever total is nearer. ``h``, the text's hash, tells apart texts of one id.
     """
     need(docs, id_col, text_col, source_col)
-    size = F.size(F.regexp_extract_all(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit(TOKEN), F.lit(0)))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    size = F.size(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)))
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.cast("long").alias("size"),
-        F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))).alias("turn"), *[F.col(f"`{c}`").alias(f"_{c}") for c in carry],
+        F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))).alias("turn"), F.xxhash64(text).alias("h"),
     ).withColumn("part", F.substring("turn", 1, PART_DIGITS))
     rows = stage(rows, "mix")
     parts = stage(rows.groupBy("source", "part").agg(F.sum("size").alias("part_size")), "mix-parts")
@@ -89,11 +90,26 @@ def plan(
     times = F.when(F.col("passes") > 0, F.transform(F.sequence(F.lit(0), F.col("passes") - 1), lambda k: position(share(k), F.col("slope"))))
     return df.select(
         "doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size")).cast("long").alias("taken"), "passes",
-        F.coalesce(times, F.array().cast("array<double>")).alias("positions"), *[F.col(f"_{c}").alias(c) for c in carry],
+        F.coalesce(times, F.array().cast("array<double>")).alias("positions"), "h",
     )
 
 
 def schedule(planned: DataFrame) -> DataFrame:
     """Every use of a document as a row, sorted by training position over the range of partitions."""
-    uses = planned.withColumn("position", F.explode("positions")).drop("positions")
+    uses = planned.withColumn("position", F.explode_outer("positions")).where("position IS NOT NULL").drop("positions")
     return uses.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+
+
+def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
+    """The documents with all their columns, once for each use, sorted by training position over the range of partitions."""
+    planned = stage(plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings), "mix-plan")
+    uses = planned.select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("h").alias("_h"), F.explode_outer("positions").alias("_position")
+    ).where("_position IS NOT NULL")
+    own = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
+    if not planned.groupBy("doc_id", "source", "h").count().where("count > 1").isEmpty():
+        own = own.dropDuplicates([id_col, source_col, "_own"])  # each of equal rows brings its uses; one of them meets them all
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & F.col(f"`{source_col}`").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_h"))
+    used = own.join(uses, same)
+    ordered = used.repartitionByRange("_position", "_own").sortWithinPartitions("_position", "_own")
+    return ordered.select(*[f"`{c}`" for c in docs.columns])
