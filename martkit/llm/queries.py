@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import ans, decontamination, licenses, mixing, near, quality, secrets, tokens
+from martkit.llm import ans, decontamination, extraction, licenses, mixing, near, quality, secrets, tokens
 from martkit.llm.catalog import query, table
 from martkit.session import scratch_path
 
@@ -112,3 +112,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_near_duplicate_forest")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return near.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query("op8_main_text")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages"))
