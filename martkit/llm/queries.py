@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import ans, decontamination, extraction, licenses, mixing, near, quality, secrets, tokens
+from martkit.llm import ans, decontamination, extraction, licenses, maxent, mixing, near, quality, secrets, tokens
 from martkit.llm.catalog import query, table
 from martkit.session import scratch_path
 
@@ -117,3 +117,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_main_text")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract(table(spark, folder, "pages"))
+
+
+@query("op7_maxent_scores")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score(table(spark, folder, "documents"))
