@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from martkit.llm.common import need
 from martkit.llm.html_blocks import NUMBERS, TAGS, WORDS, Block, blocks, features
 
-TRAIN_PAGES, EPOCHS, RATE = 400, 6, 0.01
+TRAIN_PAGES, EPOCHS, LEAST_STEPS, RATE = 400, 6, 150, 0.01
 WIDTH, HIDDEN = 12, 16
 
 TEXT = "page_id long, url string, text string, n_chars long"
@@ -222,6 +222,8 @@ def train(pages: list[str], epochs: int = EPOCHS, seed: int = 7, at_once: int =
     read = [(b, labels(b)) for b in map(blocks, pages) if b]
     if not read:
         return None
+    # where some pages have landmarks, the others' labels would be guesses
+    read = [(b, m) for b, m in read if any(ARTICLE & set(x.path) for x in b)] or read
     prose = [x.text for b, m in read for x, mark in zip(b, m) if mark and len(x.text.split()) > 5][:5000] or [x.text for b, _ in read for x in b]
     sample = []
     for b, m in read:
@@ -234,7 +236,7 @@ def train(pages: list[str], epochs: int = EPOCHS, seed: int = 7, at_once: int =
     model = new_model(choose)
     first, second = ({k: np.zeros_like(v) for k, v in model.items()} for _ in range(2))
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, LEAST_STEPS * at_once // len(sample))):
         order = choose.permutation(len(sample))
         order = sorted(order, key=lambda k: len(sample[k][1]) // 8)
         batches = [order[a : a + at_once] for a in range(0, len(order), at_once)]
