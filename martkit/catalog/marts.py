@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martkit.catalog import half_up_sql, mean_sql, query, units_sql
 from martkit.functions.bands import Bands
-from martkit.functions.dates import month_start
+from martkit.functions.dates import month_start, wall_time
 from martkit.functions.numbers import fixed_mean, fixed_sum
 from martkit.operators import marts, ranking, windows
 from martkit.operators.calendar import band_dimension, entity_dimension
@@ -357,7 +357,7 @@ def summary_record_events(t):
     SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-06-01'""")
 def filters_window(t):
     at = F.col("o_orderdate")
-    start, end = (F.lit(datetime(1997, m, 1)).cast("timestamp_ntz") for m in (3, 6))
+    start, end = (wall_time(datetime(1997, m, 1)) for m in (3, 6))
     return t.orders.where((at >= start) & (at < end))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from martkit import labels
 from martkit.catalog import mean_sql, query
 from martkit.catalog.series import daily_prices
+from martkit.functions.dates import wall_time
 from martkit.functions.numbers import fixed_mean
 from martkit.operators import marts, ranking
 from martkit.operators.calendar import entity_dimension
@@ -56,7 +57,7 @@ def window_replace(t):
     load(orders, datetime(1995, 1, 1), datetime(2002, 1, 1))
     start, end = datetime(1997, 3, 10), datetime(1997, 6, 1)
     at = F.col("o_orderdate")
-    inside = (at >= F.lit(start).cast("timestamp_ntz")) & (at < F.lit(end).cast("timestamp_ntz"))
+    inside = (at >= wall_time(start)) & (at < wall_time(end))
     for _ in range(2):
         load(orders.where(inside).withColumn("o_totalprice", F.lit(1.0)), start, end)
     load(orders.where("false"), datetime(1998, 1, 1), datetime(1998, 2, 1))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,3 +39,10 @@ def weekday_attributes(day: Column | str, weekday_names: Sequence[str]) -> dict[
         "weekday": _pick(weekday_names, iso),
         "is_weekend": F.upper((iso >= 6).cast("string")),
     }
+
+
+def wall_time(at: datetime) -> Column:
+    """A zone-less UTC literal, written as text: neither the machine's zone nor the session's has a say in it."""
+    if at.tzinfo:
+        at = at.astimezone(UTC).replace(tzinfo=None)
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")

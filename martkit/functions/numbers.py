@@ -1,8 +1,9 @@
 """Exact rounding, means and sums that do not depend on the order rows arrive in.
 
-Adding doubles gives slightly different sums for different partitionings. Measures with a known number of
-decimals are therefore added as scaled integers: exact, order-free and as cheap as a long addition.
-A sum beyond the range of a long fails loudly in ANSI mode; ``wide=True`` adds in 38-digit decimals instead.
+Adding doubles gives slightly different sums for different partitionings. Measures are therefore added as decimals with 18
+digits behind the point and 20 before it, which hold every digit of any ordinary measure. NaN and infinity count as unknown.
+A value of more than 20 whole digits is refused, a sum beyond 20 digits fails in ANSI mode and is null without it; nothing
+wraps around.
 """
 
 from __future__ import annotations
@@ -13,34 +14,36 @@ from pyspark.sql.types import DecimalType
 
 from martkit.functions.text import _col
 
+EXACT = DecimalType(38, 18)
 
-def scaled(c: Column | str, decimals: int, wide: bool = False) -> Column:
-    """Value in units of ``10**-decimals`` as a long (or a wide decimal)."""
-    units = F.rint(_col(c).cast("double") * F.lit(float(10**decimals))).cast("bigint")
-    return units.cast(DecimalType(20, 0)) if wide else units
 
+def exact(c: Column | str) -> Column:
+    """The value as a decimal with all its digits; null for NaN and infinity."""
+    value = _col(c)
+    wide = value.try_cast(EXACT)
+    number = value.cast("double")
+    refused = F.raise_error(F.concat(F.lit("more than 20 whole digits: "), value.cast("string"))).cast(EXACT)
+    return F.when(wide.isNotNull(), wide).when(number - number == 0, refused)
 
-def fixed_sum(c: Column | str, decimals: int = 2, wide: bool = False) -> Column:
-    """Exact aggregate sum as a decimal with ``decimals`` digits."""
-    total = F.sum(scaled(c, decimals, wide)).cast(DecimalType(30, 0))
-    return (total / F.lit(10**decimals).cast(DecimalType(20, 0))).cast(DecimalType(38, decimals))
+
+def fixed_sum(c: Column | str) -> Column:
+    """Exact aggregate sum as a decimal."""
+    return F.sum(exact(c))
 
 
 def half_up(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Quotient of two whole numbers, rounded half away from zero."""
-    whole = DecimalType(20, 0)
-    return F.round(F.try_divide(numerator.cast(whole), denominator.cast(whole)), digits)
+    """Quotient of a decimal or whole number by a whole number, rounded half away from zero."""
+    return F.round(F.try_divide(numerator.cast(EXACT), denominator.cast(DecimalType(20, 0))), digits)
 
 
-def fixed_mean(c: Column | str, digits: int, decimals: int = 2, wide: bool = False) -> Column:
+def fixed_mean(c: Column | str, digits: int) -> Column:
     """Mean of the known values, rounded half away from zero to ``digits``; null when there are none."""
-    total = F.sum(scaled(c, decimals, wide))
-    return half_up(total, F.count(_col(c)) * F.lit(10**decimals), digits)
+    return half_up(F.sum(exact(c)), F.count(exact(c)), digits)
 
 
 def round_half_up(c: Column | str, digits: int) -> Column:
     """Round a double the way a NUMERIC is rounded: on its decimal text, half away from zero."""
-    return F.round(_col(c).cast(DecimalType(38, 12)), digits)
+    return F.round(exact(c), digits)
 
 
 def within(c: Column | str, low, high) -> Column:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martkit.functions.numbers import exact
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -82,8 +84,9 @@ def total_in(count: str, label: str, chosen: Sequence[str]) -> Column:
 
 def weighted_mean(mean: str, count: str) -> Column:
     """Mean of group means by group size. A group without mean adds nothing above but counts below."""
-    weight = F.col(count).cast("decimal(18,0)")
-    above = F.sum(F.coalesce(F.col(mean).cast("decimal(18,6)") * weight, F.lit(0).cast("decimal(36,6)")))
+    # twelve digits behind the point and as many before it, times counts of up to fourteen digits
+    part = (exact(mean).cast("decimal(24,12)") * F.col(count).cast("decimal(13,0)")).cast("decimal(38,12)")
+    above = F.sum(F.coalesce(part, F.lit(0).cast("decimal(38,12)")))
     return F.try_divide(above.cast("double"), F.sum(count).cast("double"))
 
 

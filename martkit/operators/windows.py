@@ -8,12 +8,14 @@ are. ``series=()`` means the whole mart is one series, again at most one row per
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import month_start
-from martkit.functions.numbers import half_up
+from martkit.functions.numbers import exact, half_up
 from martkit.functions.text import _col
 from martkit.session import shared_root
 
@@ -49,7 +51,7 @@ def moving_average_rows(
 ) -> DataFrame:
     """Mean over the last ``rows`` rows. Missing days are not filled; early rows average fewer values."""
     w = _window(series, order).rowsBetween(-(rows - 1), 0)
-    return df.withColumn(name, half_up(F.sum(value).over(w), F.count(value).over(w), digits))
+    return df.withColumn(name, half_up(F.sum(exact(value)).over(w), F.count(exact(value)).over(w), digits))
 
 
 def calendar_average(
@@ -71,7 +73,7 @@ def present_average(
 ) -> DataFrame:
     """Mean over those of the last ``days`` calendar days that have data."""
     w = _trailing_days(series, day, days)
-    return df.withColumn(name, half_up(F.sum(value).over(w), F.count(value).over(w), digits))
+    return df.withColumn(name, half_up(F.sum(exact(value)).over(w), F.count(exact(value)).over(w), digits))
 
 
 def lag_features(
@@ -144,10 +146,7 @@ def peaks(
     for _ in range(count):
         pick = remaining.groupBy(*keys).agg(best.alias("p")).select(*keys, "p.*")
         picks = pick if picks is None else picks.unionByName(pick)
-        near = pick.select(*keys, F.col("position").alias("_pick"))
-        remaining = (
-            remaining.join(near, keys)
-            .where(F.abs(F.col("position") - F.col("_pick")) > apart)
-            .drop("_pick")
-        )
+        near = pick.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("position").alias("_pick"))
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])  # a null series is a series
+        remaining = remaining.join(near, same).where(F.abs(F.col("position") - F.col("_pick")) > apart).select(*placed.columns)
     return picks if series else picks.drop("_all")

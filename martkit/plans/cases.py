@@ -70,7 +70,7 @@ def case_marts(cases: DataFrame) -> dict[str, DataFrame]:
         "total_cases": F.count(F.lit(1)),
         "first_date": F.min("announce_date"),
         "last_date": F.max("announce_date"),
-        "avg_age": fixed_mean("age", 1, decimals=0),
+        "avg_age": fixed_mean("age", 1),
         "province_count": F.count_distinct("province"),
     })
     return marts

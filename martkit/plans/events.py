@@ -18,9 +18,6 @@ from martkit.operators.quality import Gate, RowRule, off_globe, out_of_range
 from martkit.operators.ranking import top_n
 from martkit.sinks.export import export_bundle
 
-# decimals kept when adding up magnitudes and depths
-_MAG_DECIMALS, _DEPTH_DECIMALS = 4, 4
-
 
 def enrich_events(events: DataFrame, kind: str = "earthquake") -> DataFrame:
     """Cleaned magnitude, region from the place text, bands, date and month; other kinds are dropped."""
@@ -47,11 +44,11 @@ def with_canonical_regions(enriched: DataFrame) -> DataFrame:
 
 
 def _magnitude_mean():
-    return fixed_mean("magnitude", 2, _MAG_DECIMALS)
+    return fixed_mean("magnitude", 2)
 
 
 def _depth_mean():
-    return fixed_mean("depth_km", 1, _DEPTH_DECIMALS)
+    return fixed_mean("depth_km", 1)
 
 
 def event_marts(enriched: DataFrame) -> dict[str, DataFrame]:

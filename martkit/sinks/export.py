@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.sinks.writers import _exists
@@ -12,10 +12,12 @@ from martkit.sources.tabular import BOM, list_files, read_typed_csv
 
 
 def _csv_text(c: Column, kind: str) -> Column:
-    """Shortest plain text: whole doubles lose ``.0``, small and large ones their exponent."""
+    """Shortest text that reads back as the same value: whole doubles lose ``.0``; those that a plain decimal cannot hold
+    keep their exponent."""
     if kind in ("double", "float"):
         plain = c.try_cast("decimal(38,17)").cast("string")
-        return F.coalesce(F.regexp_replace(F.regexp_replace(plain, r"(\.\d*?)0+$", "$1"), r"\.$", ""), c.cast("string"))
+        short = F.regexp_replace(F.regexp_replace(plain, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+        return F.when(short.try_cast(kind) == c, short).otherwise(c.cast("string"))
     if kind.startswith("timestamp"):
         return c.cast("string")
     return c
@@ -32,10 +34,12 @@ def write_csv(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> D
     plain = ordered.select(*[_csv_text(F.col(f"`{n}`"), t).alias(n) for n, t in df.dtypes])
     first = plain.columns[0]
     out = plain.withColumnRenamed(first, BOM + first)
-    out.write.mode("overwrite").option("header", "true").option("escape", '"').option("encoding", "UTF-8").csv(path)
-    spark = df.sparkSession
-    # counted in the files, where a quoted text may span lines; the table itself is not worked out again
-    rows = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path).count()
+    spark, seen = df.sparkSession, Observation()
+    counted = out.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.mode("overwrite").option("header", "true").option("escape", '"').option("encoding", "UTF-8")
+    # padding belongs to the text
+    writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    rows = seen.get["rows"]
     size = list_files(spark, path, "*.csv").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files"))
     return size.select(F.lit(path.rsplit("/", 1)[-1]).alias("name"), F.lit(rows).cast("bigint").alias("rows"), "files", "bytes")
 
@@ -70,4 +74,8 @@ def mart_status(spark: SparkSession, path: str, columns: Sequence[str]) -> DataF
     """(ready, reason, ...): whether a summary was built, and its figures."""
     if not _exists(spark, path):
         return spark.range(1).select(F.lit(False).alias("ready"), F.lit("summary not built yet").alias("reason"))
-    return spark.read.parquet(path).select(F.lit(True).alias("ready"), *columns)
+    stored = spark.read.parquet(path).select(*columns)
+    # a summary without rows is as good as none: the one row then says so
+    one = spark.range(1).join(stored.withColumn("_there", F.lit(True)), F.lit(True), "left")
+    ready = F.coalesce("_there", F.lit(False))
+    return one.select(ready.alias("ready"), *columns)

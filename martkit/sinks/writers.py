@@ -9,12 +9,12 @@ and ends on month bounds, so that nothing but the batch belongs to the months it
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.functions.dates import month_start
+from martkit.functions.dates import month_start, wall_time
 from martkit.operators.dedupe import keep_first, keep_last
 from martkit.session import scratch_path
 
@@ -83,10 +83,13 @@ def _replace_months(staged: DataFrame, path: str, filled: set[str], months: Sequ
     writer = staged.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(MONTH).parquet(path)
     spark = staged.sparkSession
-    empty = spark.createDataFrame([], staged.drop(MONTH).schema)
-    for month in sorted(set(months) - filled):
-        if _exists(spark, f"{path}/{MONTH}={month}"):
-            empty.write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
+    # months left without rows go as folders, without a job each; a table without any month keeps its schema in an empty one
+    fs, root = _file_system(spark, path)
+    cleared = sorted(set(months) - filled)
+    for month in cleared:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MONTH}={month}"), True)
+    if cleared and not any(f.getPath().getName().startswith(f"{MONTH}=") for f in fs.listStatus(root)):
+        spark.createDataFrame([], staged.drop(MONTH).schema).write.mode("overwrite").parquet(f"{path}/{MONTH}={cleared[0]}")
 
 
 def rebuild(df: DataFrame, path: str) -> DataFrame:
@@ -103,9 +106,9 @@ def append_log(df: DataFrame, path: str, stamp: str = "inserted_at") -> None:
 
 def months_between(start: date | datetime, end: date | datetime) -> list[str]:
     """Months touched by the half-open window ``[start, end)``."""
-    last = (end.year, end.month) if (end.day, getattr(end, "hour", 0), getattr(end, "minute", 0)) != (1, 0, 0) else (
-        (end.year, end.month - 1) if end.month > 1 else (end.year - 1, 12)
-    )
+    moment = end if isinstance(end, datetime) else datetime(end.year, end.month, end.day)
+    last = moment - timedelta(microseconds=1)
+    last = (last.year, last.month)
     out, year, month = [], start.year, start.month
     while (year, month) <= last:
         out.append(f"{year:04d}-{month:02d}")
@@ -142,7 +145,7 @@ def replace_window(
     the touched months outside the window are kept. Reports distinct keys of the batch and stored rows.
     """
     spark = batch.sparkSession
-    lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    lo, hi = wall_time(start), wall_time(end)
     inside = (F.col(at) >= lo) & (F.col(at) < hi)
     months = months_between(start, end)
     with Staging(spark, "window") as stage:

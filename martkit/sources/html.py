@@ -6,6 +6,7 @@ row, so pages are spread over tasks like any other rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -113,7 +114,6 @@ def extract_prices(
 def extract_price(
     html: Column | str,
     names: Sequence[str] = labels.FUEL_NAMES,
-    pattern: str = labels.FUEL_TEXT_PATTERN,
     price_range: tuple[float, float] = labels.PRICE_RANGE,
 ) -> Column:
     """Price of the first table row whose name is known and whose price is valid, else from the page text."""
@@ -125,4 +125,12 @@ def extract_price(
         lambda r: number_in_range(F.get(r, F.lit(1)), low, high),
     )
     first = F.get(F.filter(hits, lambda p: p.isNotNull()), F.lit(0))
-    return F.coalesce(first, number_in_range(F.regexp_extract(plain_text(visible(html)), pattern, 1), low, high))
+    return F.coalesce(first, number_in_range(number_after(plain_text(visible(html)), names), low, high))
+
+
+def number_after(text: Column, names: Sequence[str]) -> Column:
+    """The number that follows the first of the names to be followed by one; blanks or bars stand between."""
+    behind = F.slice(F.split(F.lower(text), "|".join(map(re.escape, names))), 2, 1 << 30)
+    parted = F.filter(behind, lambda t: F.left(t, F.lit(1)).isin(" ", "|"))
+    numbers = F.transform(parted, lambda t: F.regexp_extract(F.ltrim(t, F.lit(" |")), r"^[0-9]+([.][0-9]+)?", 0))
+    return F.get(F.filter(numbers, lambda n: n != ""), F.lit(0))

@@ -91,10 +91,12 @@ def drop_blank(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """UTF-8 with byte-order mark, header line, quoted fields, declared types."""
+    """UTF-8 with byte-order mark, header line, quoted fields that may span lines, declared types.
+
+    A quoted text may hold a line break, so a file is read by one task; exports are many files for that reason."""
     return (
         spark.read.schema(schema).option("header", "true").option("encoding", "UTF-8").option("escape", '"')
-        .option("multiLine", "false").csv(path)
+        .option("multiLine", "true").csv(path)
     )
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from martkit.functions.dates import wall_time
 from martkit.operators.quality import require_rows
 from martkit.sinks.writers import Staging, insert_if_absent, replace_window, upsert
 from martkit.sources.feed import FEED_SCHEMA, is_loadable, parse_events
@@ -38,7 +39,7 @@ def load_window(feed: DataFrame, path: str, start: datetime, end: datetime) -> d
         events = stage(parse_events(feed))
         order = [c for c in ("feed_order",) if c in events.columns]
         counts = events.agg(F.count_if(is_loadable()).alias("good"), F.count_if(~is_loadable()).alias("bad")).first()
-        good = events.where(is_loadable()).withColumn("ingested_at", F.lit(datetime.now()).cast("timestamp_ntz"))
+        good = events.where(is_loadable()).withColumn("ingested_at", wall_time(datetime.now(UTC)))
         result = replace_window(good, path, "occurred_at", start, end, list(EVENT_KEYS), order)
     return result | {"attempted": counts.good, "rejected": counts.bad}
 
