@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martkit.catalog import mean_sql, query
 from martkit.functions import text
 from martkit.functions.numbers import fixed_mean, within
-from martkit.operators import dedupe, marts, windows
+from martkit.operators import dedupe, forecast, marts, quality, windows
 from martkit.operators.quality import Gate, RowRule, off_globe, out_of_range
 from martkit.sources.feed import is_loadable
 from martkit.sources.tabular import drop_blank
@@ -149,12 +149,27 @@ def quality_report(t):
     WITH d AS (SELECT event_type, count(DISTINCT CAST(ts AS DATE)) AS days FROM events GROUP BY 1)
     SELECT event_type, days, days >= 30 AS enough_history, days >= 11 AS enough_for_holdout, days - 5 - 5 >= 20 AS enough_to_train FROM d""")
 def history_gate(t):
-    daily = windows.daily_series(t.events, "ts", ["event_type"])
-    days = F.col("days")
-    return marts.count_by(daily, "event_type", "days").select(
-        "event_type", "days", (days >= 30).alias("enough_history"), (days >= 5 + 5 + 1).alias("enough_for_holdout"),
-        (days - 5 - 5 >= 20).alias("enough_to_train"),
-    )
+    """Each check run on each series; the days it counts are the helpers' own."""
+    daily = windows.daily_series(t.events, "ts", ["event_type"]).cache()
+    rows = []
+    for kind in sorted(r.event_type for r in daily.select("event_type").distinct().collect()):
+        series = daily.where(F.col("event_type") == kind)
+        days = _passes(lambda: quality.require_rows(series, 0, "days"))
+        train = windows.ordered_holdout(windows.lag_features(series, "n"), rows=5).where("NOT is_holdout")
+        rows.append((kind, days, *(
+            _passes(check) is not None
+            for check in (lambda: forecast.check_history(series), lambda: forecast.check_history(series, 0), lambda: forecast.check_training(train))
+        )))
+    names = "event_type string, days bigint, enough_history boolean, enough_for_holdout boolean, enough_to_train boolean"
+    return t.spark.createDataFrame(rows, names)
+
+
+def _passes(check):
+    """What a check returns, or null where it raises."""
+    try:
+        return check()
+    except quality.QualityError:
+        return None
 
 
 @query("run_report", f"""

@@ -91,9 +91,19 @@ def with_lag_mean(requests: DataFrame) -> DataFrame:
     return requests.withColumn("lag_mean", mean)
 
 
+def split_scorable(requests: DataFrame, columns: Sequence[str] = LAG_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """(requests that can be scored, the others with the names of the inputs at fault)."""
+    bad = F.array_compact(F.array(*[F.when(~is_scorable([c]), F.lit(c)) for c in columns]))
+    fine = is_scorable(columns)
+    return requests.where(fine), requests.where(~fine).withColumn("rejected_inputs", F.array_join(bad, ","))
+
+
 def score(model: PipelineModel, requests: DataFrame, unit: str = labels.PRICE_UNIT, model_time=None) -> DataFrame:
-    """Forecast floored at zero and rounded to 2 digits, its change against the last price and direction."""
-    scored = model.transform(with_lag_mean(requests)).drop("features")
+    """Forecast floored at zero and rounded to 2 digits, its change against the last price and direction.
+
+    Requests that cannot be scored are left out, so that one of them does not fail the others; ``split_scorable`` has them.
+    """
+    scored = model.transform(with_lag_mean(split_scorable(requests)[0])).drop("features")
     out = scored.withColumn("forecast", floored_forecast("prediction")).drop("prediction")
     return forecast_change(out.withColumn("unit", F.lit(unit)).withColumn("model_time", F.lit(model_time).cast("string")))
 

@@ -56,8 +56,9 @@ def latest_row(df: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
 
 
 def latest_where(df: DataFrame, condition: Column, value: str, order: str) -> Column:
-    """Scalar: ``value`` of the newest row that meets ``condition``, null when there is none."""
-    return df.where(condition).agg(F.max_by(value, order).alias(value)).scalar()
+    """Scalar: ``value`` of the newest row that meets ``condition``, null when there is none; the least of equally new ones."""
+    newest = F.min_by(value, F.struct(-F.unix_micros(F.col(order).cast("timestamp")), F.col(value)))
+    return df.where(condition).agg(newest.alias(value)).scalar()
 
 
 def with_leaders(

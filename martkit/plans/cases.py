@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,19 +23,26 @@ from martkit.sources.workbook import read_workbooks
 
 
 def load_cases(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Typed raw cases of all files; workbooks and delimited files may be mixed in separate calls."""
-    read = read_workbooks if paths[0].lower().endswith(".xlsx") else read_harmonised
-    text = read(spark, paths, labels.CASE_HEADERS, labels.CASE_COLUMNS, labels.CASE_REQUIRED)
+    """Typed raw cases of all files, workbooks and delimited ones."""
+    books = [p for p in paths if p.lower().endswith(".xlsx")]
+    parts = [
+        _typed(read(spark, files, labels.CASE_HEADERS, labels.CASE_COLUMNS, labels.CASE_REQUIRED), read is read_workbooks)
+        for read, files in ((read_workbooks, books), (read_harmonised, [p for p in paths if p not in books])) if files
+    ]
+    return drop_blank(reduce(DataFrame.unionByName, parts), ["case_no", "announce_date", "province_of_isolation"])
+
+
+def _typed(text: DataFrame, day_numbers: bool) -> DataFrame:
     longs, dates = ("case_no", "age"), ("announce_date", "notified_date")
     typed = []
     for c in labels.CASE_COLUMNS:
         if c in longs:
             typed.append(lenient_long(c).alias(c))
         elif c in dates:
-            typed.append(lenient_date(c, serial_numbers=read is read_workbooks).alias(c))
+            typed.append(lenient_date(c, serial_numbers=day_numbers).alias(c))
         else:
             typed.append(squeeze_or_null(c).alias(c))
-    return drop_blank(text.select(*typed, "source_file"), ["case_no", "announce_date", "province_of_isolation"])
+    return text.select(*typed, "source_file")
 
 
 def clean_cases(raw: DataFrame) -> DataFrame:
@@ -109,7 +117,8 @@ def case_star(cases: DataFrame, marts: dict[str, DataFrame]) -> dict[str, tuple[
 def run_report(raw: DataFrame, cases: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
     """Loaded, clean and dropped rows, date range, mean age, and the largest province."""
     loaded = raw.agg(F.count(F.lit(1)).alias("n")).scalar()
-    top = F.max_by("province", F.struct(F.col("cases"), F.col("province")))
+    # of equal provinces the first label, as in the ranks
+    top = F.min_by("province", F.struct(-F.col("cases"), F.col("province")))
     return marts["summary"].select(
         loaded.alias("loaded"),
         F.col("total_cases").alias("clean"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -62,26 +63,37 @@ def read_harmonised(
 ) -> DataFrame:
     """Delimited files with differing headers as one table of text columns.
 
-    Only the header line of each file is looked at on the driver. Files with the same header are read by one
-    scan, so the plan grows with the number of layouts, not of files. Absent columns are null.
+    A path may be a folder, whose files may differ among themselves. One job reads the first line of every file; files
+    with the same line are read by one scan, so the plan grows with the number of layouts, not of files. Absent columns
+    are null. A quoted field may span lines.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(spark.read.option("header", "true").csv(path).columns)
-        require_columns(path, map_headers(header, aliases), required, header)
-        layouts.setdefault(header, []).append(path)
-
-    def scan(header: tuple[str, ...], files: list[str]) -> DataFrame:
+    layouts: dict[str, list[str]] = {}
+    for row in first_lines(spark, paths).collect():  # one short row for each file
+        layouts.setdefault(row.line, []).append(row.path)
+    if not layouts:
+        raise MissingSource(f"no data in {list(paths)}")
+
+    def scan(line: str, files: list[str]) -> DataFrame:
+        header = next(csv.reader([line]))
         positions = map_headers(header, aliases)
+        require_columns(files[0], positions, required, header)
         names = [f"c{i}" for i in range(len(header))]
         schema = ", ".join(f"{n} string" for n in names)
-        raw = spark.read.schema(schema).option("header", "true").csv(files)
+        raw = spark.read.schema(schema).option("header", "true").option("multiLine", "true").option("escape", '"').csv(files)
         columns: list[Column] = [
             (F.col(names[positions[t]]) if t in positions else F.lit(None).cast("string")).alias(t) for t in targets
         ]
         return raw.select(*columns, F.col("_metadata.file_name").alias(tag))
 
-    return reduce(DataFrame.unionByName, [scan(h, f) for h, f in layouts.items()])
+    return reduce(DataFrame.unionByName, [scan(h, sorted(f)) for h, f in sorted(layouts.items())])
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, line``: the first line of each file. Only the first block of a file is looked at."""
+    lines = spark.read.text(list(paths)).where("_metadata.file_block_start = 0")
+    # ids grow along a task's rows, and a file's first block is one task's
+    first = lines.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
+    return first.groupBy("path").agg(F.min_by("value", "at").alias("line"))
 
 
 def drop_blank(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,16 +7,23 @@ walked row by row, so a task holds the shared texts and one batch of rows, never
 from __future__ import annotations
 
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from martkit.sources.tabular import map_headers, require_columns
 
+# the reader travels with its tasks: workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Days from the first day of one date system to that of the other.
+_LATER_SYSTEM = 1462
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
@@ -54,10 +61,45 @@ def _shared_texts(book: zipfile.ZipFile) -> list[str]:
     return out
 
 
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Numbers of the cell styles that show a date."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    styles = ElementTree.fromstring(book.read("xl/styles.xml"))
+    coded = {int(f.get("numFmtId")): f.get("formatCode", "") for f in styles.iter(f"{_MAIN}numFmt")}
+    dates = {*range(14, 18), 22} | {n for n, code in coded.items() if re.search("[dy]", re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", code), re.I)}
+    cells = styles.find(f"{_MAIN}cellXfs")
+    return {k for k, xf in enumerate(cells if cells is not None else ()) if int(xf.get("numFmtId", 0)) in dates}
+
+
+def _counts_from_1904(book: zipfile.ZipFile) -> bool:
+    about = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{_MAIN}workbookPr")
+    return about is not None and about.get("date1904") in ("1", "true")
+
+
+def _cell_text(cell, shared: list[str], later: set[int]) -> str | None:
+    """A cell as text: booleans in words, dates of either system as day numbers of the usual one, ISO dates as written."""
+    kind, value = cell.get("t"), cell.find(f"{_MAIN}v")
+    if kind == "inlineStr":
+        return _texts(cell)
+    if value is None or value.text is None or kind == "e":
+        return None
+    if kind == "s":
+        return shared[int(value.text)]
+    if kind == "b":
+        return "true" if value.text == "1" else "false"
+    if kind == "d":
+        return value.text.split("T")[0]
+    if kind in (None, "n") and int(cell.get("s", -1)) in later:
+        return repr(float(value.text) + _LATER_SYSTEM)
+    return value.text
+
+
 def sheet_rows(path: str) -> Iterator[list[str | None]]:
     """Cell texts row by row; dates stay spreadsheet day numbers."""
     with zipfile.ZipFile(path) as book:
         shared = _shared_texts(book)
+        later = _date_styles(book) if _counts_from_1904(book) else set()
         with book.open(_first_sheet(book)) as part:
             for _, element in ElementTree.iterparse(part):
                 if element.tag != f"{_MAIN}row":
@@ -66,11 +108,7 @@ def sheet_rows(path: str) -> Iterator[list[str | None]]:
                 for cell in element.iter(f"{_MAIN}c"):
                     at = _column_number(cell.get("r")) if cell.get("r") else len(row)
                     row.extend([None] * (at + 1 - len(row)))
-                    value = cell.find(f"{_MAIN}v")
-                    if cell.get("t") == "inlineStr":
-                        row[at] = _texts(cell)
-                    elif value is not None and value.text is not None:
-                        row[at] = shared[int(value.text)] if cell.get("t") == "s" else value.text
+                    row[at] = _cell_text(cell, shared, later)
                 yield row
                 element.clear()
 
@@ -89,7 +127,7 @@ class _WorkbookReader(DataSourceReader):
         return [_Book(p) for p in self.paths]
 
     def read(self, partition):
-        name = partition.path.rsplit("/", 1)[-1]
+        name = partition.path
         rows = sheet_rows(partition.path)
         first = next(rows, None)
         if self.header:
@@ -100,7 +138,7 @@ class _WorkbookReader(DataSourceReader):
 
 
 class WorkbookSource(DataSource):
-    """``spark.read.format("workbook").option("paths", "a.xlsx\nb.xlsx")`` -> (source_file, cells).
+    """``spark.read.format("workbook").option("paths", "a.xlsx\nb.xlsx")`` -> (source_path, cells).
 
     Gives the rows below the first one, or with ``header=true`` only the first one. Every path has to be
     readable as a file on the executors, such as a mounted share.
@@ -111,7 +149,7 @@ class WorkbookSource(DataSource):
         return "workbook"
 
     def schema(self):
-        return "source_file string, cells array<string>"
+        return "source_path string, cells array<string>"
 
     def reader(self, schema):
         paths = [p for p in self.options["paths"].split("\n") if p]
@@ -143,7 +181,7 @@ def read_workbooks(
         pairs = [F.lit(x) for name, at in positions.items() if target in at for x in (name, at[target])]
         if not pairs:
             return F.lit(None).cast("string")
-        return F.get("cells", F.try_element_at(F.create_map(*pairs), F.col("source_file")))
+        return F.get("cells", F.try_element_at(F.create_map(*pairs), F.col("source_path")))
 
     rows = books.option("header", "false").load()
-    return rows.select(*[pick(t).alias(t) for t in targets], F.col("source_file").alias(tag))
+    return rows.select(*[pick(t).alias(t) for t in targets], F.substring_index("source_path", "/", -1).alias(tag))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martkit.functions.dates import wall_time
 from martkit.operators.quality import require_rows
-from martkit.sinks.writers import Staging, insert_if_absent, replace_window, upsert
+from martkit.sinks.writers import Staging, _exists, append_log, insert_if_absent, replace_window, upsert
 from martkit.sources.feed import FEED_SCHEMA, is_loadable, parse_events
 
 EVENT_KEYS = ("event_id",)
@@ -44,23 +45,62 @@ def load_window(feed: DataFrame, path: str, start: datetime, end: datetime) -> d
     return result | {"attempted": counts.good, "rejected": counts.bad}
 
 
+LOAD_LOG = "window_start date, window_end date, stored bigint, loaded_at timestamp_ntz"
+
+
+def backfill(
+    spark: SparkSession, fetch: Callable[[datetime, datetime], DataFrame], path: str, log_path: str, start: date, until: date
+) -> DataFrame:
+    """Load every full month from ``start`` to ``until`` that the load log lacks, and log it.
+
+    Neighbouring months are fetched, parsed, deduplicated and written together: the number of jobs follows the number of
+    gaps in the log, not that of months. A month is logged after it has been stored; a load that died is done again.
+    """
+    log = spark.read.schema(LOAD_LOG).parquet(log_path) if _exists(spark, log_path) else spark.createDataFrame([], LOAD_LOG)
+    pending = [r.window_start for r in pending_windows(month_windows(spark, start, until), log).orderBy("window_start").collect()]
+    spans: list[list[date]] = []
+    for month in pending:
+        if spans and spans[-1][1] == month:
+            spans[-1][1] = _next_month(month)
+        else:
+            spans.append([month, _next_month(month)])
+    for first, end in spans:
+        lo, hi = datetime(first.year, first.month, 1), datetime(end.year, end.month, 1)
+        load_window(fetch(lo, hi), path, lo, hi)
+        at = F.col("occurred_at")
+        stored = spark.read.parquet(path).where((at >= wall_time(lo)) & (at < wall_time(hi)))
+        counts = stored.groupBy(F.trunc("occurred_at", "MM").alias("window_start")).agg(F.count(F.lit(1)).alias("stored"))
+        months = month_windows(spark, first, end).join(counts, "window_start", "left")
+        months.select(
+            "window_start", "window_end", F.coalesce("stored", F.lit(0)).cast("bigint").alias("stored"), wall_time(datetime.now(UTC)).alias("loaded_at")
+        ).write.mode("append").parquet(log_path)
+    return spark.read.schema(LOAD_LOG).parquet(log_path) if spans or _exists(spark, log_path) else log
+
+
+def _next_month(month: date) -> date:
+    return date(month.year + month.month // 12, month.month % 12 + 1, 1)
+
+
 def ingest_totals(events: DataFrame) -> DataFrame:
     return events.agg(
         F.count(F.lit(1)).alias("total"), F.min("occurred_at").alias("first_event"), F.max("occurred_at").alias("last_event")
     )
 
 
-def stream_feed(spark: SparkSession, landing: str, path: str, checkpoint: str) -> StreamingQuery:
+def stream_feed(spark: SparkSession, landing: str, path: str, checkpoint: str, counts: str | None = None) -> StreamingQuery:
     """Load newly landed pages as micro-batches, then stop: each event id is stored once, first writer wins.
 
     A batch repeated after a failure finds its ids in the table and adds nothing, so the sink is
-    idempotent without a transaction log.
+    idempotent without a transaction log. ``counts``: a log that gets a row for each batch with its good and bad lines.
     """
     pages = spark.readStream.schema(FEED_SCHEMA).option("header", "true").option("enforceSchema", "false").csv(landing)
 
-    def store(batch: DataFrame, _: int) -> None:
-        events = parse_events(batch).where(is_loadable())
-        insert_if_absent(events, path, list(EVENT_KEYS), ["occurred_at"], at="occurred_at")
+    def store(batch: DataFrame, number: int) -> None:
+        events = parse_events(batch)
+        insert_if_absent(events.where(is_loadable()), path, list(EVENT_KEYS), ["occurred_at"], at="occurred_at")
+        if counts:
+            tally = events.agg(F.count_if(is_loadable()).alias("attempted"), F.count_if(~is_loadable()).alias("rejected"))
+            append_log(tally.withColumn("batch", F.lit(number).cast("bigint")), counts)
 
     return (
         pages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

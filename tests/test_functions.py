@@ -102,3 +102,17 @@ def test_fixed_mean_is_exact(spark, values):
     got = df.agg(numbers.fixed_mean("v", 1).alias("m"), numbers.fixed_sum("v").alias("s")).first()
     exact = (Decimal(sum(values)) / (100 * len(values))).quantize(Decimal("0.1"), ROUND_HALF_UP)
     assert got.m == exact and got.s == Decimal(sum(values)) / 100
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_keep_digits_and_survive_nan(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(1.23456,)] * 3 + [(float("nan"),), (float("inf"),), (None,)], "v double")
+        got = df.agg(numbers.fixed_mean("v", 4).cast("double").alias("m"), numbers.fixed_sum("v").cast("double").alias("s")).first()
+        assert (got.m, got.s) == (1.2346, 3.70368)
+        with pytest.raises(Exception, match="20 whole digits"):
+            spark.createDataFrame([(1e25,)], "v double").agg(numbers.fixed_sum("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -1,5 +1,8 @@
 """Loads run twice, empty windows, cross-window keys."""
 
+import os
+import subprocess
+import sys
 from datetime import date, datetime
 
 import pytest
@@ -100,3 +103,26 @@ def test_pending_windows(spark):
     loaded = spark.createDataFrame([(date(2024, 2, 1),)], "window_start date")
     assert {str(r.window_end) for r in incremental.pending_windows(windows, loaded).collect()} == {"2024-02-01", "2024-04-01"}
     assert incremental.month_windows(spark, date(2024, 5, 1), date(2024, 5, 20)).count() == 0
+
+
+def test_window_bounds_ignore_the_machines_zone():
+    """The same load on machines of different zones: rows beside the window stay."""
+    code = """
+import sys, tempfile
+from datetime import datetime
+from martkit.session import local_session
+from martkit.sinks import writers
+spark, path = local_session("zone", 2, "1g"), tempfile.mkdtemp() + "/t"
+rows = [("a", datetime(2024, 3, 9, 18), 1), ("b", datetime(2024, 3, 10), 1), ("c", datetime(2024, 3, 19, 23), 1), ("d", datetime(2024, 3, 20), 1)]
+df = spark.createDataFrame([(i, at.isoformat(), v) for i, at, v in rows], "id string, at string, v int").selectExpr("id", "cast(at as timestamp_ntz) at", "v")
+writers.replace_window(df, path, "at", datetime(2024, 3, 1), datetime(2024, 4, 1), ["id"])
+writers.replace_window(df.where("false"), path, "at", datetime(2024, 3, 10), datetime(2024, 3, 20), ["id"])
+print(sorted(r.id for r in spark.read.parquet(path).collect()))
+"""
+    for zone in ("Asia/Bangkok", "UTC", "America/New_York"):
+        done = subprocess.run([sys.executable, "-c", code], env=os.environ | {"TZ": zone}, capture_output=True, text=True, check=True)
+        assert done.stdout.strip().splitlines()[-1] == "['a', 'd']", zone
+
+
+def test_a_second_past_midnight_counts():
+    assert writers.months_between(JAN, datetime(2024, 2, 1, 0, 0, 30)) == ["2024-01", "2024-02"]
