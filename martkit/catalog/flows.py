@@ -137,7 +137,7 @@ def case_gate(t):
     WITH c AS ({_CLEAN}), p AS (SELECT province, count(*) AS n FROM c GROUP BY 1)
     SELECT (SELECT count(*) FROM ({_RAW})) AS loaded, count(*) AS clean, (SELECT count(*) FROM ({_RAW})) - count(*) AS dropped,
            min(announce_date) AS first_date, max(announce_date) AS last_date, {mean_sql('age', 1, 0)} AS avg_age,
-           count(DISTINCT province) AS province_count, (SELECT province FROM p ORDER BY n DESC, province DESC LIMIT 1) AS top_province FROM c""")
+           count(DISTINCT province) AS province_count, (SELECT province FROM p ORDER BY n DESC, province LIMIT 1) AS top_province FROM c""")
 def case_run_report(t):
     raw = _raw_cases(t)
     return cases.run_report(raw, cases.clean_cases(raw), _case_marts(t))
@@ -219,6 +219,15 @@ _EVENT_SUMMARY = f"""
            count(DISTINCT region) AS region_count, count(*) FILTER (magnitude >= 6) AS events_m6_plus FROM ({_ENRICHED})"""
 
 
+@query("event_run_report", f"""
+    WITH r AS (SELECT region, events FROM ({_EVENT_MARTS['by_region']}) ORDER BY events DESC, region LIMIT 1),
+    s AS (SELECT event_id, magnitude, place FROM ({_EVENT_MARTS['strongest']}) ORDER BY magnitude DESC, occurred_at DESC, event_id LIMIT 1)
+    SELECT m.total_events AS events, first_event, last_event, r.region AS top_region, r.events AS top_region_events,
+           s.event_id AS strongest_event, s.magnitude AS strongest_magnitude, s.place AS strongest_place FROM ({_EVENT_SUMMARY}) m, r, s""")
+def event_run_report(t):
+    return events.run_report(events.event_marts(_enriched(t)))
+
+
 @query("event_summary_record", f"""
     SELECT *, (SELECT place FROM ({_EVENT_MARTS['strongest']}) ORDER BY magnitude DESC, occurred_at DESC LIMIT 1) AS strongest_place,
            (SELECT region FROM ({_EVENT_MARTS['by_region']}) ORDER BY events DESC, region LIMIT 1) AS top_region FROM ({_EVENT_SUMMARY})""")

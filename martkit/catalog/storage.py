@@ -86,7 +86,7 @@ def upsert(t):
     daily = t.orders.groupBy(*keys).agg(price)
     writers.upsert(daily, path, ["date", "symbol"], "date")
     fresh = daily.where("year(date) = 1999 and symbol <> 'O'").withColumn("price", F.lit(50.0))
-    extra = daily.limit(1).select(F.lit(date(2010, 1, 1)).alias("date"), F.lit("F").alias("symbol"), F.lit(50.0).alias("price"))
+    extra = t.spark.createDataFrame([(date(2010, 1, 1), "F", 50.0)], "date date, symbol string, price double")
     for _ in range(2):
         writers.upsert(fresh.unionByName(extra), path, ["date", "symbol"], "date")
     return t.spark.read.parquet(path).drop("month", "inserted_at")
@@ -106,7 +106,9 @@ def header_harmonise(t):
     root, paths = scratch_path(t.spark, "headers"), []
     for status, columns in layouts.items():
         paths.append(f"{root}/{status}")
-        part = t.orders.where(F.col("o_orderstatus") == status).select(*[c.alias(n) for n, c in columns.items()])
+        # whatever is neither of the first two goes to the last
+        own = ~F.col("o_orderstatus").isin("P", "F") if status == "O" else F.col("o_orderstatus") == status
+        part = t.orders.where(own).select(*[c.alias(n) for n, c in columns.items()])
         part.write.option("header", "true").csv(paths[-1])
     targets = ["case_no", "announce_date", "risk"]
     return read_harmonised(t.spark, paths, labels.CASE_HEADERS, targets, labels.CASE_REQUIRED).drop("source_file")

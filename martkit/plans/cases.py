@@ -137,5 +137,6 @@ def build_cases(spark: SparkSession, paths: Sequence[str], out: str) -> DataFram
     for name, mart in case_marts(cases).items():
         mart.write.mode("overwrite").parquet(f"{out}/{name}")
         marts[name] = spark.read.parquet(f"{out}/{name}")
+    run_report(raw, cases, marts).write.mode("overwrite").parquet(f"{out}/run_report")
     case_gate(cases, marts["daily"]).enforce()
     return export_bundle(case_star(cases, marts), f"{out}/export")

@@ -135,6 +135,21 @@ def event_star(enriched: DataFrame, marts: dict[str, DataFrame]) -> dict[str, tu
     }
 
 
+def run_report(marts: dict[str, DataFrame]) -> DataFrame:
+    """One row: events and their span, the region with most of them (of equal ones the first), the strongest event."""
+    top = F.min_by(F.struct("region", "events"), F.struct(-F.col("events"), F.col("region")))
+    first = F.struct(-F.col("magnitude"), -F.unix_micros(F.col("occurred_at").cast("timestamp")), F.col("event_id"))
+    strongest = F.min_by(F.struct("event_id", "magnitude", "place"), first)
+    one = marts["summary"].select(
+        F.col("total_events").alias("events"), "first_event", "last_event",
+        marts["by_region"].agg(top.alias("r")).scalar().alias("r"), marts["strongest"].agg(strongest.alias("s")).scalar().alias("s"),
+    )
+    return one.select(
+        "events", "first_event", "last_event", F.col("r.region").alias("top_region"), F.col("r.events").alias("top_region_events"),
+        F.col("s.event_id").alias("strongest_event"), F.col("s.magnitude").alias("strongest_magnitude"), F.col("s.place").alias("strongest_place"),
+    )
+
+
 def build_events(spark: SparkSession, events: DataFrame, out: str) -> DataFrame:
     """The whole flow: enriched events are written once, canonical regions once, every mart reads those."""
     enrich_events(events).write.mode("overwrite").parquet(f"{out}/enriched_raw")
@@ -145,5 +160,6 @@ def build_events(spark: SparkSession, events: DataFrame, out: str) -> DataFrame:
     for name, mart in event_marts(enriched).items():
         mart.write.mode("overwrite").parquet(f"{out}/{name}")
         marts[name] = spark.read.parquet(f"{out}/{name}")
+    run_report(marts).write.mode("overwrite").parquet(f"{out}/run_report")
     event_gate(enriched, marts).enforce()
     return export_bundle(event_star(enriched, marts), f"{out}/export")

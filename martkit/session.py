@@ -49,4 +49,14 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared root, never used before."""
-    return f"{shared_root(spark).rstrip('/')}/martkit/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_own_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark).rstrip('/')}/martkit/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has staged in the shared folder, once no result depends on it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
