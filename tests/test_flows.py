@@ -259,3 +259,43 @@ def test_split_is_stable_and_classifier_learns(spark):
 
 def test_status_of_unbuilt_mart(spark, tmp_path):
     assert not export.mart_status(spark, str(tmp_path / "no"), ["a"]).first().ready
+
+
+def test_workbooks_of_one_name_in_two_folders(spark, tmp_path):
+    for name, header, row in (("x", ["No.", "announce date", "risk"], ["1", "44197", "r1"]), ("y", ["risk", "No.", "announce date"], ["r2", "2", "44198"])):
+        (tmp_path / name).mkdir()
+        _workbook(tmp_path / name / "book.xlsx", [header, row])
+    (tmp_path / "more.csv").write_text('no,announce_date,risk\n3,2021-01-03,"two\nlines"\n')
+    paths = [str(tmp_path / p) for p in ("x/book.xlsx", "more.csv", "y/book.xlsx")]
+    got = {(r.case_no, str(r.announce_date), r.risk, r.source_file) for r in cases.load_cases(spark, paths).collect()}
+    assert got == {(1, "2021-01-01", "r1", "book.xlsx"), (2, "2021-01-02", "r2", "book.xlsx"), (3, "2021-01-03", "two lines", "more.csv")}
+
+
+def test_typed_cells(tmp_path):
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    cells = '<c t="b"><v>1</v></c><c t="d"><v>2021-01-05T00:00:00</v></c><c s="1"><v>42735</v></c><c s="0"><v>7</v></c><c t="e"><v>#N/A</v></c><c t="str"><v>f</v></c>'
+    with zipfile.ZipFile(tmp_path / "t.xlsx", "w") as book:
+        book.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="{rel}"><workbookPr date1904="1"/><sheets><sheet name="s" r:id="r1"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/s.xml"/></Relationships>')
+        book.writestr("xl/styles.xml", f'<styleSheet {main}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+        book.writestr("xl/worksheets/s.xml", f"<worksheet {main}><sheetData><row>{cells}</row></sheetData></worksheet>")
+    # the day number of 1904's system is 1462 days behind
+    assert list(sheet_rows(str(tmp_path / "t.xlsx"))) == [["true", "2021-01-05", "44197.0", "7", None, "f"]]
+
+
+def test_bad_requests_do_not_fail_the_others(spark):
+    days = spark.createDataFrame([(date(2024, 1, 1) + timedelta(days=k), 30.0 + k % 5) for k in range(60)], "day date, price double")
+    model = forecast.train_regression(lag_features(days, "price"), "price")
+    names = ", ".join(f"lag_{k} double" for k in range(1, 6))
+    requests = spark.createDataFrame([(31.0, 30.0, 34.0, 33.0, 32.0), (float("nan"), 30.0, 34.0, 33.0, 32.0), (31.0, None, -1.0, 33.0, 32.0)], names)
+    assert len(forecast.score(model, requests).collect()) == 1
+    assert [r.rejected_inputs for r in forecast.split_scorable(requests)[1].collect()] == ["lag_1", "lag_2,lag_3"]
+
+
+def test_empty_summary_is_not_ready(spark, tmp_path):
+    path = str(tmp_path / "summary")
+    spark.createDataFrame([], "total long").write.parquet(path)
+    assert [(r.ready, r.total) for r in export.mart_status(spark, path, ["total"]).collect()] == [(False, None)]
+    spark.createDataFrame([(3,)], "total long").write.mode("overwrite").parquet(path)
+    assert [(r.ready, r.total) for r in export.mart_status(spark, path, ["total"]).collect()] == [(True, 3)]
