@@ -6,7 +6,7 @@ the expression, and the code generated for it, stays small however many spelling
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,11 +60,6 @@ def _rewrite(text: Column, steps: Sequence[tuple[str, str]]) -> Column:
     return text
 
 
-def _with(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that it mentions several times but that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _only(text: Column, pattern: str) -> Column:
     """The text when all of it matches, else an empty text, which no cast accepts."""
     return F.regexp_replace(text, rf"(?s)^(?!{pattern}$).*$", "")
@@ -135,7 +130,8 @@ def locale_date(c: Column | str, month_numbers: Mapping[str, int], convert_era:
         return F.concat(F.lpad(year.cast("string"), 4, "0"), F.substring(plain, 5, 6)).try_cast("date")
 
     text = _rewrite(strip(_col(c).cast("string")), (*_NUMERIC_DATES, *_GUESSED_DATES))
-    return _with(_with(text, spell_month), to_common_era)
+    # the compiler works out once what the nested expression mentions several times
+    return to_common_era(spell_month(text))
 
 
 def number_in_range(

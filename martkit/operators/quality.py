@@ -28,20 +28,24 @@ class RowRule:
 
 @dataclass
 class Gate:
-    """Rules over one or more tables, reported as (rule, violations, passed)."""
+    """Rules over one or more tables, reported as (rule, violations, passed).
 
+    What can be counted row by row is counted in one scan for each table, however many calls named it.
+    """
+
+    counted: dict[int, tuple[DataFrame, list[tuple[str, Column]]]] = field(default_factory=dict)
     parts: list[DataFrame] = field(default_factory=list)
 
+    def _row_counts(self, df: DataFrame, rules: Sequence[tuple[str, Column]]) -> Gate:
+        self.counted.setdefault(id(df), (df, []))[1].extend(rules)
+        return self
+
     def rows(self, df: DataFrame, rules: Sequence[RowRule], not_empty: str | None = None) -> Gate:
-        """All row rules of a table in one scan and one aggregation."""
-        counts = [F.count_if(r.violates).alias(f"r{i}") for i, r in enumerate(rules)]
-        names = [r.name for r in rules]
+        """Rules on single rows, and on there being any."""
+        counts = [(r.name, F.count_if(r.violates)) for r in rules]
         if not_empty:
-            counts.append((F.count(F.lit(1)) == 0).cast("bigint").alias(f"r{len(names)}"))
-            names.append(not_empty)
-        pairs = [F.struct(F.lit(n).alias("rule"), F.col(f"r{i}").alias("violations")) for i, n in enumerate(names)]
-        self.parts.append(df.agg(*counts).select(F.inline(F.array(*pairs))))
-        return self
+            counts.append((not_empty, (F.count(F.lit(1)) == 0).cast("bigint")))
+        return self._row_counts(df, counts)
 
     def not_empty(self, df: DataFrame, name: str) -> Gate:
         return self.rows(df, [], not_empty=name)
@@ -57,25 +61,29 @@ class Gate:
     def at_least(self, df: DataFrame, rows: int, name: str) -> Gate:
         """Number of rows short of ``rows``."""
         short = F.greatest(F.lit(0).cast("bigint"), F.lit(rows) - F.count(F.lit(1)))
-        self.parts.append(df.agg(short.alias("violations")).select(F.lit(name).alias("rule"), "violations"))
-        return self
+        return self._row_counts(df, [(name, short)])
 
     def _count(self, bad: DataFrame, name: str) -> Gate:
         self.parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations"))
         return self
 
     def report(self) -> DataFrame:
-        together = reduce(DataFrame.unionByName, self.parts)
+        tables = []
+        for df, rules in self.counted.values():
+            counts = df.agg(*[c.alias(f"r{i}") for i, (_, c) in enumerate(rules)])
+            pairs = [F.struct(F.lit(n).alias("rule"), F.col(f"r{i}").alias("violations")) for i, (n, _) in enumerate(rules)]
+            tables.append(counts.select(F.inline(F.array(*pairs))))
+        together = reduce(DataFrame.unionByName, tables + self.parts)
         return together.withColumn("passed", F.col("violations") == 0)
 
     def enforce(self) -> DataFrame:
         """Raise once with every failed rule; otherwise hand back the report (one row per rule)."""
-        rows = self.report().collect()
+        report = self.report()
+        rows = report.collect()
         failed = [f"{r.rule}: {r.violations}" for r in rows if not r.passed]
         if failed:
             raise QualityError("data did not pass: " + " | ".join(failed))
-        spark = self.parts[0].sparkSession
-        return spark.createDataFrame(rows, "rule string, violations bigint, passed boolean")
+        return report.sparkSession.createDataFrame(rows, "rule string, violations bigint, passed boolean")
 
 
 def out_of_range(c: str, low, high) -> Column:
