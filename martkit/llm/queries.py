@@ -39,9 +39,52 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-@query("op5_quality_divergence")
+def _distance_sql(kind: str, reference: str) -> str:
+    """Jensen-Shannon distance of each document's histogram to its language's, from long tables of counts."""
+    part = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / ({0} + {1})) ELSE 0 END"
+    return f"""SELECT doc_id, sqrt(greatest(sum({part.format("p", "q")} + {part.format("q", "p")}) / 2, 0)) AS d
+      FROM (SELECT h.doc_id, h.c / sum(h.c) OVER (PARTITION BY h.doc_id) AS p, r.c / sum(r.c) OVER (PARTITION BY h.doc_id) AS q
+        FROM hist h JOIN {reference} r ON h.lang IS NOT DISTINCT FROM r.lang AND h.kind = r.kind AND h.k = r.k
+        WHERE h.kind = '{kind}' AND h.n > 0 AND r.c IS NOT NULL) WHERE q IS NOT NULL GROUP BY doc_id"""
+
+
+def _reference_sql(passing: str) -> str:
+    return f"SELECT lang, kind, k, sum(c)::DOUBLE AS c FROM hist WHERE doc_id IN ({passing}) GROUP BY ALL"
+
+
+def _kept_sql(reference: str) -> str:
+    return f"""SELECT f.doc_id FROM feature f LEFT JOIN ({_distance_sql("c", reference)}) x USING (doc_id) LEFT JOIN ({_distance_sql("w", reference)}) y USING (doc_id)
+      WHERE NOT base_failed AND NOT coalesce(n_chars >= {quality.MIN_CHARS} AND n_words >= {quality.MIN_WORDS}
+        AND x.d > {quality.MAX_CHAR_DISTANCE} AND y.d > {quality.MAX_WORD_DISTANCE}, false)"""
+
+
+_GONE = "length(t) - length(regexp_replace(t, '{0}', '', 'g'))"
+_OTHERS = ("[a-z]", r"[\x20\x09-\x0D]", "[A-Z]", "[#*$%&|<>]", "[0-9]")
+_CLASSES = [_GONE.format(c) for c in _OTHERS] + [_GONE.format(r"[\x21-\x7E]") + "".join(" - (" + _GONE.format(c) + ")" for c in ("[a-z]", "[A-Z]", "[#*$%&|<>]", "[0-9]")), r"length(regexp_replace(t, '[\x09-\x0D\x20-\x7E]', '', 'g'))"]
+_COMMON = ", ".join(f"'{w}'" for w in quality.COMMON_WORDS)
+OP5_SQL = rf"""
+WITH doc AS (SELECT doc_id, lang, coalesce(text, '') AS t, {TOKENS_SQL.format("text")} AS w FROM documents),
+gram AS (SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM doc WHERE len(w) >= 3)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM gram QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1) GROUP BY doc_id),
+line AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM doc) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+feature AS (SELECT doc_id, lang, t, w, length(t) AS n_chars, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars,
+  CAST({_GONE.format("[#*$%&|<>]")} AS BIGINT) AS n_symbols, coalesce(line.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+  len(w) < 50 OR 100 * coalesce(rep.n, 0) > 50 * len(w) AS base_failed
+  FROM doc LEFT JOIN rep USING (doc_id) LEFT JOIN line USING (doc_id)),
+shape AS (SELECT doc_id, lang, n_chars, n_words, [{", ".join(_CLASSES)}] AS c,
+  list_append([len(list_filter(w, lambda x: x = y)) FOR y IN [{_COMMON}]], len(list_filter(w, lambda x: NOT list_contains([{_COMMON}], x)))) AS h FROM feature),
+hist AS (SELECT doc_id, lang, 'c' AS kind, n_chars AS n, unnest(range(1, 8)) AS k, unnest(c)::DOUBLE AS c FROM shape
+  UNION ALL SELECT doc_id, lang, 'w', n_words, unnest(range(1, {len(quality.COMMON_WORDS) + 2})), unnest(h)::DOUBLE FROM shape),
+first AS ({_reference_sql("SELECT doc_id FROM feature WHERE NOT base_failed")}),
+final AS ({_reference_sql(_kept_sql("first"))}),
+kept AS ({_kept_sql("final")})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, doc_id IN (SELECT doc_id FROM kept) AS kept FROM feature
+"""
+
+
+@query("op5_quality_divergence", OP5_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.rate(table(spark, folder, "documents"))
+    return quality.rate(table(spark, folder, "documents")).drop("char_distance", "word_distance")
 
 
 OP6_SQL = f"""
