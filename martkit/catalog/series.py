@@ -46,12 +46,14 @@ def _order_days(t):
 
 @query("calendar_7d_avg", _CALENDAR_AVG)
 def calendar_7d_avg(t):
-    return windows.calendar_average(_order_days(t), day_spine(t.orders, "o_orderdate"), "n")
+    daily = _order_days(t)  # the bounds come from the days, whose exchange is used again, not from the raw rows
+    return windows.calendar_average(daily, day_spine(daily, "day"), "n")
 
 
 @query("calendar_7d_avg_in_year", f"SELECT * FROM ({_CALENDAR_AVG}) WHERE year(day) + 543 = 2540")
 def calendar_7d_avg_in_year(t):
-    full = windows.calendar_average(_order_days(t), day_spine(t.orders, "o_orderdate"), "n")
+    daily = _order_days(t)
+    full = windows.calendar_average(daily, day_spine(daily, "day"), "n")
     return full.where(F.year("day") + 543 == 2540)
 
 
