@@ -259,7 +259,10 @@ def text_of(found: list[Block], probability: np.ndarray) -> str:
 def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES, id_col: str = "page_id", html_col: str = "html") -> dict[str, np.ndarray] | None:
     """A model from the ``train_pages`` pages that come first by a hash of their id."""
     need(pages, id_col, html_col)
-    first = pages.select(F.xxhash64(F.col(f"`{id_col}`")).alias("turn"), F.col(f"`{html_col}`").alias("html")).where("html IS NOT NULL")
+    turn = F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(1 << 31))
+    first = pages.select(turn.alias("turn"), F.col(f"`{html_col}`").alias("html")).where("html IS NOT NULL")
+    # four times the sample is looked through, else every task would send its first pages to the driver
+    first = first.where(F.col("turn") <= min(1.0, 4 * train_pages / max(1, pages.count())) * (1 << 31))
     return train([r.html for r in first.orderBy("turn", "html").limit(train_pages).collect()])
 
 
