@@ -24,14 +24,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import TO_LOWER, chunks_of, mix64, need, stage
+from martkit.llm.common import chunks_of, mix64, need, stage
 
 FREQUENT = 1 << 20
 CLASSES, ROWS = 32, 1 << 16
 ROUNDS, RATE, STEP_TOKENS = 2, 0.15, 8192
 PARTS = 16
-#: White space of the contract; ``str.split`` alone knows more kinds.
-_SPACES = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
 _END = 0x656E64
 
 
@@ -39,7 +37,7 @@ class _Hashes(dict):
     def __missing__(self, word):
         if len(self) > 500_000:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
 
@@ -47,15 +45,13 @@ def _worker_hashes() -> dict:
     return sys.modules.setdefault("_martkit_lm", type(sys)("_martkit_lm")).__dict__.setdefault("words", _Hashes())
 
 
-_FOLD = {**TO_LOWER, **_SPACES}
-
-
 def tokens(texts: list[str], hashes: dict) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of the tokens of all texts, the end of each text); an end token follows each text's words."""
     out, ends = [], np.empty(len(texts), np.int64)
     total = 0
     for k, text in enumerate(texts):
-        words = [w for w in text.translate(_FOLD).split(" ") if w]
+        # of bytes, these two mean A-Z alone and the contract's white space alone
+        words = text.encode("utf-8", "surrogatepass").lower().split()
         own = np.empty(len(words) + 1, np.uint64)
         own[:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
         own[-1] = _END
@@ -128,9 +124,9 @@ def features(hashes: np.ndarray, ends: np.ndarray, rows: int) -> np.ndarray:
 
 
 def log_softmax(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
-    z = weights[at[:, 0]]
+    z = weights.take(at[:, 0], axis=0)
     for j in range(1, at.shape[1]):
-        z = z + weights[at[:, j]]
+        z += weights.take(at[:, j], axis=0)
     z -= z.max(axis=1, keepdims=True)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
@@ -139,14 +135,28 @@ def step(weights: np.ndarray, squares: np.ndarray, at: np.ndarray, cls: np.ndarr
     """One gradient step in place, each weight at its own pace (AdaGrad)."""
     grad = np.exp(log_softmax(weights, at))
     grad[np.arange(len(cls)), cls] -= 1
-    flat = at.ravel()
+    every = grad.sum(axis=0)  # the constant's row
+    squares[0] += every * every
+    weights[0] -= rate * every / np.sqrt(squares[0])
+    flat = at[:, 1:].astype(np.uint16 if len(weights) <= 1 << 16 else np.uint32).ravel()
     order = np.argsort(flat, kind="stable")
-    rows = flat[order]
+    rows, source = flat[order], order // (at.shape[1] - 1)
     first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-    g = np.add.reduceat(grad[order // at.shape[1]], first, axis=0)
+    size = np.diff(np.append(first, len(rows)))
+    g = grad.take(source[first], axis=0)  # most rows have one token in a batch; only the others are summed up
+    many = np.flatnonzero(size > 1)
+    if len(many):
+        n = size[many]
+        start = np.cumsum(n) - n
+        g[many] = np.add.reduceat(grad.take(source[np.repeat(first[many] - start, n) + np.arange(n.sum())], axis=0), start, axis=0)
     touched = rows[first]
-    squares[touched] += g * g
-    weights[touched] -= rate * g / np.sqrt(squares[touched])
+    pace = g * g
+    pace += squares.take(touched, axis=0)
+    squares[touched] = pace
+    np.sqrt(pace, out=pace)
+    g /= pace
+    g *= np.float32(rate)
+    weights[touched] = weights.take(touched, axis=0) - g
 
 
 def _train(words: Vocabulary, weights: np.ndarray, rate: float):
