@@ -13,7 +13,7 @@ from martkit.functions.numbers import fixed_mean, fixed_sum
 from martkit.operators import forecast, marts, windows
 from martkit.session import scratch_path
 from martkit.sinks import export
-from martkit.sources.feed import FEED_COLUMNS
+from martkit.sources.feed import FEED_COLUMNS, province_table
 from martkit.sources.tabular import read_harmonised
 from martkit.streaming import incremental
 
@@ -119,3 +119,40 @@ def backfill(t):
         incremental.backfill(t.spark, fetch, path, log, start, until)
     logged = t.spark.read.parquet(log).count()
     return t.spark.read.parquet(path).select("event_id", "occurred_at", F.lit(logged).cast("bigint").alias("logged"))
+
+
+_SLOT = "CAST('0x' || left(md5('42:' || event_id), 8) AS UBIGINT) % 10000"
+
+
+@query("keyed_split", f"SELECT event_id, {_SLOT} < 8000 AS is_train FROM events")
+def keyed_split(t):
+    train, test = forecast.split_by_key(t.events.select("event_id"), "event_id")
+    return train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+
+
+@query("forest_on_one_feature", f"""
+    SELECT count(*) FILTER ({_SLOT} < 8000) AS trained, count(*) FILTER ({_SLOT} >= 8000) AS tested, true AS deployed,
+           count(*) FILTER ({_SLOT} >= 8000 AND abs(value - 245) > 100) AS checked, count(*) FILTER ({_SLOT} >= 8000 AND abs(value - 245) > 100) AS correct
+    FROM events""")
+def forest_on_one_feature(t):
+    """A label that one feature decides: the forest passes its bound and is right wherever the value is clear."""
+    rows = t.events.select("event_id", "value", (F.col("user_id") % 7).cast("double").alias("noise"), (F.col("value") > 245).cast("double").alias("is_high"))
+    train, test = forecast.split_by_key(rows, "event_id")
+    model = forecast.train_forest(train, "is_high", ["value", "noise"])
+    reached = forecast.accuracy(model.transform(test), "is_high")
+    checked = forecast.sample_check(model, test.where(F.abs(F.col("value") - 245) > 100), "is_high")
+    return checked.select(
+        train.agg(marts.n_rows().alias("n")).scalar().alias("trained"), test.agg(marts.n_rows().alias("n")).scalar().alias("tested"),
+        F.lit(forecast.passes_accuracy(reached)).alias("deployed"), "checked", "correct",
+    )
+
+
+_PLACES = ", ".join(f"({k}, '{name}', {lat}::DOUBLE, {lon}::DOUBLE)" for k, (name, _, lat, lon) in enumerate(labels.PROVINCES))
+
+
+@query("customers_by_province", f"""
+    SELECT province, lat, lon, count(*) AS customers FROM customer JOIN (VALUES {_PLACES}) p(k, province, lat, lon) ON c_custkey % {len(labels.PROVINCES)} = k GROUP BY ALL""")
+def customers_by_province(t):
+    slugs = F.array(*[F.lit(slug) for _, slug, _, _ in labels.PROVINCES])
+    own = t.customer.select(F.get(slugs, (F.col("c_custkey") % len(labels.PROVINCES)).cast("int")).alias("slug"))
+    return own.join(province_table(t.spark), "slug").groupBy("province", "lat", "lon").agg(marts.n_rows().alias("customers"))

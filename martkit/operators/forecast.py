@@ -119,9 +119,11 @@ def forecast_change(df: DataFrame, forecast: str = "forecast", last: str = "lag_
 
 
 def split_by_key(df: DataFrame, key: str, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Seeded split on a hash of the key: the same rows fall on the same side however the table is laid out,
-    and also after a task is run again."""
-    slot = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(10_000))
+    """Seeded split on a digest of the key, one that other engines know, too: the same rows fall on the same side however
+    the table is laid out, and also after a task is run again. Rows without a key go to the first side."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    slot = F.conv(F.left(digest, F.lit(8)), 16, 10).cast("bigint") % 10_000
+    slot = F.when(F.col(key).isNotNull(), slot).otherwise(0)
     cut = round(train_share * 10_000)
     return df.where(slot < cut), df.where(slot >= cut)
 
