@@ -132,15 +132,15 @@ def keyed_split(t):
 
 @query("forest_on_one_feature", f"""
     SELECT count(*) FILTER ({_SLOT} < 8000) AS trained, count(*) FILTER ({_SLOT} >= 8000) AS tested, true AS deployed,
-           count(*) FILTER ({_SLOT} >= 8000 AND abs(value - 245) > 100) AS checked, count(*) FILTER ({_SLOT} >= 8000 AND abs(value - 245) > 100) AS correct
+           count(*) FILTER ({_SLOT} >= 8000 AND abs(value - 50) > 25) AS checked, count(*) FILTER ({_SLOT} >= 8000 AND abs(value - 50) > 25) AS correct
     FROM events""")
 def forest_on_one_feature(t):
     """A label that one feature decides, given twice so that every tree sees it: the forest passes its bound and is right wherever the value is clear."""
-    rows = t.events.select("event_id", "value", (-F.col("value")).alias("mirrored"), (F.col("value") > 245).cast("double").alias("is_high"))
+    rows = t.events.select("event_id", "value", (-F.col("value")).alias("mirrored"), (F.col("value") > 50).cast("double").alias("is_high"))
     train, test = forecast.split_by_key(rows, "event_id")
     model = forecast.train_forest(train, "is_high", ["value", "mirrored"])
     reached = forecast.accuracy(model.transform(test), "is_high")
-    checked = forecast.sample_check(model, test.where(F.abs(F.col("value") - 245) > 100), "is_high")
+    checked = forecast.sample_check(model, test.where(F.abs(F.col("value") - 50) > 25), "is_high")
     return checked.select(
         train.agg(marts.n_rows().alias("n")).scalar().alias("trained"), test.agg(marts.n_rows().alias("n")).scalar().alias("tested"),
         F.lit(forecast.passes_accuracy(reached)).alias("deployed"), "checked", "correct",
