@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.session import scratch_path
@@ -41,19 +41,6 @@ def stage(df: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
-
-
-def batch(**columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(columns)
-
-
-def pieces(values: pa.Array, rows: int) -> Iterator[pa.Array]:
-    for i in range(0, len(values), rows):
-        yield values.slice(i, rows)
-
-
 def chunks_of(batches: Iterator[pa.RecordBatch], bytes_at_once: int = 4 << 20) -> Iterator[tuple[list, list]]:
     """(ids, texts) of some rows at a time, about ``bytes_at_once`` of text each: a bound on memory, not on rows."""
     for b in batches:
@@ -65,17 +52,14 @@ def chunks_of(batches: Iterator[pa.RecordBatch], bytes_at_once: int = 4 << 20) -
             yield ids.slice(i, step).to_pylist(), texts.slice(i, step).to_pylist()
 
 
-def lower_ascii(column: Column) -> Column:
-    return F.translate(column, UPPER, LOWER)
-
+def sent_if_small(df: DataFrame, row_bytes: int, bound: int = 64 << 20) -> DataFrame:
+    """A written table, marked to be sent to all tasks if its rows, counted, take no more than ``bound`` bytes; else as it is,
+    for a join that shuffles."""
+    return F.broadcast(df) if df.count() * row_bytes <= bound else df
 
-def row_count_to_shards(rows: int, per_shard: int, least: int = 1) -> int:
-    return max(least, -(-rows // per_shard))
 
-
-def input_bytes(df: DataFrame) -> int:
-    """The planner's estimate of the bytes that a table's files hold."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def lower_ascii(column: Column) -> Column:
+    return F.translate(column, UPPER, LOWER)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -87,7 +71,3 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
-
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

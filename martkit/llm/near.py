@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import TO_LOWER, WORD, id_text, mix64, need, stage
+from martkit.llm.common import TO_LOWER, WORD, id_text, mix64, need, sent_if_small, stage
 from martkit.llm.components import components
 
 _WORD = re.compile(WORD)
@@ -134,11 +134,14 @@ def ties(nodes: DataFrame, prefix: int, trees: int = TREES, depth: int = DEPTH)
     for turn in range(ROUNDS + 1):
         leads = members.groupBy("prefix").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
         met = stage(members.join(leads, "prefix").where("node <> lead"), "prefixes")
-        pairs = met.select("node", "lead").distinct()
+        pairs = stage(met.select("node", "lead").distinct(), "pairs")
         if turn == ROUNDS:
             return found.unionAll(pairs)
-        left = nodes.select("node", F.col("sig").alias("s"))
-        right = nodes.select(F.col("node").alias("lead"), F.col("sig").alias("t"))
+        # labels are long; only those of nodes in pairs are shuffled
+        ids = stage(pairs.select("node").unionAll(pairs.select("lead")).distinct(), "pair-nodes")
+        some = stage(nodes.select("node", "sig").join(sent_if_small(ids, 16), "node", "left_semi"), "pair-labels")
+        left = some.select("node", F.col("sig").alias("s"))
+        right = some.select(F.col("node").alias("lead"), F.col("sig").alias("t"))
         rated = stage(pairs.join(left, "node").join(right, "lead").select("node", "lead", "s", "t").mapInArrow(_estimate, "node long, lead long, estimate double"), "ties")
         near = rated.where(F.col("estimate") >= CUT).select("node", "lead")
         found = near if found is None else found.unionAll(near)
@@ -214,8 +217,10 @@ def verify(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     size = members.groupBy("family").agg(F.count("*").alias("n"), (8 * F.sum("n_shingles")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     known = members.join(size.select("family", blocks.alias("blocks")), "family").withColumn("own", F.pmod(F.col("node"), F.col("blocks")).cast("int"))
+    known = stage(known.select("family", "node", "own", "blocks", "doc_id", "h"), "family-blocks")
     one = texts.withColumnsRenamed({"doc_id": "_i", "h": "_h"})
-    with_text = known.join(one, known.doc_id.eqNullSafe(F.col("_i")) & (known.h == F.col("_h"))).dropDuplicates(["node"])
+    same = F.col("_i").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("h"))
+    with_text = one.join(sent_if_small(known, 48), same).dropDuplicates(["node"])
     rows = with_text.select("family", "node", "own", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "text")
 
@@ -255,11 +260,15 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, target: float = 0.999,
     """The documents with all their columns, one of each class: the one with the smallest id."""
     need(docs, id_col, text_col)
     found = classes(docs, threshold, target, id_col, text_col)
-    keep = found.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h")).alias("k")).select(F.col("k.doc_id").alias("_i"), F.col("k.h").alias("_h"))
+    own = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h")
+    first = found.groupBy("class").agg(F.min(own).alias("k"))
+    # what goes is far less than what stays
+    go = found.join(first, "class").where(~own.eqNullSafe(F.col("k"))).select(F.col("doc_id").alias("_i"), F.col("h").alias("_h")).distinct()
     again = not found.groupBy("doc_id", "h").count().where("count > 1").isEmpty()
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     marked = docs.withColumn("_own", F.xxhash64(text))
-    kept = marked.join(stage(keep, "kept"), F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_i")) & (F.col("_own") == F.col("_h")), "left_semi")
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_i")) & (F.col("_own") == F.col("_h"))
+    kept = marked.join(sent_if_small(stage(go, "dropped"), 32), same, "left_anti")
     if again:  # rows that repeat an id with its text are one document
         kept = kept.dropDuplicates([id_col, "_own"])
     return kept.select(*[f"`{c}`" for c in docs.columns])
