@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 import sys
 from collections.abc import Callable
 
@@ -20,15 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import chunks_of, id_text, stage
+from martkit.llm.common import chunks_of, id_text
 
 CACHE = "digest binary, n_tokens long"
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: Printable ASCII and Latin letters: none is white space to any library.
-_PLAIN = "!-~¡-ɏ"
-#: A space between two characters that may be white space, or at an end: cutting before it could split a run.
-_DOUBTFUL = re.compile(f"(?:\\A|[^{_PLAIN}]) (?:[^{_PLAIN}]|\\Z)")
+#: Before a space that follows a printable character: no run of white space is cut.
 _CUT = re.compile("(?<=[!-~])(?= )")
 #: Texts of these characters alone fall into words by the plain pattern below just as by the public one with Unicode classes.
 _SIMPLE = re.compile(f"[\\n !-~{_LETTERS}]+")
@@ -49,11 +47,12 @@ class Encoder:
     """Token ids of whole texts as the library of the file's kind gives them: ``tokenizers`` for .json, ``sentencepiece`` for
     .model, without added special tokens, truncation or padding.
 
-    A byte-level vocabulary with the usual word pattern never merges across a space that follows a printable character, so
-    texts are cut there and each distinct piece is encoded once by the library and remembered (up to ``most`` pieces).
+    A byte-level vocabulary with the usual word pattern merges within words alone. Texts of plain characters are cut into
+    words here, and the library's model encodes each distinct word once (up to ``most`` are remembered). Other texts are cut
+    at spaces that follow printable characters, which no word crosses, and what is not plain goes to the library whole.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         self.most = most
         self.by_piece = False
         if path.endswith(".model"):
@@ -77,17 +76,23 @@ class Encoder:
                 and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in about["added_tokens"])
             )
         if self.by_piece:
+            self.model = library.model
             self.bytes_of = _byte_letters()
-            self.words, self.first, self.rest = _Memo(self._word), _Memo(self._piece), _Memo(lambda x: self._piece(" " + x))
+            self.words = _Memo(self._word)
+            self.marks = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
 
     def _word(self, word: str) -> bytes:
-        letters = "".join(map(self.bytes_of.__getitem__, word.encode()))
-        return np.array([t.id for t in self.library.model.tokenize(letters)], "<u4").tobytes()
+        if word.isascii():  # of the plain characters only these two do not stand for themselves
+            letters = word.replace(" ", self.bytes_of[32]).replace("\n", self.bytes_of[10])
+        else:
+            letters = "".join(map(self.bytes_of.__getitem__, word.encode()))
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
         if not piece:
             return b""
-        if _SIMPLE.fullmatch(piece) and not any(s in piece for s in self.special):
+        if _SIMPLE.fullmatch(piece) and not self.marks.search(piece):
             return b"".join(map(self.words.__getitem__, _WORDS.findall(piece)))
         return np.array(self._whole([piece])[0], "<u4").tobytes()
 
@@ -95,16 +100,14 @@ class Encoder:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         if not self.by_piece:
             return [np.array(x, "<u4").tobytes() for x in self._whole(texts)]
-        rest, out = self.rest.__getitem__, []
+        word, out = self.words.__getitem__, []
         for text in texts:
-            if len(self.rest) + len(self.words) > self.most:
-                self.rest.clear()
+            if len(self.words) > self.most:
                 self.words.clear()
-            if _DOUBTFUL.search(text):
-                out.append(b"".join(map(self._piece, _CUT.split(text))))
+            if _SIMPLE.fullmatch(text) and not self.marks.search(text):
+                out.append(b"".join(map(word, _WORDS.findall(text))))
             else:
-                head, *tail = text.split(" ")
-                out.append(self._piece(head) + b"".join(map(rest, tail)))
+                out.append(b"".join(map(self._piece, _CUT.split(text))))
         return out
 
 
