@@ -100,6 +100,21 @@ def schedule(planned: DataFrame) -> DataFrame:
     return uses.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
+def curriculum(docs: DataFrame, **settings) -> DataFrame:
+    """``plan`` with ``taken`` and ``positions`` as gathered from the uses in the written schedule, sorted over the range of
+    partitions by first use; documents without a use come last."""
+    planned = stage(plan(docs, **settings).withColumn("row", F.monotonically_increasing_id()), "mix-plan")
+    uses = stage(schedule(planned.select("row", "doc_id", "size", "positions")), "mix-uses")
+    met = uses.groupBy("row").agg(F.sum("size").alias("taken"), F.sort_array(F.collect_list("position")).alias("positions"))
+    whole = planned.drop("taken", "passes", "positions").join(met, "row", "left")
+    whole = whole.withColumn("taken", F.coalesce("taken", F.lit(0).cast("long"))).withColumn("_first", F.get("positions", F.lit(0)))
+    by = (F.col("_first").asc_nulls_last(), F.col("doc_id"), F.col("row"))
+    ordered = whole.repartitionByRange(*by).sortWithinPartitions(*by)
+    return ordered.select(
+        "doc_id", "source", "size", "source_size", "target", "taken", F.coalesce("positions", F.array().cast("array<double>")).alias("positions")
+    )
+
+
 def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """The documents with all their columns, once for each use, sorted by training position over the range of partitions."""
     planned = stage(plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings), "mix-plan")

@@ -105,8 +105,9 @@ SELECT doc_id, size, source_size, round(target, 3) AS target,
 
 @query("op6_curriculum_mix", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    planned = mixing.plan(table(spark, folder, "documents"))
-    return planned.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+    # in training order; the positions themselves are no column here, as the SQL has none
+    mixed = mixing.curriculum(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
 @query("op1_token_counts")
