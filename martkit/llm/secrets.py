@@ -73,14 +73,16 @@ def parts(docs: DataFrame, kinds: tuple[Part, ...], id_col: str = "doc_id", text
 def _near(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
     """Rows of ``left`` with a span of ``right`` within the scope: an equi-join on cells of the text as wide as the scope.
 
-    A span is entered in each cell that it touches, widened by the scope, so that neighbours meet in one.
+    Both sides are entered in each cell that they touch, the right one widened by the scope, so that neighbours meet in one.
     """
     cell = lambda c: F.floor(c / scope)
     spread = F.sequence(cell(F.col("start") - scope), cell(F.col("end") + scope))
     other = right.select(F.col("row").alias("_row"), F.col("start").alias("_start"), F.col("end").alias("_end"), F.explode(spread).alias("_cell"))
-    meets = (F.col("row") == F.col("_row")) & (cell(F.col("start")) == F.col("_cell"))
+    own = left.withColumn("_own", F.explode(F.sequence(cell(F.col("start")), cell(F.col("end")))))
+    meets = (F.col("row") == F.col("_row")) & (F.col("_own") == F.col("_cell"))
     close = (F.col("_start") - F.col("end") <= scope) & (F.col("start") - F.col("_end") <= scope)
-    return left.join(other, meets & close, "left_semi")
+    # spans of one kind do not overlap, so that these columns name a span that meets others in several cells
+    return own.join(other, meets & close, "left_semi").drop("_own").dropDuplicates(["row", "kind", "start"])
 
 
 def _clear(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -22,3 +22,26 @@ def test_mix_query_follows_the_schedule(spark, tmp_path):
     assert firsts == sorted(firsts) and len(set(firsts)) > 300
     got = queries.op6(spark, str(tmp_path)).collect()
     assert [(r.doc_id, r.size, r.taken) for r in got] == [(r.doc_id, r.size, r.taken) for r in mixed]
+
+
+# 4: links at every gap within the scope, wherever they lie
+
+
+def test_links_at_every_gap_and_offset(spark):
+    places, scope = [], 20
+    for size in (1, 13, 47):
+        for offset in range(2 * scope):
+            for gap in range(scope + 3):
+                a, b = (offset, offset + size), (offset + size + gap, offset + size + gap + 5)
+                places += [(a, b, gap <= scope), (b, a, gap <= scope)]
+    kind = "row long, kind string, rank int, role string, start long, end long"
+    left = spark.createDataFrame([(k, "weak_secret", 4, "secret", *x) for k, (x, _, _) in enumerate(places)], kind)
+    right = spark.createDataFrame([(k, "access", 1, "identifier", *y) for k, (_, y, _) in enumerate(places)], kind)
+    got = sorted(r.row for r in secrets._near(left, right, scope).collect())
+    assert got == [k for k, (_, _, near) in enumerate(places) if near]
+
+
+def test_long_secret_links_wherever_it_lies(spark):
+    rows = [(k, "." * k + " bearer=" + "x" * 90 + " " * 250 + "user: bob") for k in range(0, 320, 10)]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(s.kind for s in r.spans) for r in found} == {("weak_secret", "weak_access")}
