@@ -22,15 +22,19 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: An element that opens closes these, if it stands in them, up to the nearest of the containers.
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = frozenset("ul ol menu dl table select".split())
+#: Roots of content in which ``/>`` ends an element and a title is no title of the page, and what sets its texts apart.
+FOREIGN = frozenset(("svg", "math"))
+APART = frozenset("title desc text".split())
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|math|object)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*+[^>]*+>|\Z)"
+    r"|<(?P<raw>script|style|template|textarea)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*+)>"
     r"|<[!?/][^>]*+>"
     r"|(?P<text>[^<]++|<)",
     re.S | re.I,
 )
+_RAW_END = {n: re.compile(rf"</{n}\s*+[^>]*+>", re.I) for n in ("script", "style", "template", "textarea")}
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -47,7 +51,8 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
-    linked = links = 0
+    linked = links = foreign = at = 0
+    page = page or ""
 
     def flush():
         nonlocal linked
@@ -58,7 +63,9 @@ def blocks(page: str | None) -> list[Block]:
             held.clear()
         linked = 0
 
-    for m in _PIECE.finditer(page or ""):
+    while at < len(page):
+        m = _PIECE.match(page, at)
+        at = m.end()
         text = m["text"]
         if text is not None:
             text = html.unescape(text)
@@ -66,10 +73,26 @@ def blocks(page: str | None) -> list[Block]:
             if links:
                 linked += len(text)
             continue
+        if m["raw"]:
+            if not (foreign and m[0].endswith("/>")):
+                end = _RAW_END[m["raw"].lower()].search(page, at)
+                at = end.end() if end else len(page)
+            continue
         name = (m["name"] or "").lower()
         if not name:
             continue
-        if name not in BREAKING:
+        if name in FOREIGN:
+            if m["end"]:
+                foreign = max(0, foreign - 1)
+            elif not m["rest"].endswith("/"):
+                foreign += 1
+            continue
+        if foreign and name in APART:
+            held.append(" ")
+            continue
+        if name in BREAKING:
+            foreign = 0  # such a tag stands in no drawing or formula: one that is open was never closed
+        else:
             if name == "br":
                 held.append(" ")
             elif name == "a":

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from martkit.llm import mixing, queries, secrets
+from martkit.llm import html_blocks, mixing, queries, secrets
 
 
 # 6: the query's rows come out of the schedule
@@ -45,3 +45,24 @@ def test_long_secret_links_wherever_it_lies(spark):
     rows = [(k, "." * k + " bearer=" + "x" * 90 + " " * 250 + "user: bob") for k in range(0, 320, 10)]
     found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {tuple(s.kind for s in r.spans) for r in found} == {("weak_secret", "weak_access")}
+
+
+# 8: no element but scripts, styles, templates and text areas takes text along
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<header><svg class="logo"/></header><article><p>Body text here</p></article>', ["Body text here"]),
+    ('<p>one<svg viewBox="0 0 1 1"><path d="M0 0"/><title/><style/></svg> two</p><p>three', ["one two", "three"]),
+    ("<div><svg><g><path d=1></div><p>after", ["after"]),
+    ("<svg><title>Logo</title></svg>Home<p>text", ["Logo Home", "text"]),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be two.</p>", ["Let x=2 be two."]),
+    ("<p>Let <math/> be.</p><p>next", ["Let be.", "next"]),
+    ("<noscript>see this<p>next", ["see this", "next"]),
+    ("<p>a</p><noscript>no script</noscript><p>b", ["a", "no script", "b"]),
+    ("<object data=x><p>instead</p></object><p>c", ["instead", "c"]),
+    ("<object data=x><p>d", ["d"]),
+    ("<iframe src=x><p>e", ["e"]),
+    ("<p>f</p><script>var a = '<p>x</p>'</script><style>p{}</style><template><p>t</template><textarea>u</textarea><p>g", ["f", "g"]),
+])
+def test_blocks_around_other_elements(page, want):
+    assert [b.text for b in html_blocks.blocks(page)] == want
