@@ -1,7 +1,7 @@
-"""Rows and single values from HTML pages, by JVM regular expressions.
+"""Rows and single values from HTML pages, by JVM regular expressions; tables by a parser.
 
-A page is one row of a ``pages`` table; all its text is searched. Everything stays an expression on that
-row, so pages are spread over tasks like any other rows.
+A page is one row of a ``pages`` table; all its text is searched. Everything but the parser stays an expression
+on that row, so pages are spread over tasks like any other rows.
 """
 
 from __future__ import annotations
@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from martkit import labels
 from martkit.functions.casts import locale_date, number_in_range
 from martkit.functions.text import _col, squash, squeeze
+from martkit.sources.tables import with_tables
 
-_TABLE = r"(?is)<table\b[^>]*>(.*?)</table\s*>"
 _ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|$)"
 _CELL = r"(?is)<t[hd]\b[^>]*>(.*?)(?=</t[hd]\s*>|<t[hd]\b|$)"
-_HEADING = r"(?is)<th\b[^>]*>(.*?)(?=</th\s*>|<t[hd]\b|$)"
 _TAG = r"(?s)<[^>]*>"
 _HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
 _ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
@@ -48,19 +47,6 @@ def element_texts(html: Column | str, tag: str) -> Column:
     return F.transform(_all(visible(html), pattern), plain_text)
 
 
-def page_tables(html: Column | str) -> Column:
-    """Array of (header, rows): the heading cells of the first row, and the cell texts of all rows."""
-    def cells(pattern: str):
-        return lambda row: F.transform(_all(row, pattern), plain_text)
-
-    def table(source: Column) -> Column:
-        rows = F.transform(_all(source, _ROW), cells(_CELL))
-        first = F.coalesce(F.get(_all(source, _ROW), F.lit(0)), F.lit(""))
-        return F.struct(cells(_HEADING)(first).alias("header"), F.filter(rows, lambda r: F.size(r) > 0).alias("rows"))
-
-    return F.transform(_all(visible(html), _TABLE), table)
-
-
 def extract_prices(
     pages: DataFrame,
     html: str = "html",
@@ -71,6 +57,7 @@ def extract_prices(
 
     Per table: the column whose squashed header holds ``key``, else the second column when the first one has
     at least two dates. A page without any record that way gives every two-cell row that starts with a date.
+    Columns are those of the grid, with spans filled in; the two-cell rows are taken as written.
     """
     low, high = price_range
 
@@ -80,33 +67,40 @@ def extract_prices(
     def named_column(header: Column) -> Column:
         return F.array_position(F.transform(header, lambda h: squash(h).contains(key)), True).cast("int")
 
+    def day(cells: Column) -> Column:
+        return F.when(F.size(cells) >= 2, locale_date(squeeze(F.get(cells, F.lit(0))), labels.MONTH_NUMBERS))
+
     def dated_rows(rows: Column) -> Column:
         return F.filter(
-            F.transform(rows, lambda cells, i: F.struct(
-                i.alias("row_no"), locale_date(F.get(cells, F.lit(0)), labels.MONTH_NUMBERS).alias("date"), cells.alias("cells")
+            F.transform(rows, lambda row, i: F.struct(
+                i.alias("row_no"), day(row["cells"]).alias("date"), day(row["plain"]).alias("plain_date"),
+                F.transform(row["cells"], squeeze).alias("cells"), F.transform(row["plain"], squeeze).alias("plain"),
             )),
-            lambda r: r["date"].isNotNull() & (F.size(r["cells"]) >= 2),
+            lambda r: r["date"].isNotNull() | r["plain_date"].isNotNull(),
         )
 
     def records(table: Column, table_no: Column) -> Column:
         def record(row: Column) -> Column:
             second = price(F.get(row["cells"], F.lit(1)))
             by_name = price(F.get(row["cells"], table["named_at"] - 1))
-            primary = F.when(table["named_at"] > 0, by_name).when(F.size(table["rows"]) >= 2, second)
+            dated = F.size(F.filter(table["rows"], lambda r: r["date"].isNotNull()))
+            primary = F.when(row["date"].isNotNull(), F.when(table["named_at"] > 0, by_name).when(dated >= 2, second))
+            written = F.when(row["plain_date"].isNotNull(), price(F.get(row["plain"], F.lit(1))))
             return F.struct(
-                table_no.alias("table_no"), row["row_no"].alias("row_no"), row["date"].alias("date"),
-                primary.alias("primary"), second.alias("second"),
+                table_no.alias("table_no"), row["row_no"].alias("row_no"), row["date"].alias("grid_date"), row["plain_date"].alias("plain_date"),
+                primary.alias("primary"), written.alias("second"),
             )
 
         return F.transform(table["rows"], record)
 
     others = [c for c in pages.columns if c != html]
-    tables = F.transform(page_tables(html), lambda t: F.struct(
+    tables = F.transform("_tables", lambda t: F.struct(
         named_column(t["header"]).alias("named_at"), dated_rows(t["rows"]).alias("rows")
     ))
-    all_records = pages.select(*others, F.flatten(F.transform(tables, records)).alias("records"))
+    all_records = with_tables(pages, html, "_tables").select(*others, F.flatten(F.transform(tables, records)).alias("records"))
     found = all_records.withColumn("is_found", F.exists("records", lambda r: r["primary"].isNotNull()))
     rows = found.select(*others, "is_found", F.inline("records"))
+    rows = rows.withColumn("date", F.when(F.col("is_found"), F.col("grid_date")).otherwise(F.col("plain_date")))
     chosen = F.when(F.col("is_found"), F.col("primary")).otherwise(F.col("second"))
     return rows.select(*others, "table_no", "row_no", "date", chosen.alias("price")).where("price is not null")
 
