@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from martkit.llm.common import TO_LOWER, WORD, chunks_of, id_text, need
+from martkit.llm.common import TO_LOWER, WORD, chunks_of, id_text, need, stage
 
 _WORD = re.compile(WORD)
 
@@ -165,15 +166,69 @@ def runs(hit: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b - 1) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
 
 
-def automata(benchmark: DataFrame, window: int, id_col: str, text_col: str, most_bytes: int) -> list[Automaton]:
-    """One automaton, or several over parts of the items where they exceed ``most_bytes``, the bound on what is sent out."""
+#: Automata that a task holds at once.
+MOST_PARTS = 16
+
+
+def automata(benchmark: DataFrame, window: int, id_col: str, text_col: str, most_bytes: int) -> Iterator[list[Automaton]]:
+    """One automaton, or several over parts of the items where they exceed ``most_bytes``; no more than ``MOST_PARTS`` at a
+    time, the bound on what is sent out."""
     need(benchmark, id_col, text_col)
     items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{text_col}`").alias("t"))
     parts = max(1, -(-int(items.select(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]) // most_bytes))
-    if parts > 16:
-        raise ValueError(f"the items have more than {16 * most_bytes} bytes of text; scan them in several calls")
     split = items.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)))
-    return [Automaton.build([(r.i, r.t) for r in split.where(F.col("part") == p).toLocalIterator()], window) for p in range(parts)]
+    if parts > MOST_PARTS:
+        split = stage(split, "leak-items")
+    for first in range(0, parts, MOST_PARTS):
+        some = range(first, min(first + MOST_PARTS, parts))
+        yield [Automaton.build([(r.i, r.t) for r in split.where(F.col("part") == p).toLocalIterator()], window) for p in some]
+
+
+def _marked(known: list[Automaton], words: list[str], before: dict | None) -> tuple[np.ndarray, set[str], int]:
+    """What these automata and those of the passes before find in a text."""
+    hit, found, longest = np.zeros(len(words), dtype=bool), set(), 0
+    if before is not None:
+        for first, last in before["runs"]:
+            hit[first : last + 1] = True
+        found, longest = set(before["items"]), before["longest"]
+    for a in known:
+        h, f, n = a.scan(words)
+        hit |= h
+        found |= f
+        longest = max(longest, n)
+    return hit, found, longest
+
+
+_BEFORE = pa.struct([("runs", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string())), ("longest", pa.int64())])
+BEFORE = "runs array<array<int>>, items array<string>, longest long"
+
+
+def _passed(docs: DataFrame, text_col: str, mark: str, known: list[Automaton]) -> DataFrame:
+    """``docs`` with what a pass finds, and those before it, in column ``mark``. Staged, so that the next automata come alone."""
+    names, has_mark = docs.columns, mark in docs.columns
+
+    def work(batches):
+        for b in batches:
+            texts = b.column(text_col).to_pylist()
+            out = []
+            for text, own in zip(texts, b.column(mark).to_pylist() if has_mark else [None] * len(texts)):
+                hit, found, longest = _marked(known, _WORD.findall((text or "").translate(TO_LOWER)), own)
+                out.append({"runs": [list(r) for r in runs(hit)], "items": sorted(found), "longest": longest})
+            columns = [b.column(n) for n in names if n != mark]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, _BEFORE)], names=[*(n for n in names if n != mark), mark])
+
+    schema = StructType([f for f in docs.schema if f.name != mark]).add(mark, StructType.fromDDL(BEFORE))
+    return stage(docs.mapInArrow(work, schema), "leak-pass")
+
+
+def _last_pass(docs: DataFrame, text_col: str, mark: str, groups: Iterator[list[Automaton]]) -> tuple[DataFrame, list[Automaton], int | None]:
+    """``docs`` after the passes of all groups but the last, the last group, and the least length of a window before it."""
+    known, least = next(groups), None
+    for following in groups:
+        docs = _passed(docs, text_col, mark, known)
+        least = min((n for n in (least, *(a.shortest for a in known)) if n), default=None)
+        known = following
+    return docs, known, least
 
 
 def scan(
@@ -181,20 +236,17 @@ def scan(
     item_col: str = "item_id", item_text_col: str = "text", most_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Per document what occurs of which item, with the spans in words and in code points (end exclusive)."""
-    known = automata(benchmark, window, item_col, item_text_col, most_bytes)
+    groups = automata(benchmark, window, item_col, item_text_col, most_bytes)
+    rows, known, _ = _last_pass(id_text(docs, id_col, text_col), "text", "_before", groups)
+    has_mark = "_before" in rows.columns
 
     def work(batches):
-        for ids, texts in chunks_of(batches):
+        for ids, texts, marks in _with_marks(batches, has_mark):
             out = []
-            for i, text in zip(ids, texts):
+            for i, text, own in zip(ids, texts, marks):
                 low = text.translate(TO_LOWER)
                 words = _WORD.findall(low)
-                hit, found, longest = np.zeros(len(words), dtype=bool), set(), 0
-                for a in known:
-                    h, f, n = a.scan(words)
-                    hit |= h
-                    found |= f
-                    longest = max(longest, n)
+                hit, found, longest = _marked(known, words, own)
                 spans = runs(hit)
                 if spans:
                     at = [m.span() for m in _WORD.finditer(low)]
@@ -204,7 +256,16 @@ def scan(
                 out.append((i, len(words), int(hit.sum()), len(names), digest, bool(spans), longest, names, spans))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], names=_NAMES)
 
-    return id_text(docs, id_col, text_col).mapInArrow(work, SCAN)
+    return rows.mapInArrow(work, SCAN)
+
+
+def _with_marks(batches: Iterator[pa.RecordBatch], has_mark: bool) -> Iterator[tuple[list, list, list]]:
+    """``chunks_of`` with what passes before have found."""
+    for b in batches:
+        at = 0
+        for ids, texts in chunks_of(iter([b])):
+            yield ids, texts, b.column("_before").slice(at, len(ids)).to_pylist() if has_mark else [None] * len(ids)
+            at += len(ids)
 
 
 _NAMES = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "items", "spans"]
@@ -218,20 +279,21 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_span: int
     """Documents with all their columns: marked spans of at least ``min_span`` words (or whole shorter items) cut out, and
     those dropped whose marked share exceeds ``max_coverage``. ``n_chars``, where there is one, follows the text."""
     need(docs, "text")
-    known = automata(benchmark, window, "item_id", "text", most_bytes)
     schema, has_size = docs.schema, "n_chars" in docs.columns
+    mark = "_before" + "_" * max(map(len, docs.columns))  # longer than any other name
+    docs, known, least = _last_pass(docs, "text", mark, automata(benchmark, window, "item_id", "text", most_bytes))
+    has_mark = mark in docs.columns
 
     def work(batches):
         for b in batches:
+            marks = b.column(mark).to_pylist() if has_mark else [None] * b.num_rows
+            b = b.select(schema.names)
             keep, texts = [], []
             for row, text in enumerate(b.column("text").to_pylist()):
                 low = (text or "").translate(TO_LOWER)
                 words = _WORD.findall(low)
-                hit = np.zeros(len(words), dtype=bool)
-                whole = min_span
-                for a in known:
-                    hit |= a.scan(words)[0]
-                    whole = min(whole, a.shortest or whole)
+                hit = _marked(known, words, marks[row])[0]
+                whole = min([min_span, *(n for n in (least, *(a.shortest for a in known)) if n)])
                 if hit.any():
                     if hit.mean() > max_coverage:
                         continue

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from martkit.llm import html_blocks, mixing, queries, secrets
+from martkit.llm import decontamination, html_blocks, mixing, queries, secrets
 
 
 # 6: the query's rows come out of the schedule
@@ -66,3 +66,17 @@ def test_long_secret_links_wherever_it_lies(spark):
 ])
 def test_blocks_around_other_elements(page, want):
     assert [b.text for b in html_blocks.blocks(page)] == want
+
+
+# 2: any number of parts of the items
+
+
+def test_leaks_of_many_parts(spark):
+    draw = random.Random(6)
+    text = lambda n: " ".join(draw.choice("abcdefgh") + draw.choice("ijklm") for _ in range(n))
+    items = [(f"i{k}", text(30)) for k in range(60)] + [("short", "zz yy xx")]
+    docs = [(k, text(40) + " " + items[k % 61][1][: 3 * 20] + " " + items[7 * k % 61][1] + " " + text(9), 5) for k in range(61)] + [(99, None, 0), (None, text(50), 5)]
+    df, tests = spark.createDataFrame(docs, "doc_id long, text string, n_chars int"), spark.createDataFrame(items, "item_id string, text string")
+    for work in (decontamination.scan, lambda d, i, **k: decontamination.clean(d, i, max_coverage=0.6, **k)):
+        whole, many = (sorted(map(repr, work(df, tests, most_bytes=n).collect())) for n in (1 << 20, 150))
+        assert many == whole and len(whole) > 40
