@@ -37,8 +37,9 @@ def rebuild(t):
 @query("append_log", "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2")
 def append_log(t):
     path = scratch_path(t.spark, "append")
-    for status in ("P", "F", "O"):
-        mine = t.orders.where(F.col("o_orderstatus") == status)
+    named = [F.col("o_orderstatus").eqNullSafe(status) for status in ("P", "F")]
+    for batch in (*named, ~(named[0] | named[1])):  # the last takes all other statuses
+        mine = t.orders.where(batch)
         writers.append_log(marts.count_by(mine, ["o_orderstatus", "o_orderpriority"]), path)
     return t.spark.read.parquet(path).where("inserted_at is not null").drop("inserted_at")
 
