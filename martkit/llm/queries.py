@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import ans, decontamination, extraction, licenses, maxent, mixing, near, quality, secrets, tokens
+from martkit.llm import ans, bpe_tree, decontamination, extraction, licenses, maxent, mixing, near, quality, runs, secrets, tokens, variants
 from martkit.llm.catalog import query, table
+from martkit.llm.common import TOKEN
 from martkit.session import scratch_path
 
 #: The word pattern of the contracts and A-Z lowered, in SQL.
@@ -166,3 +167,100 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_maxent_scores")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return maxent.score(table(spark, folder, "documents"))
+
+
+#: CRC-32 of a text's UTF-8 bytes, whose table is worked out from its rule.
+CRC_SQL = """crc_table AS (SELECT list(v ORDER BY k) AS t FROM (SELECT k, list_reduce(list_prepend(k, range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) AS v
+  FROM (SELECT unnest(range(256)) AS k)))"""
+
+
+def _crc_sql(text: str) -> str:
+    """Needs ``crc_table`` in scope as column ``t``."""
+    bytes_of = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_of}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+OP11_SQL = f"""
+WITH {CRC_SQL},
+doc AS (SELECT doc_id, {TOKENS_SQL.format("text")} AS w, {_crc_sql("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc_table),
+plan AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a FROM doc),
+word AS (SELECT doc_id, i, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END] AS x
+  FROM (SELECT *, unnest(range(n)) AS i FROM plan)),
+pair AS (SELECT u.doc_id, u.i, v.i - u.i AS q FROM word u JOIN word v ON u.doc_id = v.doc_id AND u.x = v.x AND v.i > u.i JOIN plan p ON p.doc_id = u.doc_id AND 4 * (v.i - u.i) <= p.n),
+island AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM pair) GROUP BY doc_id, q, g),
+long AS (SELECT * FROM island WHERE length >= greatest(6, 4 * q)),
+run AS (SELECT * FROM long l WHERE NOT EXISTS (SELECT 1 FROM long s WHERE s.doc_id = l.doc_id AND s.q < l.q AND s.start <= l.start AND s.start + s.length >= l.start + l.length)),
+best AS (SELECT doc_id, start, length, q AS period, length * 1000 // q AS exponent_milli FROM run
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / q DESC, start, q) = 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS s FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS s FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, CAST(exponent_milli AS BIGINT) AS exponent_milli,
+  sha256(coalesce(listed.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS collapsed_sha256
+FROM doc LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in the tenth of the documents that the contract picks, the words from a place on are its own first ones again and again."""
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))
+    g = F.floor(F.col("h") / 10)
+    planted = rows.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w"))
+    a = (g % F.greatest(F.col("n"), F.lit(1))).cast("int")
+    planted = planted.withColumn("a", a).withColumn("p", (1 + F.floor((F.col("n") - a) / (3 + g % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    whole = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return planted.select("doc_id", F.when(F.col("w").isNotNull() & (F.col("n") > 0), whole).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.find(planted_runs(table(spark, folder, "documents")))
+    # the greatest exact quotient; the runs come by start and period, so the first of equal ones stays
+    larger = lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+    best = F.reduce("runs", F.get("runs", F.lit(0)), larger)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    listed = F.array_join(F.transform("runs", line), "")
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return rows.select(
+        "doc_id", "n_runs", "b.start", "b.length", "b.period", F.floor(1000 * F.col("b.length") / F.col("b.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
+
+
+OP12_SQL = f"""
+WITH RECURSIVE {CRC_SQL},
+run AS (SELECT doc_id, r, count(*) AS c FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS r FROM documents) GROUP BY doc_id, r),
+made AS (SELECT c, CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word
+  FROM (SELECT r, c, {_crc_sql("doc_id || ':' || r")} AS h FROM run, crc_table)),
+word AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+less AS (SELECT word, n, p, substr(word, 1, p) || substr(word, p + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS p FROM word)),
+pair AS (SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM word a JOIN less b ON a.word = b.rest UNION SELECT b.word, a.word, a.n FROM word a JOIN less b ON a.word = b.rest),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS form, max(n) AS form_n FROM pair GROUP BY word),
+named AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n FROM word w LEFT JOIN best USING (word)),
+path AS (SELECT word, word AS at FROM named UNION ALL SELECT path.word, named.form FROM path JOIN named ON path.at = named.word WHERE named.form IS NOT NULL),
+ends AS (SELECT path.word, path.at AS root FROM path JOIN named ON path.at = named.word WHERE named.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM named JOIN ends USING (word)
+"""
+
+
+def _typo(doc_id: Column, run: Column) -> Column:
+    """The contract's misspellings: of one in 97 pairs of document and word, a character goes."""
+    h = F.crc32(F.concat(doc_id.cast("string"), F.lit(":"), run).cast("binary"))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 97 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
+
+
+@query("op12_spelling_variants", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group(variants.count_words(table(spark, folder, "documents"), rewrite=_typo))
+
+
+@query("op13_bpe_tree")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    both = bpe_tree.decode(bpe_tree.encode(table(spark, folder, "documents"), ranks), ranks)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_names():
     names = list(load_all()[0])
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_license_columns(spark):
