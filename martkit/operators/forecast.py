@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit import labels
-from martkit.functions.numbers import round_half_up
+from martkit.functions.numbers import difference, round_half_up
 from martkit.functions.text import _col
 from martkit.operators.quality import QualityError, require_rows
 from martkit.operators.ranking import latest_where
@@ -114,8 +114,9 @@ def floored_forecast(prediction: Column | str) -> Column:
 
 
 def forecast_change(df: DataFrame, forecast: str = "forecast", last: str = "lag_1") -> DataFrame:
-    delta = F.col(forecast) - F.col(last)
-    return df.withColumn("delta", round_half_up(delta, 2).cast("double")).withColumn("direction", F.when(delta >= 0, "up").otherwise("down"))
+    """The change against the last value, of the decimals both show, and its direction."""
+    delta = difference(forecast, last)
+    return df.withColumn("delta", F.round(delta, 2).cast("double")).withColumn("direction", F.when(delta >= 0, "up").otherwise("down"))
 
 
 def split_by_key(df: DataFrame, key: str, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.functions.bands import Bands
-from martkit.functions.numbers import exact, round_half_up
+from martkit.functions.numbers import fixed_sum, round_half_up
 
 
 def n_rows() -> Column:
@@ -43,9 +43,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
 def with_share(df: DataFrame, value: str, digits: int, name: str = "share_pct", total: Column | None = None) -> DataFrame:
     """Percentage of the grand total, which is a scalar subquery: no join and no one-task window."""
     if total is None:
-        total = df.agg(F.sum(exact(value)).alias("total")).scalar()
-    # the double divides first; what is left of the decimals after a division of two wide ones would be too few
-    share = F.try_divide(exact(value).cast("double") * 100, total.cast("double"))
+        total = df.agg(fixed_sum(value).alias("total")).scalar()
+    share = F.try_divide(F.col(value).cast("double") * 100, total.cast("double"))
     return df.withColumn(name, round_half_up(share, digits))
 
 

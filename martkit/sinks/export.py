@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.sinks.writers import _exists
+from martkit.sinks.writers import Staging, _exists
 from martkit.sources.tabular import BOM, list_files, read_typed_csv
 
 
@@ -26,20 +26,21 @@ def _csv_text(c: Column, kind: str) -> Column:
 def write_csv(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> DataFrame:
     """UTF-8 with byte-order mark and header, in the given order.
 
-    The sort is by range, so a large table becomes several files that continue each other, each with mark
-    and header; a small one ends up in a single file when its sort partitions are coalesced.
-    Returns the one-row manifest entry.
+    The rows are staged first: the sort by range, which looks at them twice, then works nothing out again, and they are
+    counted there. A large table becomes several files that continue each other, each with mark and header; a small one
+    ends up in a single file when its sort partitions are coalesced. Returns the one-row manifest entry.
     """
-    ordered = df.orderBy(*order) if order else df
-    plain = ordered.select(*[_csv_text(F.col(f"`{n}`"), t).alias(n) for n, t in df.dtypes])
-    first = plain.columns[0]
-    out = plain.withColumnRenamed(first, BOM + first)
-    spark, seen = df.sparkSession, Observation()
-    counted = out.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode("overwrite").option("header", "true").option("escape", '"').option("encoding", "UTF-8")
-    # padding belongs to the text
-    writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
-    rows = seen.get["rows"]
+    spark = df.sparkSession
+    with Staging(spark, "export") as stage:
+        staged = stage(df)
+        rows = staged.count()
+        ordered = staged.orderBy(*order) if order else staged
+        plain = ordered.select(*[_csv_text(F.col(f"`{n}`"), t).alias(n) for n, t in df.dtypes])
+        first = plain.columns[0]
+        out = plain.withColumnRenamed(first, BOM + first)
+        writer = out.write.mode("overwrite").option("header", "true").option("escape", '"').option("encoding", "UTF-8")
+        # padding belongs to the text
+        writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     size = list_files(spark, path, "*.csv").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files"))
     return size.select(F.lit(path.rsplit("/", 1)[-1]).alias("name"), F.lit(rows).cast("bigint").alias("rows"), "files", "bytes")
 

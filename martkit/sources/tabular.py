@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martkit.functions.text import header_key
+from martkit.sources.records import first_records, read_csv
 
 BOM = "﻿"
 
@@ -63,39 +65,30 @@ def read_harmonised(
 ) -> DataFrame:
     """Delimited files with differing headers as one table of text columns.
 
-    A path may be a folder, whose files may differ among themselves. One job reads the first line of every file; files
-    with the same line are read by one scan, so the plan grows with the number of layouts, not of files. Absent columns
-    are null. A quoted field may span lines.
+    A path may be a folder, whose files may differ among themselves. A short read of each file's beginning gives its header;
+    files with the same header are read by one scan, so the plan grows with the number of layouts, not of files. Absent
+    columns are null. A quoted field may span lines, and large files are read by many tasks.
     """
     layouts: dict[str, list[str]] = {}
-    for row in first_lines(spark, paths).collect():  # one short row for each file
-        layouts.setdefault(row.line, []).append(row.path)
+    for path, line in first_records(spark, paths):
+        layouts.setdefault(line, []).append(path)
     if not layouts:
         raise MissingSource(f"no data in {list(paths)}")
 
     def scan(line: str, files: list[str]) -> DataFrame:
-        header = next(csv.reader([line]))
+        header = next(csv.reader(io.StringIO(line, newline="")))
         positions = map_headers(header, aliases)
         require_columns(files[0], positions, required, header)
         names = [f"c{i}" for i in range(len(header))]
-        schema = ", ".join(f"{n} string" for n in names)
-        raw = spark.read.schema(schema).option("header", "true").option("multiLine", "true").option("escape", '"').csv(files)
+        raw = read_csv(spark, files, ", ".join(f"{n} string" for n in names))
         columns: list[Column] = [
-            (F.col(names[positions[t]]) if t in positions else F.lit(None).cast("string")).alias(t) for t in targets
+            (F.col(f"r.{names[positions[t]]}") if t in positions else F.lit(None).cast("string")).alias(t) for t in targets
         ]
-        return raw.select(*columns, F.col("_metadata.file_name").alias(tag))
+        return raw.select(*columns, F.col("name").alias(tag))
 
     return reduce(DataFrame.unionByName, [scan(h, sorted(f)) for h, f in sorted(layouts.items())])
 
 
-def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``path, line``: the first line of each file. Only the first block of a file is looked at."""
-    lines = spark.read.text(list(paths)).where("_metadata.file_block_start = 0")
-    # ids grow along a task's rows, and a file's first block is one task's
-    first = lines.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
-    return first.groupBy("path").agg(F.min_by("value", "at").alias("line"))
-
-
 def drop_blank(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop rows in which all of ``keys`` are null, such as the empty tail of a sheet."""
     blank = reduce(lambda a, b: a & b, [F.col(k).isNull() for k in keys])
@@ -103,13 +96,10 @@ def drop_blank(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """UTF-8 with byte-order mark, header line, quoted fields that may span lines, declared types.
-
-    A quoted text may hold a line break, so a file is read by one task; exports are many files for that reason."""
-    return (
-        spark.read.schema(schema).option("header", "true").option("encoding", "UTF-8").option("escape", '"')
-        .option("multiLine", "true").csv(path)
-    )
+    """UTF-8 with byte-order mark, header line, quoted fields that may span lines, declared types; large files are read by
+    many tasks."""
+    kind = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return read_csv(spark, [path], kind).select("r.*")
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str], where: str | None = None, **args) -> DataFrame:

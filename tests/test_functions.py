@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from martkit import labels
 from martkit.functions import casts, numbers, text
@@ -116,3 +117,35 @@ def test_sums_keep_digits_and_survive_nan(spark, ansi):
             spark.createDataFrame([(1e25,)], "v double").agg(numbers.fixed_sum("v")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_means_at_halves_and_of_noisy_doubles(spark):
+    """Means that fall on a half at 15 digits go up, whatever the binary digits say."""
+    def mean(values, digits=2):
+        return float(spark.createDataFrame([(v,) for v in values], "v double").agg(numbers.fixed_mean("v", digits)).first()[0])
+
+    assert mean([1.9758000000000002, 0.4342]) == 1.21 and mean([1.2049999999999998]) == 1.21 and mean([-2.675]) == -2.68
+    assert mean([1e12 + 0.5, -1e12, 0.25], 3) == 0.25 and mean([1e-7] * 3, 9) == 1e-7 and mean([0.1] * 10, 6) == 0.1
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    import math
+    import random
+    from fractions import Fraction
+
+    draw = random.Random(7)
+    values = [draw.choice([-1, 1]) * draw.random() * 10.0 ** draw.randint(-6, 12) for _ in range(3000)] + [4.5e15, -4.5e15]
+    want = float(sum(map(Fraction, values)))
+    got = set()
+    for parts in (1, 3, 16):
+        draw.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+        got.add(df.agg(numbers.fixed_sum("v")).first()[0])
+    assert len(got) == 1 and abs(float(got.pop()) - want) <= 5  # half a unit of the 15th digit of the largest value
+
+
+def test_difference_of_what_is_shown(col, spark):
+    df = spark.createDataFrame([(54.66, 36.505), (1000000.005, 1000000.0), (0.1, 0.3)], "a double, b double")
+    assert [float(r[0]) for r in df.select(F.round(numbers.difference("a", "b"), 2)).collect()] == [18.16, 0.01, -0.2]
+    assert [float(x) for x in col("double", [18.154999999999994, 2.675, -0.125], lambda c: numbers.round_half_up(c, 2))] == [18.16, 2.68, -0.13]
+    assert col("double", [float("nan"), float("inf"), None], lambda c: numbers.round_half_up(c, 2)) == [None] * 3
