@@ -58,6 +58,29 @@ def sent_if_small(df: DataFrame, row_bytes: int, bound: int = 64 << 20) -> DataF
     return F.broadcast(df) if df.count() * row_bytes <= bound else df
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores before it as no column of ``df`` has, upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def attach(rows: DataFrame, known: DataFrame, key: str, spread: tuple[str, ...], row_bytes: int, salts: int = 16) -> DataFrame:
+    """``rows`` with the columns of ``known``, a written table with one row for each of some keys, null where it has none. Small
+    tables are sent to all tasks; beyond that every key is split over ``salts`` tasks by the columns ``spread``, so that one key
+    may have any number of rows."""
+    if known.count() * row_bytes <= 64 << 20:
+        return rows.join(F.broadcast(known), key, "left")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    every = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(every, [key, "salt"], "left").drop("salt")
+
+
 def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
