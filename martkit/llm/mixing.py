@@ -4,7 +4,8 @@ Each source has a weight schedule over training time from 0 to 1. Its integral u
 source by then; inverted, it gives each taken document its position. Documents are sorted by range of position.
 
 Cases: null texts have size 0. A null source is a source, after all others. Repeated rows each count. Sources without words
-take nothing. Ties in the order of a source's documents go by id, then size; equal rows are interchangeable.
+take nothing. Ties in the order of a source's documents go by id, then size, then the text's hash; equal rows are
+interchangeable. Extra columns, whatever their names, are ignored by ``plan`` and ``curriculum`` and kept by ``apply``.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import TOKEN, need, stage
+from martkit.llm.common import TOKEN, free_names, need, stage
 
 #: Digits of the order key's prefix that split a source: 16**3 parts, so that no source is one window.
 PART_DIGITS = 3
@@ -78,7 +79,7 @@ def plan(
     starts = parts.withColumn("start", F.coalesce(F.sum("part_size").over(by_source), F.lit(0)))
     starts = starts.join(aim, starts.source.eqNullSafe(aim.source)).drop(aim.source).drop("part_size")
     starts = starts.withColumnRenamed("source", "_source").withColumnRenamed("part", "_part")
-    own = Window.partitionBy("source", "part").orderBy("turn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("source", "part").orderBy("turn", "doc_id", "size", "h").rowsBetween(Window.unboundedPreceding, -1)
     df = rows.withColumn("inside", F.coalesce(F.sum("size").over(own), F.lit(0)))
     df = df.join(starts, df.source.eqNullSafe(F.col("_source")) & (df.part == F.col("_part"))).drop("_source", "_part")
     # words of the source up to the middle of this document, in the first pass
@@ -118,13 +119,14 @@ def curriculum(docs: DataFrame, **settings) -> DataFrame:
 def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """The documents with all their columns, once for each use, sorted by training position over the range of partitions."""
     planned = stage(plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings), "mix-plan")
+    its_id, its_source, its_hash, at, own_hash = free_names(docs, "its_id", "its_source", "its_hash", "position", "own_hash")
     uses = planned.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("h").alias("_h"), F.explode_outer("positions").alias("_position")
-    ).where("_position IS NOT NULL")
-    own = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
+        F.col("doc_id").alias(its_id), F.col("source").alias(its_source), F.col("h").alias(its_hash), F.explode_outer("positions").alias(at)
+    ).where(F.col(at).isNotNull())
+    own = docs.withColumn(own_hash, F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
     if not planned.groupBy("doc_id", "source", "h").count().where("count > 1").isEmpty():
-        own = own.dropDuplicates([id_col, source_col, "_own"])  # each of equal rows brings its uses; one of them meets them all
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & F.col(f"`{source_col}`").eqNullSafe(F.col("_source")) & (F.col("_own") == F.col("_h"))
+        own = own.dropDuplicates([id_col, source_col, own_hash])  # each of equal rows brings its uses; one of them meets them all
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(its_id)) & F.col(f"`{source_col}`").eqNullSafe(F.col(its_source)) & (F.col(own_hash) == F.col(its_hash))
     used = own.join(uses, same)
-    ordered = used.repartitionByRange("_position", "_own").sortWithinPartitions("_position", "_own")
+    ordered = used.repartitionByRange(at, own_hash).sortWithinPartitions(at, own_hash)
     return ordered.select(*[f"`{c}`" for c in docs.columns])

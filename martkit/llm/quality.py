@@ -153,10 +153,14 @@ def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limi
     """The documents that pass, with all their columns. The second pass works the features out again rather than
     shuffle all texts to join a verdict to them."""
     need(docs, text_col, lang_col)
-    plain = docs.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
+    names = docs.columns
+    # while the rules are applied the columns go by their places, so that no name of theirs meets one used here
+    docs = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    text_col, lang_col = (f"c{names.index(c)}" for c in (text_col, lang_col))
+    plain = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     reference = settled(stage(features(plain), "quality"), **limits)
     judged = judge(features(docs, text_col, keep_rest=True), reference, lang_col, **limits)
     # the planner would write the whole chain of steps out, many times over, to test the verdict at the scan; a column that
     # depends on the row's place keeps the test above the steps
     judged = judged.withColumn("_q_row", F.monotonically_increasing_id())
-    return judged.where("_q_kept AND _q_row >= 0").select(*[f"`{c}`" for c in docs.columns])
+    return judged.where("_q_kept AND _q_row >= 0").select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names)])

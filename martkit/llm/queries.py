@@ -88,27 +88,33 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rate(table(spark, folder, "documents")).drop("char_distance", "word_distance")
 
 
+_SHARE = "least((middle + ({0}) * source_size) / target, 1.0::DOUBLE)"
+_POSITION = f"CASE WHEN slope = 0 THEN {_SHARE} ELSE 2 * {_SHARE} / (1 - slope + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * {_SHARE}, 0))) END"
 OP6_SQL = f"""
 WITH doc AS (SELECT doc_id, source, CAST(len({TOKENS_SQL.format("text")}) AS BIGINT) AS size, md5(CAST(doc_id AS VARCHAR)) AS turn FROM documents),
 src AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM doc GROUP BY source),
 cap AS (SELECT *, place % 3 + 1 AS weight, 3.0::DOUBLE * source_size AS cap, 3.0::DOUBLE * source_size / (place % 3 + 1) AS ratio FROM src),
 lev AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / sum(weight) OVER (ORDER BY ratio, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM cap),
-aim AS (SELECT source, CAST(source_size AS BIGINT) AS source_size,
+aim AS (SELECT source, CAST(source_size AS BIGINT) AS source_size, ((place % 3) - 1) / 2.0::DOUBLE AS slope,
   least(cap, weight * (SELECT level FROM lev WHERE level <= ratio ORDER BY ratio, place LIMIT 1)) AS target FROM lev),
-mid AS (SELECT doc_id, d.source, size, source_size, target,
+mid AS (SELECT doc_id, d.source, size, source_size, target, slope,
   sum(size) OVER (PARTITION BY d.source ORDER BY turn, doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2.0::DOUBLE AS middle
-  FROM doc d JOIN aim a ON d.source IS NOT DISTINCT FROM a.source)
-SELECT doc_id, size, source_size, round(target, 3) AS target,
-  CAST(CASE WHEN size > 0 THEN size * least(greatest(ceil((target - middle) / source_size), 0), 3) ELSE 0 END AS BIGINT) AS taken FROM mid
+  FROM doc d JOIN aim a ON d.source IS NOT DISTINCT FROM a.source),
+use AS (SELECT *, CASE WHEN size > 0 THEN least(greatest(ceil((target - middle) / source_size), 0), 3) ELSE 0 END AS passes FROM mid)
+SELECT doc_id, size, source_size, round(target, 3) AS target, CAST(size * passes AS BIGINT) AS taken,
+  CASE WHEN passes > 0 THEN round({_POSITION.format(0)}, 9) END AS first_position, CASE WHEN passes > 0 THEN round({_POSITION.format("passes - 1")}, 9) END AS last_position FROM use
 """
 
 
 @query("op6_curriculum_mix", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    # in training order; the positions themselves are no column here, as the SQL has none
+    # in training order; the times of a document's first and last use, as the schedules give them
     mixed = mixing.curriculum(table(spark, folder, "documents"))
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+    first, last = F.get("positions", F.lit(0)), F.try_element_at("positions", F.lit(-1))
+    return mixed.select(
+        "doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken", F.round(first, 9).alias("first_position"), F.round(last, 9).alias("last_position")
+    )
 
 
 @query("op1_token_counts")
