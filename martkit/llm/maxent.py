@@ -6,9 +6,12 @@ feature, for which relative frequency is the maximum-entropy solution. Frequent
 all others form the last class, where counts get one added and one further token stands for all unknown ones.
 
 Counts are exact, over all training documents. Tokens of at least one in ``FREQUENT`` training tokens - of which there can be
-no more than that - are sent to the tasks; the others' counts reach the documents by a join. Training deals the documents
-into rounds; in each, every task takes gradient steps over its documents from the shared weights, and the tasks' changes,
-summed up in two levels on the executors, are averaged by their numbers of tokens.
+no more than that - are sent to the tasks; the others' counts reach the documents by a join. The rows of the hashed features
+grow with the vocabulary: a power of two of about a sixteenth of the distinct tokens, up to ``MOST_ROWS``, since each task
+holds the weights (32 MB then); beyond that, from about four million distinct tokens on, only the counts grow on. Training
+deals the documents into rounds; in each, every task takes gradient steps over its documents from the shared weights, and the
+tasks' changes, summed up in two levels on the executors in a fixed order, are averaged by their numbers of tokens. A task has
+as many documents as it takes for its change to be small beside them.
 
 Cases: null texts count as empty: the end alone. A null id counts as empty text for the split. Repeated rows each count.
 Without training documents every count is 0 and the class weights stay as they began. Clashing extra columns are ignored.
@@ -16,6 +19,7 @@ Without training documents every count is 0 and the class weights stay as they b
 
 from __future__ import annotations
 
+import math
 import sys
 
 import numpy as np
@@ -27,8 +31,9 @@ from pyspark.sql import functions as F
 from martkit.llm.common import chunks_of, mix64, need, stage
 
 FREQUENT = 1 << 20
-CLASSES, ROWS = 32, 1 << 16
-ROUNDS, RATE, STEP_TOKENS = 2, 0.15, 8192
+CLASSES, LEAST_ROWS, MOST_ROWS, TOKENS_A_ROW = 32, 1 << 12, 1 << 18, 16
+ROUNDS, RATE, STEP_TOKENS = 2, 0.12, 8192
+SCORE_TOKENS = 2048
 PARTS = 16
 _END = 0x656E64
 
@@ -106,7 +111,7 @@ class Vocabulary:
 
 
 def features(hashes: np.ndarray, ends: np.ndarray, rows: int) -> np.ndarray:
-    """For each token the rows of its features: constant, last word, last two, second last, third last."""
+    """For each token the rows of its features beside the constant, row 0: last word, last two, second last, third last."""
     n = len(hashes)
     starts = np.concatenate(([0], ends[:-1]))
     place = np.arange(n) - np.repeat(starts, np.diff(np.concatenate(([0], ends))))
@@ -117,30 +122,50 @@ def features(hashes: np.ndarray, ends: np.ndarray, rows: int) -> np.ndarray:
         shifted[place < k] = k
         before.append(shifted)
     one, two, three = before
-    out = np.zeros((n, 5), np.int64)
-    for j, mixed in enumerate((one + np.uint64(1), one * np.uint64(3) + mix64(two), two + np.uint64(2), three + np.uint64(4)), 1):
+    out = np.empty((n, 4), np.int64)
+    for j, mixed in enumerate((one + np.uint64(1), one * np.uint64(3) + mix64(two), two + np.uint64(2), three + np.uint64(4))):
         out[:, j] = 1 + (mix64(mixed) % np.uint64(rows - 1)).astype(np.int64)
     return out
 
 
-def log_softmax(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
-    z = weights.take(at[:, 0], axis=0)
-    for j in range(1, at.shape[1]):
-        z += weights.take(at[:, j], axis=0)
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def step(weights: np.ndarray, squares: np.ndarray, at: np.ndarray, cls: np.ndarray, rate: float) -> None:
-    """One gradient step in place, each weight at its own pace (AdaGrad)."""
-    grad = np.exp(log_softmax(weights, at))
+class Softmax:
+    """Class softmax over rows of weights, in buffers that are used again: a batch's memory is asked for once."""
+
+    def __init__(self, weights: np.ndarray, most: int):
+        self.weights = weights
+        self.total = np.empty((most, weights.shape[1]), np.float32)
+        self.part = np.empty_like(self.total)
+
+    def exponentials(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(logits exponentiated, their sums) for rows ``at`` of each token beside the constant's. Logits are sums of a few
+        weights that training keeps small, far from where single precision ends; they are cut there all the same."""
+        z, part = self.total[: len(at)], self.part[: len(at)]
+        np.take(self.weights, at[:, 0], axis=0, out=z, mode="clip")
+        for j in range(1, at.shape[1]):
+            np.take(self.weights, at[:, j], axis=0, out=part, mode="clip")
+            z += part
+        z += self.weights[0]
+        np.minimum(z, 80, out=z)
+        np.exp(z, out=z)
+        return z, z.sum(axis=1)
+
+    def log_chance(self, at: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """Natural logarithm of the probability of each token's class."""
+        e, total = self.exponentials(at)
+        own = np.maximum(e[np.arange(len(cls)), cls], np.float32(1e-37))
+        return np.log(own.astype(np.float64)) - np.log(total.astype(np.float64))
+
+
+def step(softmax: Softmax, squares: np.ndarray, at: np.ndarray, cls: np.ndarray, rate: float) -> None:
+    """One gradient step in place, each row of weights at its own pace (AdaGrad by rows)."""
+    weights = softmax.weights
+    grad, total = softmax.exponentials(at)
+    grad *= (1 / total)[:, None]
     grad[np.arange(len(cls)), cls] -= 1
     every = grad.sum(axis=0)  # the constant's row
-    squares[0] += every * every
-    weights[0] -= rate * every / np.sqrt(squares[0])
-    flat = at[:, 1:].astype(np.uint16 if len(weights) <= 1 << 16 else np.uint32).ravel()
+    flat = at.astype(np.uint16 if len(weights) <= 1 << 16 else np.uint32).ravel()
     order = np.argsort(flat, kind="stable")
-    rows, source = flat[order], order // (at.shape[1] - 1)
+    rows, source = flat[order], order // at.shape[1]
     first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
     size = np.diff(np.append(first, len(rows)))
     g = grad.take(source[first], axis=0)  # most rows have one token in a batch; only the others are summed up
@@ -150,50 +175,54 @@ def step(weights: np.ndarray, squares: np.ndarray, at: np.ndarray, cls: np.ndarr
         start = np.cumsum(n) - n
         g[many] = np.add.reduceat(grad.take(source[np.repeat(first[many] - start, n) + np.arange(n.sum())], axis=0), start, axis=0)
     touched = rows[first]
-    pace = g * g
-    pace += squares.take(touched, axis=0)
+    pace = np.einsum("ij,ij->i", g, g) / np.float32(g.shape[1]) + squares[touched]
     squares[touched] = pace
-    np.sqrt(pace, out=pace)
-    g /= pace
-    g *= np.float32(rate)
-    weights[touched] = weights.take(touched, axis=0) - g
+    g *= (np.float32(rate) / np.sqrt(pace))[:, None]
+    weights[touched] -= g
+    squares[0] += (every * every).mean()
+    weights[0] -= rate * every / np.sqrt(squares[0])
 
 
 def _train(words: Vocabulary, weights: np.ndarray, rate: float):
     def work(batches):
         from pyspark import TaskContext
 
-        hashes, own, squares, n = _worker_hashes(), weights.copy(), np.ones_like(weights), 0
+        hashes, own, squares, n = _worker_hashes(), weights.copy(), np.ones(len(weights), np.float32), 0
+        softmax = Softmax(own, STEP_TOKENS)
         for _, texts in chunks_of(batches, 2 << 20):
             found, ends = tokens(texts, hashes)
             place = words.find(found)
             cls = np.where(place >= 0, words.of[place] if len(words.of) else 0, words.classes - 1)
             at = features(found, ends, len(weights))
             for k in range(0, len(found), STEP_TOKENS):
-                step(own, squares, at[k : k + STEP_TOKENS], cls[k : k + STEP_TOKENS], rate)
+                step(softmax, squares, at[k : k + STEP_TOKENS], cls[k : k + STEP_TOKENS], rate)
             n += len(found)
         if n:
-            change = ((own - weights) * np.float32(1)).reshape(PARTS, -1).astype(np.float16)
-            salt = TaskContext.get().partitionId() % 64
-            columns = ([*range(PARTS)], [salt] * PARTS, [n] * PARTS, [c.tobytes() for c in change])
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _CHANGE)], names=["part", "salt", "n", "change"])
+            own -= weights
+            change = own.astype(np.float16).reshape(PARTS, -1)
+            task = TaskContext.get().partitionId()
+            columns = ([*range(PARTS)], [task % SALTS] * PARTS, [task] * PARTS, [n] * PARTS, [c.tobytes() for c in change])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _CHANGE)], names=_NAMES)
 
     return work
 
 
-_CHANGE = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
-CHANGE = "part int, salt int, n long, change binary"
+SALTS = 64
+_CHANGE = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+_NAMES = ["part", "salt", "task", "n", "change"]
+CHANGE = "part int, salt int, task int, n long, change binary"
 
 
 def _mean_of(kind: str):
-    """Weighted means of changes that come sorted by part and salt: one vector in memory for each run of equal keys."""
+    """Weighted means of changes that come sorted by part, salt and task, so that sums are the same in every run: one vector in
+    memory for each run of equal keys."""
 
     def work(batches):
         key, total, n = None, None, 0
 
         def close():
-            columns = ([key[0]], [key[1]], [n], [(total / n).astype(np.float16).tobytes()])
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _CHANGE)], names=["part", "salt", "n", "change"])
+            columns = ([key[0]], [key[1]], [0], [n], [(total / n).astype(np.float16).tobytes()])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _CHANGE)], names=_NAMES)
 
         for b in batches:
             for r in range(b.num_rows):
@@ -211,15 +240,21 @@ def _mean_of(kind: str):
     return work
 
 
-def fit(docs: DataFrame, words: Vocabulary, rows: int = ROWS, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
+def rows_for(distinct: int) -> int:
+    """Rows of the weights for a vocabulary: the next power of two, within the bounds."""
+    return min(max(1 << max(distinct // TOKENS_A_ROW - 1, 0).bit_length(), LEAST_ROWS), MOST_ROWS)
+
+
+def fit(docs: DataFrame, words: Vocabulary, rows: int, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
     """Class weights, trained on all rows of ``docs`` (doc_id, text); every document takes part in one round."""
     weights = np.zeros((rows, words.classes), np.float32)
     weights[0] = words.bias
+    tasks = math.ceil(words.total / weights.size)  # a task's change takes two bytes a weight, its texts some six a token
     for r in range(rounds):
-        own = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == r)
+        own = docs.coalesce(max(tasks, 1)).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == r)
         changes = own.mapInArrow(_train(words, weights, rate), CHANGE)
-        salted = changes.repartition("part", "salt").sortWithinPartitions("part", "salt").mapInArrow(_mean_of("salted"), CHANGE)
-        means = salted.repartition("part").sortWithinPartitions("part").mapInArrow(_mean_of("all"), CHANGE)
+        salted = changes.repartition("part", "salt").sortWithinPartitions("part", "salt", "task").mapInArrow(_mean_of("salted"), CHANGE)
+        means = salted.repartition("part").sortWithinPartitions("part", "salt").mapInArrow(_mean_of("all"), CHANGE)
         for row in means.collect():  # as many rows as there are parts of the weights
             weights.reshape(PARTS, -1)[row.part] += np.frombuffer(row.change, np.float16)
     return weights
@@ -236,7 +271,7 @@ def rate(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> DataFrame:
     still to be looked up. Staged."""
 
     def work(batches):
-        hashes = _worker_hashes()
+        hashes, softmax = _worker_hashes(), Softmax(weights, SCORE_TOKENS)
         for b in batches:
             step_rows = max(1, int(b.num_rows * (2 << 20) / max(1, b.nbytes)))
             for at in range(0, b.num_rows, step_rows):
@@ -249,9 +284,8 @@ def rate(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> DataFrame:
                 cls[known], inside[known], plain[known] = words.of[place[known]], words.inside[place[known]], words.log_count[place[known]]
                 own = np.empty(len(found))
                 features_at = features(found, ends, len(weights))
-                for k in range(0, len(found), STEP_TOKENS):
-                    z = log_softmax(weights, features_at[k : k + STEP_TOKENS])
-                    own[k : k + STEP_TOKENS] = z[np.arange(len(z)), cls[k : k + STEP_TOKENS]]
+                for k in range(0, len(found), SCORE_TOKENS):
+                    own[k : k + SCORE_TOKENS] = softmax.log_chance(features_at[k : k + SCORE_TOKENS], cls[k : k + SCORE_TOKENS])
                 sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), plain, own / np.log(10) + inside)]
                 rare, times = [], []
                 for s, e in zip(starts.tolist(), ends.tolist()):
@@ -271,8 +305,9 @@ def rate(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> DataFrame:
     return stage(docs.select("row", "doc_id", "text", "held_out").mapInArrow(work, RATED), "lm-rated")
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, classes: int = CLASSES, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """Per row ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``; learns from rows not held out."""
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, classes: int = CLASSES, rows: int | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """Per row ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``; learns from rows not held out. ``rows``:
+    of the weights, a power of two, if not to follow from the vocabulary."""
     need(docs, id_col, text_col)
     held_out = is_held_out(id_col) if held_out is None else held_out
     texts = docs.select(
@@ -284,7 +319,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     # no more than FREQUENT tokens can each make up one in FREQUENT
     frequent = known.where(F.col("c") * FREQUENT >= total).toArrow()
     words = Vocabulary(frequent["token"].to_numpy(), frequent["c"].to_numpy(), total, distinct, classes)
-    weights = fit(train, words, rows, rounds)
+    weights = fit(train, words, rows or rows_for(distinct), rounds)
     rated = rate(texts.withColumn("row", F.monotonically_increasing_id()), words, weights)
     left = rated.select("row", F.explode(F.arrays_zip("rare", "times")).alias("t")).select("row", F.col("t.rare").alias("token"), F.col("t.times").alias("times"))
     other = known.where(F.col("c") * FREQUENT < total)

@@ -292,6 +292,33 @@ def test_model_learns_and_adds_up(spark, none):
     assert words.rest == 110 - 100 + 5 + 1  # five other tokens with ten uses, one added to each, one for the unknown
 
 
+def test_chances_add_up_over_the_vocabulary(spark):
+    """In every context those of all known tokens, the end and the unknown come to one; runs agree to the last digit."""
+    draw = random.Random(9)
+    rows = [(k, " ".join(draw.choice("abcdefghijklmnop") + draw.choice(["", "x", str(draw.randrange(60))]) for _ in range(120))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6, "doc_id")
+    known = {r.token: r.c for r in maxent.counts(docs).collect()}
+    total = sum(known.values())
+    frequent = {t: c for t, c in known.items() if c >= 12}
+    words = maxent.Vocabulary(np.array(list(frequent), np.int64), np.array(list(frequent.values()), np.int64), total, len(known), 6)
+    runs = [maxent.fit(docs, words, rows=1 << 9) for _ in range(2)]
+    assert (runs[0] == runs[1]).all() and (runs[0][1:] != 0).any()
+    hashes = maxent._Hashes()
+    for context in ("", "a", "bx c", "d e f", "unseen words here", "a a a a"):
+        found, ends = maxent.tokens([context], hashes)
+        at = maxent.features(found, ends, 1 << 9)[-1:]
+        softmax = maxent.Softmax(runs[0], 64)
+        classes = np.array([math.exp(softmax.log_chance(at, np.array([c]))[0]) for c in range(6)])
+        mass = np.bincount(words.of, 10**words.inside, 6)
+        mass[5] += (sum(c + 1 for t, c in known.items() if t not in frequent) + 1) / words.rest  # the others and the unknown
+        assert classes.sum() == pytest.approx(1) and (classes * mass).sum() == pytest.approx(1) and len(frequent) < len(known)
+
+
+def test_rows_follow_the_vocabulary():
+    sizes = [maxent.rows_for(n) for n in (0, 10, 70_000, 200_000, 1_000_000, 3_000_000, 10**9)]
+    assert sizes == sorted(sizes) and sizes[0] == maxent.LEAST_ROWS and sizes[-1] == maxent.MOST_ROWS and len(set(sizes)) == 5
+
+
 # 8: pages
 
 
