@@ -12,7 +12,7 @@ from martkit.catalog.series import LAG_SQL, lag_features
 from martkit.functions.numbers import fixed_mean, fixed_sum
 from martkit.operators import forecast, marts, windows
 from martkit.session import scratch_path
-from martkit.sinks import export
+from martkit.sinks import export, snapshots
 from martkit.sources.feed import FEED_COLUMNS, province_table
 from martkit.sources.tabular import read_harmonised
 from martkit.streaming import incremental
@@ -118,7 +118,7 @@ def backfill(t):
     for start, until in ((first, middle), (first, after), (first, after)):
         incremental.backfill(t.spark, fetch, path, log, start, until)
     logged = t.spark.read.parquet(log).count()
-    return t.spark.read.parquet(path).select("event_id", "occurred_at", F.lit(logged).cast("bigint").alias("logged"))
+    return snapshots.read(t.spark, path).select("event_id", "occurred_at", F.lit(logged).cast("bigint").alias("logged"))
 
 
 _SLOT = "CAST('0x' || left(md5('42:' || event_id), 8) AS UBIGINT) % 10000"

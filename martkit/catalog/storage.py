@@ -15,7 +15,7 @@ from martkit.operators import marts, ranking
 from martkit.operators.calendar import entity_dimension
 from martkit.plans.weather import store_readings
 from martkit.session import scratch_path
-from martkit.sinks import export, writers
+from martkit.sinks import export, snapshots, writers
 from martkit.sources.feed import FEED_COLUMNS, is_loadable, parse_events, parse_readings, read_feed
 from martkit.sources.tabular import list_files, read_harmonised
 from martkit.streaming import incremental
@@ -65,6 +65,56 @@ def window_replace(t):
     return t.spark.read.parquet(path).drop("month")
 
 
+@query("snapshot_window", """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+           CASE WHEN o_orderdate >= TIMESTAMP '1997-03-10' AND o_orderdate < TIMESTAMP '1997-06-01' THEN 1.0 ELSE o_totalprice END AS o_totalprice
+    FROM orders WHERE NOT (o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-02-01')""")
+def snapshot_window(t):
+    """As ``window_replace``, into a snapshot table; the corrected window also brings keys of other months, which are ignored."""
+    path, orders, keys = scratch_path(t.spark, "snapshot"), _orders(t), ["o_orderkey"]
+
+    def load(batch, start, end):
+        return snapshots.replace_window(batch, path, "o_orderdate", start, end, keys)
+
+    load(orders, datetime(1995, 1, 1), datetime(2002, 1, 1))
+    start, end = datetime(1997, 3, 10), datetime(1997, 6, 1)
+    at = F.col("o_orderdate")
+    inside = (at >= wall_time(start)) & (at < wall_time(end))
+    fresh = orders.where(inside).withColumn("o_totalprice", F.lit(1.0))
+    strange = orders.where(at >= wall_time(datetime(1999, 1, 1))).withColumn("o_orderdate", wall_time(datetime(1997, 4, 1))).withColumn("o_totalprice", F.lit(-1.0))
+    for batch in (fresh, fresh.unionByName(strange)):
+        load(batch, start, end)
+    load(orders.where("false"), datetime(1998, 1, 1), datetime(1998, 2, 1))
+    return snapshots.read(t.spark, path).drop("month")
+
+
+@query("snapshot_insert", f"""
+    SELECT {_ORDER_COLUMNS} FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'P' DESC, o_orderkey) = 1""")
+def snapshot_insert(t):
+    """First writer of a key wins, into a snapshot table that is then compacted and cleared of what no reader needs."""
+    path, orders = scratch_path(t.spark, "snapshot"), _orders(t)
+    for batch in (orders.where("o_orderstatus = 'P'"), orders, orders):
+        snapshots.insert_if_absent(batch, path, ["o_custkey"], ["o_orderkey"], at="o_orderdate")
+    snapshots.compact(t.spark, path, "o_custkey")
+    snapshots.vacuum(t.spark, path)
+    return snapshots.read(t.spark, path).drop("month")
+
+
+@query("snapshot_upsert", f"""
+    WITH d AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderstatus AS symbol, {mean_sql('o_totalprice', 2)} AS price FROM orders GROUP BY 1, 2)
+    SELECT date, symbol, CASE WHEN year(date) = 1999 AND symbol <> 'O' THEN 50.0 ELSE price END AS price FROM d""")
+def snapshot_upsert(t):
+    path = scratch_path(t.spark, "snapshot")
+    price = fixed_mean("o_totalprice", 2).cast("double").alias("price")
+    daily = t.orders.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderstatus").alias("symbol")).agg(price)
+    snapshots.upsert(daily, path, ["date", "symbol"], "date")
+    fresh = daily.where("year(date) = 1999 and symbol <> 'O'").withColumn("price", F.lit(50.0))
+    for _ in range(2):
+        snapshots.upsert(fresh, path, ["date", "symbol"], "date")
+    return snapshots.read(t.spark, path).drop("month", "inserted_at")
+
+
 @query("insert_if_absent", f"""
     SELECT {_ORDER_COLUMNS} FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'P' DESC, o_orderkey) = 1""")
@@ -198,7 +248,7 @@ def load_window(t):
         _land_feed(t, landing, spoil=True)
     for _ in range(2):
         incremental.load_window(read_feed(t.spark, landing), path, datetime(2024, 1, 1), datetime(2024, 2, 1))
-    return t.spark.read.parquet(path).select(*_STORED)
+    return snapshots.read(t.spark, path).select(*_STORED)
 
 
 @query("micro_batch", f"{_PARSED} WHERE event_type <> 'error'")
@@ -208,7 +258,7 @@ def micro_batch(t):
     for _ in range(2):
         _land_feed(t, landing, spoil=True)
         incremental.stream_feed(t.spark, landing, path, checkpoint).awaitTermination()
-    return t.spark.read.parquet(path).select(*_STORED)
+    return snapshots.read(t.spark, path).select(*_STORED)
 
 
 @query("pending_windows", """

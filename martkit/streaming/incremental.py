@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martkit.functions.dates import wall_time
 from martkit.operators.quality import require_rows
-from martkit.sinks.writers import Staging, _exists, append_log, insert_if_absent, replace_window, upsert
+from martkit.sinks import snapshots
+from martkit.sinks.writers import Staging, _exists, append_log, insert_if_absent, upsert
 from martkit.sources.feed import FEED_SCHEMA, is_loadable, parse_events
 
 EVENT_KEYS = ("event_id",)
@@ -31,9 +32,9 @@ def pending_windows(windows: DataFrame, load_log: DataFrame, column: str = "wind
 
 
 def load_window(feed: DataFrame, path: str, start: datetime, end: datetime) -> dict[str, int]:
-    """One feed window into the event table: parse, reject, first occurrence per id, replace the window.
+    """One feed window into the event table, a snapshot table: parse, reject, first occurrence per id, replace the window.
 
-    The pages are parsed once, into the scratch area; attempted, rejected, distinct and stored rows are
+    The pages are parsed once, into the scratch area, and written once, into the table; attempted, rejected, distinct and stored rows are
     reported separately.
     """
     with Staging(feed.sparkSession, "feed") as stage:
@@ -41,7 +42,7 @@ def load_window(feed: DataFrame, path: str, start: datetime, end: datetime) -> d
         order = [c for c in ("feed_order",) if c in events.columns]
         counts = events.agg(F.count_if(is_loadable()).alias("good"), F.count_if(~is_loadable()).alias("bad")).first()
         good = events.where(is_loadable()).withColumn("ingested_at", wall_time(datetime.now(UTC)))
-        result = replace_window(good, path, "occurred_at", start, end, list(EVENT_KEYS), order)
+        result = snapshots.replace_window(good, path, "occurred_at", start, end, list(EVENT_KEYS), order)
     return result | {"attempted": counts.good, "rejected": counts.bad}
 
 
@@ -68,7 +69,7 @@ def backfill(
         lo, hi = datetime(first.year, first.month, 1), datetime(end.year, end.month, 1)
         load_window(fetch(lo, hi), path, lo, hi)
         at = F.col("occurred_at")
-        stored = spark.read.parquet(path).where((at >= wall_time(lo)) & (at < wall_time(hi)))
+        stored = snapshots.read(spark, path).where((at >= wall_time(lo)) & (at < wall_time(hi)))
         counts = stored.groupBy(F.trunc("occurred_at", "MM").alias("window_start")).agg(F.count(F.lit(1)).alias("stored"))
         months = month_windows(spark, first, end).join(counts, "window_start", "left")
         months.select(
@@ -90,14 +91,14 @@ def ingest_totals(events: DataFrame) -> DataFrame:
 def stream_feed(spark: SparkSession, landing: str, path: str, checkpoint: str, counts: str | None = None) -> StreamingQuery:
     """Load newly landed pages as micro-batches, then stop: each event id is stored once, first writer wins.
 
-    A batch repeated after a failure finds its ids in the table and adds nothing, so the sink is
-    idempotent without a transaction log. ``counts``: a log that gets a row for each batch with its good and bad lines.
+    The sink is a snapshot table: a batch is seen as a whole, and one repeated after a failure finds its ids in the table and
+    adds nothing. ``counts``: a log that gets a row for each batch with its good and bad lines.
     """
     pages = spark.readStream.schema(FEED_SCHEMA).option("header", "true").option("enforceSchema", "false").csv(landing)
 
     def store(batch: DataFrame, number: int) -> None:
         events = parse_events(batch)
-        insert_if_absent(events.where(is_loadable()), path, list(EVENT_KEYS), ["occurred_at"], at="occurred_at")
+        snapshots.insert_if_absent(events.where(is_loadable()), path, list(EVENT_KEYS), ["occurred_at"], at="occurred_at")
         if counts:
             tally = events.agg(F.count_if(is_loadable()).alias("attempted"), F.count_if(~is_loadable()).alias("rejected"))
             append_log(tally.withColumn("batch", F.lit(number).cast("bigint")), counts)

@@ -15,7 +15,7 @@ from martkit.operators import forecast
 from martkit.operators.quality import QualityError
 from martkit.operators.windows import lag_features, ordered_holdout
 from martkit.plans import cases, events, prices, weather
-from martkit.sinks import export
+from martkit.sinks import export, snapshots
 from martkit.sources import html
 from martkit.sources.tabular import MissingSource
 from martkit.sources.workbook import read_workbooks, sheet_rows
@@ -143,7 +143,7 @@ def test_event_flow(spark, tmp_path):
     _land(spark, landing, EVENTS)
     counts = incremental.load_window(incremental_feed(spark, landing), table, datetime(2024, 1, 1), datetime(2024, 3, 1))
     assert counts == {"attempted": 5, "rejected": 2, "distinct": 5, "in_window": 5}
-    stored = spark.read.parquet(table)
+    stored = snapshots.read(spark, table)
     manifest = {r.name: r.rows for r in events.build_events(spark, stored, out).collect()}
     assert manifest["dim_month"] == 2 and manifest["dim_region"] == 2 and manifest["strongest_events"] == 3
     marts = {n: {r[0]: r for r in spark.read.parquet(f"{out}/{n}").collect()} for n in ("monthly", "by_region", "by_magnitude", "by_depth")}
