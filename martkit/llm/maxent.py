@@ -24,11 +24,10 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import chunks_of, mix64, need, stage
+from martkit.llm.common import mix64, need, stage
 
 FREQUENT = 1 << 20
 CLASSES, LEAST_ROWS, MOST_ROWS, TOKENS_A_ROW = 32, 1 << 12, 1 << 18, 16
@@ -38,32 +37,70 @@ PARTS = 16
 _END = 0x656E64
 
 
-class _Hashes(dict):
-    def __missing__(self, word):
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def _worker_hashes() -> dict:
-    return sys.modules.setdefault("_martkit_lm", type(sys)("_martkit_lm")).__dict__.setdefault("words", _Hashes())
-
-
-def tokens(texts: list[str], hashes: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hashes of the tokens of all texts, the end of each text); an end token follows each text's words."""
-    out, ends = [], np.empty(len(texts), np.int64)
-    total = 0
-    for k, text in enumerate(texts):
-        # of bytes, these two mean A-Z alone and the contract's white space alone
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        own = np.empty(len(words) + 1, np.uint64)
-        own[:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-        own[-1] = _END
-        out.append(own)
-        total += len(own)
-        ends[k] = total
-    return np.concatenate(out) if out else np.zeros(0, np.uint64), ends
+#: Of bytes, A-Z alone become small, and the contract's white space alone parts words.
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
+_PARTS = np.zeros(256, bool)
+_PARTS[[0x20, *range(0x09, 0x0E)]] = True
+
+
+class _Powers:
+    """A random value for each byte, and the powers of an odd base and of its inverse, for places up to the longest chunk so far."""
+
+    def __init__(self):
+        self.letter = np.random.default_rng(20261).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.letter = self.letter[_SMALL]
+        self.base = np.uint64(0x9E3779B97F4A7C15)
+        self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            one = np.ones(1, np.uint64)
+            self.up = np.cumprod(np.concatenate((one, np.full(n - 1, self.base))), dtype=np.uint64)
+            self.down = np.cumprod(np.concatenate((one, np.full(n - 1, self.inverse))), dtype=np.uint64)
+        return self.up[:n], self.down[:n]
+
+
+def _worker_powers() -> _Powers:
+    kept = sys.modules.setdefault("_martkit_lm", type(sys)("_martkit_lm")).__dict__
+    return kept.get("powers") or kept.setdefault("powers", _Powers())
+
+
+def tokens(texts: pa.Array, powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of the tokens of all texts, the end of each text); an end token follows each text's words.
+
+    The texts' bytes, as they lie behind one another in the array, are hashed in place: a word's hash is a polynomial of its
+    bytes' values, a difference of running sums brought to the power of its first place.
+    """
+    wide = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    d = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data is not None else np.zeros(0, np.uint8)
+    edges = edges - edges[0]
+    n = len(d)
+    inside = ~_PARTS[d]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    cut = edges[(edges > 0) & (edges < n)]  # texts may follow one another without white space
+    first[cut] |= inside[cut]
+    last[cut - 1] |= inside[cut - 1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    up, down = powers.upto(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(powers.letter[d] * up[:n], out=sums[1:])
+    found = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    ends = np.searchsorted(start, edges[1:])
+    return np.insert(found, ends, np.uint64(_END)), ends + np.arange(1, len(ends) + 1)
+
+
+def _slices(batches, bytes_at_once: int):
+    """Some rows at a time, about so many bytes of them."""
+    for b in batches:
+        step_rows = max(1, int(b.num_rows * bytes_at_once / max(1, b.nbytes)))
+        for at in range(0, b.num_rows, step_rows):
+            yield b.slice(at, step_rows)
 
 
 def is_held_out(id_col: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
@@ -74,9 +111,9 @@ def counts(docs: DataFrame) -> DataFrame:
     """``token, c`` over all rows of ``docs`` (doc_id, text). Each chunk sends a token once. Staged."""
 
     def work(batches):
-        hashes = _worker_hashes()
-        for _, texts in chunks_of(batches, 16 << 20):
-            found, n = np.unique(tokens(texts, hashes)[0].view(np.int64), return_counts=True)
+        powers = _worker_powers()
+        for some in _slices(batches, 8 << 20):
+            found, n = np.unique(tokens(some.column("text"), powers)[0].view(np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["token", "c"])
 
     return stage(docs.mapInArrow(work, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")), "lm-counts")
@@ -187,10 +224,10 @@ def _train(words: Vocabulary, weights: np.ndarray, rate: float):
     def work(batches):
         from pyspark import TaskContext
 
-        hashes, own, squares, n = _worker_hashes(), weights.copy(), np.ones(len(weights), np.float32), 0
+        powers, own, squares, n = _worker_powers(), weights.copy(), np.ones(len(weights), np.float32), 0
         softmax = Softmax(own, STEP_TOKENS)
-        for _, texts in chunks_of(batches, 2 << 20):
-            found, ends = tokens(texts, hashes)
+        for some in _slices(batches, 2 << 20):
+            found, ends = tokens(some.column("text"), powers)
             place = words.find(found)
             cls = np.where(place >= 0, words.of[place] if len(words.of) else 0, words.classes - 1)
             at = features(found, ends, len(weights))
@@ -249,7 +286,7 @@ def fit(docs: DataFrame, words: Vocabulary, rows: int, rounds: int = ROUNDS, rat
     """Class weights, trained on all rows of ``docs`` (doc_id, text); every document takes part in one round."""
     weights = np.zeros((rows, words.classes), np.float32)
     weights[0] = words.bias
-    tasks = math.ceil(words.total / weights.size)  # a task's change takes two bytes a weight, its texts some six a token
+    tasks = math.ceil(words.total / (2 * weights.size))  # a task's change takes two bytes a weight, its texts some six a token
     for r in range(rounds):
         own = docs.coalesce(max(tasks, 1)).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == r)
         changes = own.mapInArrow(_train(words, weights, rate), CHANGE)
@@ -271,36 +308,34 @@ def rate(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> DataFrame:
     still to be looked up. Staged."""
 
     def work(batches):
-        hashes, softmax = _worker_hashes(), Softmax(weights, SCORE_TOKENS)
-        for b in batches:
-            step_rows = max(1, int(b.num_rows * (2 << 20) / max(1, b.nbytes)))
-            for at in range(0, b.num_rows, step_rows):
-                some = b.slice(at, step_rows)
-                found, ends = tokens(some.column("text").to_pylist(), hashes)
-                starts = np.concatenate(([0], ends[:-1]))
-                place = words.find(found)
-                known = place >= 0
-                cls, inside, plain = np.full(len(found), words.classes - 1), np.zeros(len(found)), np.zeros(len(found))
-                cls[known], inside[known], plain[known] = words.of[place[known]], words.inside[place[known]], words.log_count[place[known]]
-                own = np.empty(len(found))
-                features_at = features(found, ends, len(weights))
-                for k in range(0, len(found), SCORE_TOKENS):
-                    own[k : k + SCORE_TOKENS] = softmax.log_chance(features_at[k : k + SCORE_TOKENS], cls[k : k + SCORE_TOKENS])
-                sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), plain, own / np.log(10) + inside)]
-                rare, times = [], []
-                for s, e in zip(starts.tolist(), ends.tolist()):
-                    left, n = np.unique(found[s:e][~known[s:e]].view(np.int64), return_counts=True)
-                    rare.append(left)
-                    times.append(n)
-                offset = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in rare]))), pa.int32())
-                size = ends - starts
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column("row"), some.column("doc_id"), some.column("held_out"), pa.array(size), pa.array(sums[0]), pa.array(size - sums[0]), pa.array(sums[1]), pa.array(sums[2]),
-                        pa.ListArray.from_arrays(offset, pa.array(np.concatenate(rare))), pa.ListArray.from_arrays(offset, pa.array(np.concatenate(times).astype(np.int32))),
-                    ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "n_frequent", "n_rare", "frequent_sum", "model_sum", "rare", "times"],
-                )
+        powers, softmax = _worker_powers(), Softmax(weights, SCORE_TOKENS)
+        for some in _slices(batches, 2 << 20):
+            found, ends = tokens(some.column("text"), powers)
+            starts = np.concatenate(([0], ends[:-1]))
+            place = words.find(found)
+            known = place >= 0
+            cls, inside, plain = np.full(len(found), words.classes - 1), np.zeros(len(found)), np.zeros(len(found))
+            cls[known], inside[known], plain[known] = words.of[place[known]], words.inside[place[known]], words.log_count[place[known]]
+            own = np.empty(len(found))
+            features_at = features(found, ends, len(weights))
+            for k in range(0, len(found), SCORE_TOKENS):
+                own[k : k + SCORE_TOKENS] = softmax.log_chance(features_at[k : k + SCORE_TOKENS], cls[k : k + SCORE_TOKENS])
+            sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), plain, own / np.log(10) + inside)]
+            at = np.flatnonzero(~known)
+            own_text = np.searchsorted(ends, at, side="right")
+            order = np.lexsort((found[at], own_text))
+            rare, own_text = found[at][order].view(np.int64), own_text[order]
+            begins = np.flatnonzero(np.concatenate((np.ones(min(len(rare), 1), bool), (rare[1:] != rare[:-1]) | (own_text[1:] != own_text[:-1]))))
+            times = np.diff(np.append(begins, len(rare))).astype(np.int32)
+            offset = pa.array(np.concatenate(([0], np.cumsum(np.bincount(own_text[begins], minlength=len(ends))))).astype(np.int32))
+            size = ends - starts
+            yield pa.RecordBatch.from_arrays(
+                [
+                    some.column("row"), some.column("doc_id"), some.column("held_out"), pa.array(size), pa.array(sums[0]), pa.array(size - sums[0]), pa.array(sums[1]), pa.array(sums[2]),
+                    pa.ListArray.from_arrays(offset, pa.array(rare[begins])), pa.ListArray.from_arrays(offset, pa.array(times)),
+                ],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_frequent", "n_rare", "frequent_sum", "model_sum", "rare", "times"],
+            )
 
     return stage(docs.select("row", "doc_id", "text", "held_out").mapInArrow(work, RATED), "lm-rated")
 

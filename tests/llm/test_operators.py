@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from martkit.llm import ans, components, decontamination, extraction, html_blocks, licenses, maxent, mixing, near, quality, secrets, tokens
@@ -303,9 +304,8 @@ def test_chances_add_up_over_the_vocabulary(spark):
     words = maxent.Vocabulary(np.array(list(frequent), np.int64), np.array(list(frequent.values()), np.int64), total, len(known), 6)
     runs = [maxent.fit(docs, words, rows=1 << 9) for _ in range(2)]
     assert (runs[0] == runs[1]).all() and (runs[0][1:] != 0).any()
-    hashes = maxent._Hashes()
     for context in ("", "a", "bx c", "d e f", "unseen words here", "a a a a"):
-        found, ends = maxent.tokens([context], hashes)
+        found, ends = maxent.tokens(pa.array([context]), maxent._Powers())
         at = maxent.features(found, ends, 1 << 9)[-1:]
         softmax = maxent.Softmax(runs[0], 64)
         classes = np.array([math.exp(softmax.log_chance(at, np.array([c]))[0]) for c in range(6)])
@@ -314,6 +314,21 @@ def test_chances_add_up_over_the_vocabulary(spark):
         assert classes.sum() == pytest.approx(1) and (classes * mass).sum() == pytest.approx(1) and len(frequent) < len(known)
 
 
+def test_tokens_from_bytes():
+    """One hash for each distinct token of the contract, wherever it stands, and texts that follow one another without a gap."""
+    texts = ["One two\tTWO", "", "two", "éÉ a\x0bb\x0c\r\nc\x1cd  ", "x" * 5000, "two", " \n ", "日本 é", "onetwo", "one", "a"]
+    powers = maxent._Powers()
+    for kind in (pa.string(), pa.large_string()):
+        whole = pa.array(["skipped one", *texts, "not this"], kind)
+        for part in (whole.slice(1, len(texts)), pa.array(texts, kind)):
+            found, ends = maxent.tokens(part, powers)
+            want = [w for t in texts for w in (*brute.TOKEN.findall(t.translate(brute.LOWER)), None)]
+            assert len(found) == len(want) and ends.tolist() == [k + 1 for k, w in enumerate(want) if w is None]
+            named = dict(zip(want, found.tolist()))
+            assert [named[w] for w in want] == found.tolist() and len(set(named.values())) == len(named)
+    assert len(maxent.tokens(pa.array([], pa.string()), powers)[0]) == 0
+
+
 def test_rows_follow_the_vocabulary():
     sizes = [maxent.rows_for(n) for n in (0, 10, 70_000, 200_000, 1_000_000, 3_000_000, 10**9)]
     assert sizes == sorted(sizes) and sizes[0] == maxent.LEAST_ROWS and sizes[-1] == maxent.MOST_ROWS and len(set(sizes)) == 5
