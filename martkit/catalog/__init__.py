@@ -61,7 +61,7 @@ def mean_sql(column: str, digits: int, decimals: int = 2) -> str:
     return half_up_sql(f"sum({units_sql(column, decimals)})", f"count({column})", decimals, digits)
 
 
-MODULES = ("series", "marts", "scalars", "tables", "star", "storage", "pages", "models", "flows", "edges")
+MODULES = ("series", "marts", "scalars", "tables", "star", "storage", "pages", "models", "flows", "edges", "books")
 
 
 def load_all() -> tuple[dict, dict]:

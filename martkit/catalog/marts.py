@@ -10,8 +10,9 @@ from martkit.catalog import half_up_sql, mean_sql, query, units_sql
 from martkit.functions.bands import Bands
 from martkit.functions.dates import month_start, wall_time
 from martkit.functions.numbers import fixed_mean, fixed_sum
-from martkit.operators import marts, ranking, windows
+from martkit.operators import distinct, marts, ranking, windows
 from martkit.operators.calendar import band_dimension, entity_dimension
+from martkit.session import scratch_path
 from martkit.sources.tabular import read_table
 from martkit.streaming.incremental import ingest_totals
 
@@ -71,6 +72,20 @@ def distinct_users_by_type(t):
     return marts.rollup_by(t.events, ["event_type"], {"users": F.count_distinct("user_id")})
 
 
+@query("distinct_users_merged", """
+    SELECT event_type, CAST(date_trunc('week', ts) AS DATE) AS week, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2
+    UNION ALL SELECT event_type, NULL, count(DISTINCT user_id) FROM events GROUP BY 1""")
+def distinct_users_merged(t):
+    """Bitmaps of single days, stored in two loads, merged to weeks and to the whole span."""
+    path, day = scratch_path(t.spark, "bitmaps"), F.to_date("ts")
+    for rest in (0, 1):
+        load = t.events.where(F.dayofmonth("ts") % 2 == rest).withColumn("day", day)
+        distinct.distinct_bitmaps(load, ["event_type", "day"], "user_id").write.mode("append").parquet(path)
+    stored = t.spark.read.parquet(path).withColumn("week", F.to_date(F.date_trunc("week", "day")))
+    whole = distinct.count_bitmaps(stored, ["event_type"], "users").withColumn("week", F.lit(None).cast("date"))
+    return distinct.count_bitmaps(stored, ["event_type", "week"], "users").unionByName(whole)
+
+
 @query("daily_counts", "SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1")
 def daily_counts(t):
     return windows.daily_series(t.orders, "o_orderdate").orderBy("day")

@@ -51,13 +51,13 @@ def champion_replay(t):
 @query("champion_select", f"""
     WITH r AS ({_REPLAY}),
     champion AS (SELECT rmse FROM r WHERE model_name = 'A' AND deployed ORDER BY run_at DESC LIMIT 1)
-    SELECT run_at, rmse, (SELECT rmse FROM champion) AS champion_rmse, rmse < (SELECT rmse FROM champion) AS promoted
-    FROM r WHERE model_name = 'R'""")
+    SELECT model_name, run_at, rmse, (SELECT rmse FROM champion) AS champion_rmse, rmse < (SELECT rmse FROM champion) AS promoted
+    FROM r WHERE model_name IS DISTINCT FROM 'A'""")
 def champion_select(t):
-    """Would the runs of one model beat the current champion of another?"""
+    """Would the runs of the other models beat the current champion of one?"""
     log = champion_replay(t)
     champion = forecast.champion_rmse(log, "A")
-    candidates = log.where("model_name = 'R'").select("run_at", "rmse", champion.alias("champion_rmse"))
+    candidates = log.where("NOT model_name <=> 'A'").select("model_name", "run_at", "rmse", champion.alias("champion_rmse"))
     return candidates.withColumn("promoted", forecast.is_promoted(F.col("rmse"), F.col("champion_rmse")))
 
 
@@ -83,24 +83,25 @@ def forecast_change(t):
     return forecast.forecast_change(rows)
 
 
-def _least_squares_sql(train: str, inputs: list[str], target: str) -> str:
-    """CTEs ending in ``fit``: one row with weights ``w0`` (intercept) .. ``wN``.
+def _least_squares_sql(train: str, inputs: list[str], target: str, by: str = "") -> str:
+    """CTEs ending in ``fit``: one row (for each ``by``) with weights ``w0`` (intercept) .. ``wN``.
 
     The normal equations, solved by elimination step by step. The mean of the lags is left out: it adds
     nothing to the predictions.
     """
     terms, size = ["1.0", *inputs], len(inputs) + 1
     cells = [f"sum({terms[i]} * {terms[j] if j < size else target}) AS m{i}_{j}" for i in range(size) for j in range(size + 1)]
-    steps = [f"s0 AS (SELECT {', '.join(cells)} FROM ({train}))"]
+    key, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    steps = [f"s0 AS (SELECT {key}{', '.join(cells)} FROM ({train}){group})"]
     for k in range(size):
         scaled = {j: f"(m{k}_{j} / m{k}_{k})" for j in range(size + 1)}
         out = [
             f"{scaled[j]} AS m{i}_{j}" if i == k else f"m{i}_{j} - m{i}_{k} * {scaled[j]} AS m{i}_{j}"
             for i in range(size) for j in range(size + 1)
         ]
-        steps.append(f"s{k + 1} AS (SELECT {', '.join(out)} FROM s{k})")
+        steps.append(f"s{k + 1} AS (SELECT {key}{', '.join(out)} FROM s{k})")
     weights = ", ".join(f"m{i}_{size} AS w{i}" for i in range(size))
-    return ", ".join([*steps, f"fit AS (SELECT {weights} FROM s{size})"])
+    return ", ".join([*steps, f"fit AS (SELECT {key}{weights} FROM s{size})"])
 
 
 _LAG_NAMES = [f"lag_{k}" for k in range(1, 6)]
@@ -133,6 +134,18 @@ def model_rmse(t):
     return error.select(F.round("rmse", 4).alias("rmse"), F.lit(promoted).alias("promoted"))
 
 
+@query("regression_by_type", f"""
+    WITH h AS ({_HELD}), {_least_squares_sql('SELECT * FROM h WHERE NOT is_holdout', _LAG_NAMES, 'price', 'event_type')}
+    SELECT event_type, count(*) AS held, round(sqrt(avg(({_PREDICTED} - price) ** 2)), 4) AS rmse FROM h JOIN fit USING (event_type) WHERE is_holdout GROUP BY 1""")
+def regression_by_type(t):
+    """A model of its own for every series, all in one job, measured on the series' last rows."""
+    rows = ordered_holdout(t)
+    weights = forecast.regressions_by_series(rows.where("NOT is_holdout"), "price", ["event_type"])
+    held = forecast.predict_by_series(rows.where("is_holdout"), weights, ["event_type"])
+    error = F.col("prediction") - F.col("price")
+    return held.groupBy("event_type").agg(F.count(F.lit(1)).alias("held"), F.round(F.sqrt(F.avg(error * error)), 4).alias("rmse"))
+
+
 @query("promotion_log", f"""
     WITH h AS ({_HELD}), {_least_squares_sql('SELECT * FROM h WHERE NOT is_holdout', _LAG_NAMES, 'price')},
     r AS (SELECT round(sqrt(avg(({_PREDICTED} - price) ** 2)), 4) AS rmse FROM h, fit WHERE is_holdout)

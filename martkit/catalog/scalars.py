@@ -154,15 +154,20 @@ def lenient_dates(t):
 
 
 @query("locale_dates", """
-    SELECT o_orderkey, CASE WHEN o_orderkey % 8 = 7 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS parsed FROM orders""")
+    SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 7 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS parsed FROM orders""")
 def locale_dates(t):
     d = F.col("o_orderdate")
     era_year = (F.year(d) + 543).cast("string")
     names = [F.element_at(F.array(*[F.lit(n) for n in months]), F.month(d)) for months in (labels.MONTHS_SHORT, labels.MONTHS_LONG)]
     raw = _choose(
-        _variant(8, "o_orderkey"), F.date_format(d, "yyyy-MM-dd"), F.date_format(d, "dd/MM/yy"), F.date_format(d, "d-M-yyyy"),
+        _variant(20, "o_orderkey"), F.date_format(d, "yyyy-MM-dd"), F.date_format(d, "dd/MM/yy"), F.date_format(d, "d-M-yyyy"),
         F.concat_ws(" ", F.dayofmonth(d), names[0], era_year), F.concat_ws("  ", F.dayofmonth(d), names[1], era_year),
         F.date_format(d, "d MMM yyyy"), F.concat_ws("/", F.date_format(d, "d/M"), era_year), F.lit("junk"),
+        F.date_format(d, "dd/MM/yyyy HH:mm"), F.date_format(d, "yyyy-MM-dd'T23:30:00+07:00'"), F.date_format(d, "d MMMM, yyyy"),
+        F.date_format(d, "d MMM yyyy 'at' h:mm a"), F.date_format(d, "dd-MMM-yy"), F.date_format(d, "yyyy.MM.dd"), F.date_format(d, "EEEE d MMMM yyyy"),
+        F.concat(F.dayofmonth(d), F.lit("th "), F.date_format(d, "MMMM yyyy")), F.date_format(d, "EEE, d MMM yyyy HH:mm:ss 'GMT'"),
+        F.concat(F.date_format(d, "MMMM d"), F.lit("st, "), F.year(d)), F.concat(F.date_format(d, "d "), F.when(F.month(d) == 9, "Sept").otherwise(F.date_format(d, "MMM")), F.date_format(d, ". yyyy")),
+        F.concat(F.lit("วันจันทร์ที่ "), F.concat_ws(" ", F.dayofmonth(d), names[1], era_year), F.lit(" 10:30 น.")),
     )
     # a leap day written with an era year still is one
     return t.orders.select("o_orderkey", casts.locale_date(raw, labels.MONTH_NUMBERS).alias("parsed"))

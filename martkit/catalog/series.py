@@ -159,21 +159,26 @@ def peak_months(t):
     return windows.peaks(monthly, "n", "month", ["flag"], apart=10)
 
 
+# Rows of every fifth day (fourth month) are dated a day (month) earlier: gaps in series of all rows.
 @query("missing_days", """
-    WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_totalprice >= 400000),
+    WITH d AS (SELECT DISTINCT CASE WHEN day(o_orderdate) % 5 = 0 THEN CAST(o_orderdate AS DATE) - 1 ELSE CAST(o_orderdate AS DATE) END AS day FROM orders),
     s AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d)
     SELECT day FROM s WHERE day NOT IN (SELECT day FROM d)""")
 def missing_days(t):
-    return calendar.missing_days(windows.daily_series(t.orders.where("o_totalprice >= 400000"), "o_orderdate"))
+    day = F.to_date("o_orderdate")
+    moved = F.when(F.dayofmonth(day) % 5 == 0, F.date_sub(day, 1)).otherwise(day)
+    return calendar.missing_days(windows.daily_series(t.orders.select(moved.alias("day")), "day"))
 
 
 @query("missing_months", """
-    WITH d AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
-               WHERE o_totalprice >= 499000),
+    WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
+    d AS (SELECT DISTINCT CASE WHEN month(month) % 4 = 0 THEN CAST(month - INTERVAL 1 MONTH AS DATE) ELSE month END AS month FROM m),
     s AS (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM d)
     SELECT month FROM s WHERE month NOT IN (SELECT month FROM d)""")
 def missing_months(t):
-    return calendar.missing_months(windows.monthly_series(t.orders.where("o_totalprice >= 499000"), "o_orderdate"))
+    month = F.trunc(F.to_date("o_orderdate"), "MM")
+    moved = F.when(F.month(month) % 4 == 0, F.add_months(month, -1)).otherwise(month)
+    return calendar.missing_months(windows.monthly_series(t.orders.select(moved.alias("day")), "day"))
 
 
 _MONTH_NAMES = "['ม.ค.','ก.พ.','มี.ค.','เม.ย.','พ.ค.','มิ.ย.','ก.ค.','ส.ค.','ก.ย.','ต.ค.','พ.ย.','ธ.ค.']"

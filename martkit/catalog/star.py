@@ -11,6 +11,7 @@ from martkit.operators.calendar import calendar_dimension, month_dimension
 from martkit.operators.marts import with_share
 from martkit.operators.windows import calendar_average
 from martkit.operators.star import Dimension, Star
+from martkit.session import scratch_path
 
 _ORDERS = """SELECT CAST(o_orderdate AS DATE) AS day, n_name AS nation, c_mktsegment AS segment, o_orderstatus AS status,
     o_orderpriority AS priority, count(*) AS n
@@ -81,6 +82,23 @@ def slicer_years(t):
     )
 
 
+def stored_order_star(t) -> Star:
+    """The order star over a fact stored by month: its calendar is made of the fact's own days."""
+    fact = star.store_by_month(order_fact(t), scratch_path(t.spark, "order-fact"), "day")
+    calendar = Dimension(calendar_dimension(fact.select("day"), "day"), "day", "day", part=("month", "year_month"))
+    return Star(fact, order_star(t).relations | {"calendar": calendar})
+
+
+@query("slicer_stored", f"""
+    WITH f AS ({_ORDERS})
+    SELECT nation, CAST(sum(n) AS BIGINT) AS total FROM f WHERE year(day) + 543 IN (2540, 2541) GROUP BY 1""")
+def slicer_stored(t):
+    """The slicer of ``slicer_years`` on the stored fact, of which it only reads the months that it chooses."""
+    return stored_order_star(t).query(
+        {"total": star.total("n")}, by={"nation": ("", "nation")}, slicers={"calendar": F.col("year_be").isin(2540, 2541)}
+    )
+
+
 @query("visual_line_daily", f"""
     WITH f AS ({_ORDERS}), d AS (SELECT day, sum(n) AS total FROM f GROUP BY 1),
     s AS (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS day FROM orders)

@@ -145,7 +145,7 @@ def upsert(t):
 
 @query("header_harmonise", """
     SELECT o_orderkey::VARCHAR AS case_no, strftime(o_orderdate, '%Y-%m-%d') AS announce_date,
-           CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS risk FROM orders""")
+           CASE WHEN o_orderstatus IS DISTINCT FROM 'F' THEN o_orderpriority END AS risk FROM orders""")
 def header_harmonise(t):
     """One file set per status, each with its own header spelling; one of them lacks a column."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -158,7 +158,8 @@ def header_harmonise(t):
     for status, columns in layouts.items():
         paths.append(f"{root}/{status}")
         # whatever is neither of the first two goes to the last
-        own = ~F.col("o_orderstatus").isin("P", "F") if status == "O" else F.col("o_orderstatus") == status
+        named = [F.col("o_orderstatus").eqNullSafe(s) for s in ("P", "F")]
+        own = ~(named[0] | named[1]) if status == "O" else F.col("o_orderstatus").eqNullSafe(status)
         part = t.orders.where(own).select(*[c.alias(n) for n, c in columns.items()])
         part.write.option("header", "true").csv(paths[-1])
     targets = ["case_no", "announce_date", "risk"]
@@ -264,10 +265,11 @@ def micro_batch(t):
 @query("pending_windows", """
     WITH w AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-11-01', INTERVAL 1 MONTH)) AS DATE) AS window_start)
     SELECT window_start, CAST(window_start + INTERVAL 1 MONTH AS DATE) AS window_end FROM w WHERE window_start NOT IN (
-      SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders WHERE o_totalprice >= 499000)""")
+      SELECT CAST(date_trunc('month', CASE WHEN month(o_orderdate) % 4 = 0 THEN o_orderdate - INTERVAL 1 MONTH ELSE o_orderdate END) AS DATE) FROM orders)""")
 def pending_windows(t):
     windows = incremental.month_windows(t.spark, date(1995, 1, 1), date(2001, 12, 1))
-    loaded = t.orders.where("o_totalprice >= 499000").select(F.trunc(F.to_date("o_orderdate"), "MM").alias("window_start"))
+    month = F.trunc(F.to_date("o_orderdate"), "MM")  # orders of every fourth month are dated a month earlier
+    loaded = t.orders.select(F.when(F.month(month) % 4 == 0, F.add_months(month, -1)).otherwise(month).alias("window_start"))
     return incremental.pending_windows(windows, loaded.distinct())
 
 

@@ -36,16 +36,21 @@ _MONTH_FIRST = r"(0?[1-9]|1[0-2])/(1[3-9]|2\d|3[01])/(\d{4})"
 _RECORD_DATES = (
     (rf"^(?:{_YEAR_FIRST}|{_MONTH_FIRST}|(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}))$", "$1$7$10-$3$5$9-$4$6$8"),
 )
+# What may stand around a date: a weekday before it, a time of day with its zone behind it, endings of ordinal numbers.
+_TIME = r"\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?:\s*[AaPp]\.?[Mm]\.?)?(?:\s*(?:Z|UTC|GMT|น\.|[+-]\d{2}:?\d{2}))?"
+_WEEKDAY = r"(?:(?i:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?i:day)?\.?,?\s+|วัน[^\s\d]*\s*)(?=[\dA-Za-z])"
+_AROUND = ((rf"^{_WEEKDAY}|(?<=\d)(?:,\s*|\s+|T)(?:at\s+)?{_TIME}$|(?<=\d)(?i:st|nd|rd|th)\b", ""),)
 # Other forms become "~" year-month-day or day month-name year.
-_STAMP = r"(\d{4})-(\d{1,2})-(\d{1,2})[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?Z?"
+_STAMP = (rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})[ T]{_TIME}$", "~$1-$2-$3")
 _COMPACT = r"(\d{4})(\d{2})(\d{2})"
-_DOTTED = r"(\d{1,2})\.(\d{1,2})\.(\d{4})"
+_DOTTED = r"(\d{1,2})\.(\d{1,2})\.(\d{4})|(\d{4})\.(\d{1,2})\.(\d{1,2})"
+_DAY_NAME = r"^(\d{1,2})(?:\s+(?:of\s+)?|-)([A-Za-z]{3,9})\.?,?(?:\s+|-)"
 _GUESSED_DATES = (
-    (rf"^(?:{_STAMP}|{_COMPACT}|{_DOTTED})$", "~$1$4$9-$2$5$8-$3$6$7"),
-    (
-        r"^(?:([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})|(\d{1,2})-([A-Za-z]{3,9})-(\d{4}))$",
-        "$2$4 $1$5 $3$6",
-    ),
+    (rf"^(?:{_COMPACT}|{_DOTTED})$", "~$1$6$7-$2$5$8-$3$4$9"),
+    (r"^([A-Za-z]{3,9})\.?\s+(\d{1,2}),?\s+(\d{4})$", "$2 $1 $3"),
+    (rf"{_DAY_NAME}'?(69|[789]\d)$", "$1 $2 19$3"),
+    (rf"{_DAY_NAME}'?(\d{{2}})$", "$1 $2 20$3"),
+    (rf"{_DAY_NAME}(\d{{4}})$", "$1 $2 $3"),
 )
 _NAMED_DATE = rf"^(\d{{1,2}})[{WHITE}]+([^{WHITE}]+)[{WHITE}]+(\d{{4}})$"
 _ENGLISH_MONTHS = (
@@ -107,14 +112,15 @@ def local_wall_time(c: Column | str, zone: str = "Asia/Bangkok") -> Column:
 
 
 def locale_date(c: Column | str, month_numbers: Mapping[str, int], convert_era: bool = True) -> Column:
-    """Numeric dates, then ``D <month name> YYYY`` in the given language, then common English forms.
+    """Numeric dates, then ``D <month name> YYYY`` in the given language, then common English forms; weekdays, ordinal endings
+    and times of day around them are passed over, and the date is the one written, whatever the zone.
 
     Named months and the last path always bring a Buddhist year (above 2400) back by 543. With
     ``convert_era`` numeric dates get the same treatment; without it ``24/08/2569`` stays in year 2569.
     """
     names = {name.lower(): str(n) for name, n in month_numbers.items()}
     names |= {full: str(i) for i, full in enumerate(_ENGLISH_MONTHS, 1)}
-    names |= {full[:3]: str(i) for i, full in enumerate(_ENGLISH_MONTHS, 1)}
+    names |= {full[:3]: str(i) for i, full in enumerate(_ENGLISH_MONTHS, 1)} | {"sept": "9"}
 
     def spell_month(text: Column) -> Column:
         month = _lookup(F.lower(F.regexp_extract(text, _NAMED_DATE, 2)), names)
@@ -129,7 +135,7 @@ def locale_date(c: Column | str, month_numbers: Mapping[str, int], convert_era:
         year = year - shifted.cast("int") * ERA_OFFSET
         return F.concat(F.lpad(year.cast("string"), 4, "0"), F.substring(plain, 5, 6)).try_cast("date")
 
-    text = _rewrite(strip(_col(c).cast("string")), (*_NUMERIC_DATES, *_GUESSED_DATES))
+    text = _rewrite(strip(_col(c).cast("string")), (_STAMP, *_AROUND, *_NUMERIC_DATES, *_GUESSED_DATES))
     # the compiler works out once what the nested expression mentions several times
     return to_common_era(spell_month(text))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -17,6 +19,7 @@ from martkit.functions.numbers import difference, round_half_up
 from martkit.functions.text import _col
 from martkit.operators.quality import QualityError, require_rows
 from martkit.operators.ranking import latest_where
+from martkit.operators.windows import lag_features, ordered_holdout
 from martkit.sinks.writers import append_log
 
 LAG_COLUMNS = tuple(f"lag_{k}" for k in range(1, labels.LAG_COUNT + 1))
@@ -28,6 +31,49 @@ def check_history(history: DataFrame, rows: int = labels.MIN_HISTORY_ROWS) -> in
     return require_rows(history, max(rows, labels.LAG_COUNT + labels.HOLDOUT_ROWS + 1), "history")
 
 
+def check_series(history: DataFrame, value: str, series: Sequence[str], order: str = "day") -> DataFrame:
+    """The same checks for every series of a long table at once: its rows, whether they are enough for a history and for a
+    holdout, and whether the features left for training are."""
+    rows = history.groupBy(*series).agg(F.count(F.lit(1)).alias("days"))
+    features = ordered_holdout(lag_features(history, value, order, series, labels.LAG_COUNT), order, series, labels.HOLDOUT_ROWS)
+    train = features.groupBy(*[F.col(c).alias(f"_{c}") for c in series]).agg(F.count_if(~F.col("is_holdout")).alias("train"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in series])
+    holdout = labels.LAG_COUNT + labels.HOLDOUT_ROWS + 1
+    return rows.join(train, same, "left").select(
+        *series, "days", (F.col("days") >= max(labels.MIN_HISTORY_ROWS, holdout)).alias("enough_history"), (F.col("days") >= holdout).alias("enough_for_holdout"),
+        (F.coalesce("train", F.lit(0)) >= labels.MIN_TRAIN_ROWS).alias("enough_to_train"),
+    )
+
+
+def regressions_by_series(train: DataFrame, target: str, series: Sequence[str], inputs: Sequence[str] = LAG_COLUMNS) -> DataFrame:
+    """Ordinary least squares for every series in one job: ``w0`` (intercept), ``w1`` and so on.
+
+    The sums of the normal equations combine before the shuffle; each series is then one row, whose equations are solved by
+    elimination, step by step, in column expressions. A series whose inputs depend on one another has null weights.
+    """
+    terms, size = [F.lit(1.0), *map(F.col, inputs)], len(inputs) + 1
+    right = [*terms, F.col(target)]
+    sums = [F.sum(terms[i] * right[j]).alias(f"m{i}_{j}") for i in range(size) for j in range(i, size + 1)]
+    rows = train.groupBy(*series).agg(*sums)
+    rows = rows.withColumns({f"m{i}_{j}": F.col(f"m{j}_{i}") for i in range(size) for j in range(i)})
+    for k in range(size):
+        scaled = {f"m{k}_{j}": F.try_divide(F.col(f"m{k}_{j}"), F.col(f"m{k}_{k}")) for j in range(k, size + 1)}
+        rows = rows.withColumns(scaled)
+        rows = rows.withColumns({f"m{i}_{j}": F.col(f"m{i}_{j}") - F.col(f"m{i}_{k}") * F.col(f"m{k}_{j}") for i in range(size) if i != k for j in range(k + 1, size + 1)})
+    return rows.select(*series, *[F.col(f"m{i}_{size}").alias(f"w{i}") for i in range(size)])
+
+
+def predict_by_series(rows: DataFrame, weights: DataFrame, series: Sequence[str], inputs: Sequence[str] = LAG_COLUMNS) -> DataFrame:
+    """Rows with the ``prediction`` of their series' own weights."""
+    names = [f"w{i}" for i in range(len(inputs) + 1)]
+    own = weights.select(*[F.col(c).alias(f"_{c}") for c in series], *names)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in series])
+    value = F.col("w0")
+    for k, c in enumerate(inputs, 1):
+        value = value + F.col(f"w{k}") * F.col(c)
+    return rows.join(own, same, "left").withColumn("prediction", value).drop(*names, *[f"_{c}" for c in series])
+
+
 def train_regression(train: DataFrame, target: str, features: Sequence[str] = FEATURES) -> PipelineModel:
     """Ordinary least squares. The mean is an exact combination of the lags, so weights are not unique;
     predictions are."""

@@ -22,6 +22,15 @@ class Dimension:
     fact_key: str
     key: str
     fold_case: bool = False
+    #: (partition column of a stored fact, the dimension's column with the same value): joined on too, so that a slicer on the
+    #: dimension leaves out the fact's other partitions before they are read.
+    part: tuple[str, str] | None = None
+
+
+def store_by_month(fact: DataFrame, path: str, day: str) -> DataFrame:
+    """A fact written in folders of its months, and read back with that ``month``."""
+    fact.withColumn("month", F.date_format(day, "yyyy-MM")).hint("rebalance", "month").write.partitionBy("month").parquet(path)
+    return fact.sparkSession.read.schema(fact.schema.add("month", "string")).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -45,7 +54,10 @@ class Star:
             if name in slicers:
                 chosen = dim.table.where(slicers[name])
                 table = chosen.select(*[F.col(c).alias(f"{name}.{c}") for c in chosen.columns])
-            out = out.join(table, left == right, "inner" if name in slicers else "left")
+            same = left == right
+            if dim.part:
+                same = same & (F.col(dim.part[0]) == F.col(f"`{name}.{dim.part[1]}`"))
+            out = out.join(table, same, "inner" if name in slicers else "left")
         return out
 
     def query(

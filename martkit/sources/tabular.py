@@ -29,14 +29,19 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     return files.select(F.substring_index("path", "/", -1).alias("file_name"), "path", F.col("length").alias("bytes"))
 
 
+def file_report(spark: SparkSession, folder: str, expected: DataFrame) -> DataFrame:
+    """``file_name, found, bytes`` for every expected name (a table ``file_name``), listed without reading a file."""
+    found = list_files(spark, folder).groupBy("file_name").agg(F.sum("bytes").alias("bytes"))
+    return expected.select("file_name").distinct().join(found, "file_name", "left").select("file_name", F.col("bytes").isNotNull().alias("found"), "bytes")
+
+
 def check_files(spark: SparkSession, folder: str, expected: Sequence[str]) -> DataFrame:
     """Sizes of the expected files, or an error that lists every missing one."""
     wanted = spark.createDataFrame([(n,) for n in expected], "file_name string")
-    found = list_files(spark, folder)
-    missing = [r.file_name for r in wanted.join(found, "file_name", "left_anti").orderBy("file_name").collect()]
+    missing = [r.file_name for r in file_report(spark, folder, wanted).where("NOT found").orderBy("file_name").collect()]
     if missing:
         raise MissingSource(f"missing in {folder}: {', '.join(missing)}")
-    return found.join(F.broadcast(wanted), "file_name", "left_semi")
+    return list_files(spark, folder).join(F.broadcast(wanted), "file_name", "left_semi")
 
 
 def map_headers(headers: Sequence[str | None], aliases: Mapping[str, str]) -> dict[str, int]:
@@ -55,6 +60,16 @@ def require_columns(name: str, positions: Mapping[str, int], required: Sequence[
         raise MissingSource(f"{name} lacks {missing}; its headers are {list(headers)}")
 
 
+def column_report(spark: SparkSession, paths: Sequence[str], aliases: Mapping[str, str], required: Sequence[str]) -> DataFrame:
+    """``path, header, missing`` of every file: what its header lacks of the required columns."""
+    rows = []
+    for path, line in first_records(spark, paths):
+        header = next(csv.reader(io.StringIO(line, newline="")))
+        found = map_headers(header, aliases)
+        rows.append((path, header, [c for c in required if c not in found]))
+    return spark.createDataFrame(rows, "path string, header array<string>, missing array<string>")
+
+
 def read_harmonised(
     spark: SparkSession,
     paths: Sequence[str],

@@ -1,21 +1,23 @@
-"""Spreadsheet workbooks as a Spark data source: one input partition per workbook.
+"""Spreadsheet workbooks as Arrow batches, from any store that Spark reads.
 
-Only the first sheet is read, values only. A workbook is one zip archive that cannot be split; its sheet is
-walked row by row, so a task holds the shared texts and one batch of rows, never the whole sheet.
+A workbook is one zip archive that cannot be split, so a task takes it whole, as a file's bytes; its sheet is then walked row by
+row, and a task holds those bytes, the shared texts and one batch of rows. Only the first sheet is read, values only. A row of
+a table of positions says where each workbook has the wanted columns; other cells leave no task.
 """
 
 from __future__ import annotations
 
+import io
 import re
 import sys
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from martkit.sources.tabular import map_headers, require_columns
 
@@ -26,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LATER_SYSTEM = 1462
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+_BATCH = 5_000
 
 
 def _column_number(reference: str) -> int:
@@ -95,9 +98,9 @@ def _cell_text(cell, shared: list[str], later: set[int]) -> str | None:
     return value.text
 
 
-def sheet_rows(path: str) -> Iterator[list[str | None]]:
-    """Cell texts row by row; dates stay spreadsheet day numbers."""
-    with zipfile.ZipFile(path) as book:
+def sheet_rows(file) -> Iterator[list[str | None]]:
+    """Cell texts row by row of a path or of an open file; dates stay spreadsheet day numbers."""
+    with zipfile.ZipFile(file) as book:
         shared = _shared_texts(book)
         later = _date_styles(book) if _counts_from_1904(book) else set()
         with book.open(_first_sheet(book)) as part:
@@ -113,75 +116,65 @@ def sheet_rows(path: str) -> Iterator[list[str | None]]:
                 element.clear()
 
 
-class _Book(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content")):
+            first = next(sheet_rows(io.BytesIO(content.as_buffer())), None)
+            yield pa.RecordBatch.from_arrays([pa.array([path.as_py()]), pa.array([first], pa.list_(pa.string()))], names=["path", "header"])
 
 
-class _WorkbookReader(DataSourceReader):
-    def __init__(self, paths: Sequence[str], header: bool):
-        self.paths = paths
-        self.header = header
+def headers(books: DataFrame) -> DataFrame:
+    """``path, header``: the first row of each workbook of ``path, content``, null where it has none."""
+    return books.select("path", "content").mapInArrow(_headers, "path string, header array<string>")
 
-    def partitions(self):
-        return [_Book(p) for p in self.paths]
 
-    def read(self, partition):
-        name = partition.path
-        rows = sheet_rows(partition.path)
-        first = next(rows, None)
-        if self.header:
-            yield name, first
-        else:
-            for row in rows:
-                yield name, row
+def _cells(targets: Sequence[str]):
+    names = ["path", *targets]
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content, at in zip(batch.column("path"), batch.column("content"), batch.column("at").to_pylist()):
+                rows = sheet_rows(io.BytesIO(content.as_buffer()))
+                next(rows, None)
+                columns: list[list] = [[] for _ in targets]
 
-class WorkbookSource(DataSource):
-    """``spark.read.format("workbook").option("paths", "a.xlsx\nb.xlsx")`` -> (source_path, cells).
+                def full():
+                    n = len(columns[0]) if columns else 0
+                    return pa.RecordBatch.from_arrays([pa.array([path.as_py()] * n, pa.string()), *[pa.array(c, pa.string()) for c in columns]], names=names)
 
-    Gives the rows below the first one, or with ``header=true`` only the first one. Every path has to be
-    readable as a file on the executors, such as a mounted share.
-    """
+                for row in rows:
+                    for column, k in zip(columns, at):
+                        column.append(row[k] if 0 <= k < len(row) else None)
+                    if len(columns[0]) >= _BATCH:
+                        yield full()
+                        columns = [[] for _ in targets]
+                if columns[0]:
+                    yield full()
 
-    @classmethod
-    def name(cls):
-        return "workbook"
+    return work
 
-    def schema(self):
-        return "source_path string, cells array<string>"
 
-    def reader(self, schema):
-        paths = [p for p in self.options["paths"].split("\n") if p]
-        return _WorkbookReader(paths, self.options.get("header", "false").lower() == "true")
+def rows_of(books: DataFrame, aliases: Mapping[str, str], targets: Sequence[str], required: Sequence[str] = (), tag: str = "source_file") -> DataFrame:
+    """Workbooks ``path, content`` with differing headers as one table of text columns, like ``read_harmonised``; ``tag`` is the
+    last part of the path. Headers are read by tasks; the driver sees one for each workbook, and hands back where its wanted
+    columns are, as a table to be joined."""
+    positions = []
+    for path, header in headers(books).collect():
+        if header is None:
+            raise ValueError(f"{path} holds no data")
+        found = map_headers(header, aliases)
+        require_columns(path, found, required, header)
+        positions.append((path, [found.get(t, -1) for t in targets]))
+    if not positions:
+        raise ValueError("no workbooks")
+    at = books.sparkSession.createDataFrame(positions, "path string, at array<int>")
+    schema = ", ".join(f"`{n}` string" for n in ("path", *targets))
+    rows = books.select("path", "content").join(F.broadcast(at), "path").mapInArrow(_cells(targets), schema)
+    return rows.select(*targets, F.substring_index("path", "/", -1).alias(tag))
 
 
 def read_workbooks(
-    spark: SparkSession,
-    paths: Sequence[str],
-    aliases: Mapping[str, str],
-    targets: Sequence[str],
-    required: Sequence[str] = (),
-    tag: str = "source_file",
+    spark: SparkSession, paths: Sequence[str], aliases: Mapping[str, str], targets: Sequence[str], required: Sequence[str] = (), tag: str = "source_file"
 ) -> DataFrame:
-    """Workbooks with differing headers as one table of text columns, like ``read_harmonised``.
-
-    Headers are read by tasks too; the driver only sees one header per workbook.
-    """
-    spark.dataSource.register(WorkbookSource)
-    books = spark.read.format("workbook").option("paths", "\n".join(paths))
-    positions = {}
-    for name, header in books.option("header", "true").load().collect():
-        if header is None:
-            raise ValueError(f"{name} holds no data")
-        positions[name] = map_headers(header, aliases)
-        require_columns(name, positions[name], required, header)
-
-    def pick(target: str) -> Column:
-        pairs = [F.lit(x) for name, at in positions.items() if target in at for x in (name, at[target])]
-        if not pairs:
-            return F.lit(None).cast("string")
-        return F.get("cells", F.try_element_at(F.create_map(*pairs), F.col("source_path")))
-
-    rows = books.option("header", "false").load()
-    return rows.select(*[pick(t).alias(t) for t in targets], F.substring_index("source_path", "/", -1).alias(tag))
+    """``rows_of`` the workbooks in files, read through the file system of their paths."""
+    return rows_of(spark.read.format("binaryFile").load(list(paths)).select("path", "content"), aliases, targets, required, tag)

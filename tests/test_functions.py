@@ -59,6 +59,16 @@ def test_locale_dates(col):
     assert kept == [date(2569, 8, 24), day]
 
 
+def test_dates_in_many_forms(col):
+    values = ["24/08/2026 10:30", "2026-08-24T00:00:00+07:00", "24 August, 2026", "24-Aug-26", "2026.08.24", "24 Aug 2026 10:30", "Monday 24 August 2026",
+              "24th August 2026", "Mon, 24 Aug 2026 23:59:59 GMT", "Aug. 24th, 2026", "August 24 2026 1:05 pm", "24th of August, 2026", "24.8.2026 7:00",
+              "2026-08-24 10:00:00.123456Z", "24/08/2569 10:30", "24 ส.ค. 2569 10:30 น.", "วันจันทร์ที่ 24 สิงหาคม 2569", "24 Aug '26"]
+    assert col("string", values, lambda c: casts.locale_date(c, labels.MONTH_NUMBERS)) == [date(2026, 8, 24)] * len(values)
+    assert col("string", ["24 Sept 2026", "1st Sep 99"], lambda c: casts.locale_date(c, labels.MONTH_NUMBERS)) == [date(2026, 9, 24), date(1999, 9, 1)]
+    bad = ["10:30", "Monday", "24th", "32 Aug 2026", "24 Augu 2026", "2026.13.01", "24/08/2026 10:3", "24/08/2026 noon", "th August 2026", "24 Aug 2026 x 10:30"]
+    assert col("string", bad, lambda c: casts.locale_date(c, labels.MONTH_NUMBERS)) == [None] * len(bad)
+
+
 def test_prices(col):
     values = ["37.69", "1,037", "-", "38.29 บาท", "19.99", "80", "20", "80.01", "NaN", None, "a 25 b 30"]
     out = [37.69, None, None, 38.29, None, 80.0, 20.0, None, None, None, 25.0]

@@ -60,3 +60,11 @@ def test_hot_key_without_loss(spark):
 
 def test_province_table(spark):
     assert {r.slug: r.lat for r in province_table(spark).collect()}["phuket"] == 7.8804
+
+
+@needs_tables
+def test_slicer_prunes_the_stored_fact(spark):
+    df = queries()["slicer_stored"](spark, FOLDER)
+    df.collect()
+    plan = _plan(df)
+    assert "dynamicpruningexpression(month" in plan and "PartitionFilters: [isnotnull(month" in plan
