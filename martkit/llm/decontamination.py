@@ -20,9 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from martkit.llm.common import TO_LOWER, WORD, chunks_of, id_text, need, stage
+from martkit.llm.common import TO_LOWER, WORD, chunks_of, free_names, id_text, need, stage
 
 _WORD = re.compile(WORD)
 
@@ -166,22 +165,28 @@ def runs(hit: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b - 1) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
 
 
-#: Automata that a task holds at once.
-MOST_PARTS = 16
+#: States that a task holds at once; one takes some 500 bytes in Python.
+MOST_STATES = 200_000
 
 
 def automata(benchmark: DataFrame, window: int, id_col: str, text_col: str, most_bytes: int) -> Iterator[list[Automaton]]:
-    """One automaton, or several over parts of the items where they exceed ``most_bytes``; no more than ``MOST_PARTS`` at a
-    time, the bound on what is sent out."""
+    """One automaton, or several over parts of the items where they exceed ``most_bytes``; together no more than ``MOST_STATES``
+    states at a time (a single automaton apart), the bound on what is sent out and held."""
     need(benchmark, id_col, text_col)
     items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{text_col}`").alias("t"))
     parts = max(1, -(-int(items.select(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]) // most_bytes))
     split = items.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)))
-    if parts > MOST_PARTS:
-        split = stage(split, "leak-items")
-    for first in range(0, parts, MOST_PARTS):
-        some = range(first, min(first + MOST_PARTS, parts))
-        yield [Automaton.build([(r.i, r.t) for r in split.where(F.col("part") == p).toLocalIterator()], window) for p in some]
+    if parts > 1:
+        split = stage(split.repartition(parts, "part"), "leak-items")
+    group, states = [], 0
+    for p in range(parts):
+        one = Automaton.build([(r.i, r.t) for r in split.where(F.col("part") == p).toLocalIterator()], window)
+        if group and states + len(one.length) > MOST_STATES:
+            yield group
+            group, states = [], 0
+        group.append(one)
+        states += len(one.length)
+    yield group
 
 
 def _marked(known: list[Automaton], words: list[str], before: dict | None) -> tuple[np.ndarray, set[str], int]:
@@ -200,44 +205,53 @@ def _marked(known: list[Automaton], words: list[str], before: dict | None) -> tu
 
 
 _BEFORE = pa.struct([("runs", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string())), ("longest", pa.int64())])
-BEFORE = "runs array<array<int>>, items array<string>, longest long"
+BEFORE = "row long, runs array<array<int>>, items array<string>, longest long"
 
 
-def _passed(docs: DataFrame, text_col: str, mark: str, known: list[Automaton]) -> DataFrame:
-    """``docs`` with what a pass finds, and those before it, in column ``mark``. Staged, so that the next automata come alone."""
-    names, has_mark = docs.columns, mark in docs.columns
+def _found(rows: DataFrame, known: list[Automaton]) -> DataFrame:
+    """What a pass finds in the texts of ``row, text`` in which it finds something. Staged."""
 
     def work(batches):
-        for b in batches:
-            texts = b.column(text_col).to_pylist()
+        for ids, texts in chunks_of(b.rename_columns(["doc_id", "text"]) for b in batches):
             out = []
-            for text, own in zip(texts, b.column(mark).to_pylist() if has_mark else [None] * len(texts)):
-                hit, found, longest = _marked(known, _WORD.findall((text or "").translate(TO_LOWER)), own)
-                out.append({"runs": [list(r) for r in runs(hit)], "items": sorted(found), "longest": longest})
-            columns = [b.column(n) for n in names if n != mark]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, _BEFORE)], names=[*(n for n in names if n != mark), mark])
+            for row, text in zip(ids, texts):
+                hit, found, longest = _marked(known, _WORD.findall((text or "").translate(TO_LOWER)), None)
+                if hit.any():
+                    out.append((row, [list(r) for r in runs(hit)], sorted(found), longest))
+            columns = [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.string()), pa.int64()))]
+            if out:
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "runs", "items", "longest"])
 
-    schema = StructType([f for f in docs.schema if f.name != mark]).add(mark, StructType.fromDDL(BEFORE))
-    return stage(docs.mapInArrow(work, schema), "leak-pass")
+    return stage(rows.mapInArrow(work, BEFORE), "leak-pass")
 
 
-def _last_pass(docs: DataFrame, text_col: str, mark: str, groups: Iterator[list[Automaton]]) -> tuple[DataFrame, list[Automaton], int | None]:
-    """``docs`` after the passes of all groups but the last, the last group, and the least length of a window before it."""
-    known, least = next(groups), None
+def _last_pass(docs: DataFrame, text_col: str, mark: str, row: str, groups: Iterator[list[Automaton]]) -> tuple[DataFrame, list[Automaton], int | None]:
+    """``docs`` with what the passes of all groups but the last found, in column ``mark``, the last group, and the least length
+    of a window before it. With more than one group the documents are written once, numbered; a pass then reads texts alone and
+    writes what it finds."""
+    known, least, passes = next(groups), None, None
     for following in groups:
-        docs = _passed(docs, text_col, mark, known)
+        if passes is None:
+            docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "leak-docs")
+        found = _found(docs.select(F.col(row).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")), known)
+        passes = found if passes is None else passes.unionByName(found)
         least = min((n for n in (least, *(a.shortest for a in known)) if n), default=None)
         known = following
-    return docs, known, least
+    if passes is None:
+        return docs, known, least
+    merged = passes.groupBy(F.col("row").alias(row)).agg(
+        F.struct(F.flatten(F.collect_list("runs")).alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.max("longest").alias("longest")).alias(mark)
+    )
+    return docs.join(stage(merged, "leak-marks"), row, "left").drop(row), known, least
 
 
 def scan(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", most_bytes: int = 1 << 20,
+    item_col: str = "item_id", item_text_col: str = "text", most_bytes: int = 1 << 18,
 ) -> DataFrame:
     """Per document what occurs of which item, with the spans in words and in code points (end exclusive)."""
     groups = automata(benchmark, window, item_col, item_text_col, most_bytes)
-    rows, known, _ = _last_pass(id_text(docs, id_col, text_col), "text", "_before", groups)
+    rows, known, _ = _last_pass(id_text(docs, id_col, text_col), "text", "_before", "_row", groups)
     has_mark = "_before" in rows.columns
 
     def work(batches):
@@ -275,13 +289,13 @@ _TYPES = [
 ]
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_span: int = 10, max_coverage: float = 0.2, most_bytes: int = 1 << 20) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_span: int = 10, max_coverage: float = 0.2, most_bytes: int = 1 << 18) -> DataFrame:
     """Documents with all their columns: marked spans of at least ``min_span`` words (or whole shorter items) cut out, and
     those dropped whose marked share exceeds ``max_coverage``. ``n_chars``, where there is one, follows the text."""
     need(docs, "text")
     schema, has_size = docs.schema, "n_chars" in docs.columns
-    mark = "_before" + "_" * max(map(len, docs.columns))  # longer than any other name
-    docs, known, least = _last_pass(docs, "text", mark, automata(benchmark, window, "item_id", "text", most_bytes))
+    mark, row = free_names(docs, "before", "row")
+    docs, known, least = _last_pass(docs, "text", mark, row, automata(benchmark, window, "item_id", "text", most_bytes))
     has_mark = mark in docs.columns
 
     def work(batches):

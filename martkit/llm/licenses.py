@@ -1,8 +1,10 @@
 """License scans by diagonal voting.
 
-All rolling word k-grams of the texts are hashed and joined to the places of the same grams in license templates. A match
-votes for its diagonal, the offset between the two places; neighbouring diagonals merge (words added or left out move the
-rest by a few places), and a span counts if enough of the template's words stand in it.
+All rolling word k-grams of the texts are hashed and joined to the places of the same grams in license templates, by two
+independent hashes (96 bits), so that no other gram passes for one of a template's. A match votes for its diagonal, the offset
+between the two places; neighbouring diagonals merge (words added or left out move the rest by a few places), and a span counts
+if enough of the template's words stand in it. Templates are notices and whole texts; their grams are a table, sent to all
+tasks while its counted size allows and else joined by a shuffle.
 
 Cases: null texts count as empty: no words, no labels, score 0. Repeated rows and ids are rows of their own. Texts shorter
 than a gram cannot match. Templates that fit equally well all give their labels. Clashing extra columns are ignored.
@@ -15,10 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import id_text, lower_ascii
+from martkit.llm.common import WORD, id_text, lower_ascii, sent_if_small
+from martkit.llm.license_texts import TEXTS
 
-#: The word pattern of the contract for texts whose capitals are still there.
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 K = 3
 #: Diagonals this near to each other are one passage.
 SHIFT = 3
@@ -49,16 +50,21 @@ TEMPLATES = (
     Template("cc-by-nc", "licensed under cc by nc 4 0"),
     Template("cc0", "the person who associated a work with this deed has dedicated the work to the public domain"),
     Template("all-rights-reserved", "all rights reserved", True),
+    Template("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    Template("agpl-3", "it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license"),
+    Template("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    *(Template(label, words) for label, words in TEXTS),
 )
 BASE_COUNT = 3
 
 
-def _gram(words: list) -> F.Column:
-    return F.xxhash64(*words)
+def _gram(words: list) -> list:
+    """Two hashes of neighbouring words."""
+    return [F.xxhash64(*words).alias("gram"), F.hash(*words).alias("proof")]
 
 
 def template_grams(spark: SparkSession, templates: tuple[Template, ...] = TEMPLATES, k: int = K) -> DataFrame:
-    """``gram, proof, template, place``: some hundred rows, as many as the templates have words, so they may be sent out."""
+    """``gram, proof, template, place``: as many rows as the templates have words."""
     rows = []
     for t, template in enumerate(templates):
         words = template.words.split()
@@ -66,28 +72,24 @@ def template_grams(spark: SparkSession, templates: tuple[Template, ...] = TEMPLA
             raise ValueError(f"{template.words!r} has fewer than {k} words")
         rows += [(t, p, words[p : p + k]) for p in range(len(words) - k + 1)]
     df = spark.createDataFrame(rows, "template int, place int, w array<string>")
-    return df.select(_gram([F.get("w", F.lit(i)) for i in range(k)]).alias("gram"), F.array_join("w", " ").alias("proof"), "template", "place")
+    return df.select(*_gram([F.get("w", F.lit(i)) for i in range(k)]), "template", "place")
 
 
 def votes(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``row, doc_id, n_words, template, diagonal, places`` for each diagonal with a vote; template -1 once for each text."""
-    known = template_grams(docs.sparkSession, templates, k)
-    hashes = [r.gram for r in known.select("gram").distinct().collect()]  # of the templates, not of the texts
-    ends = docs.sparkSession.createDataFrame([(0, "", -1, 0)], known.schema)
+    spark = docs.sparkSession
+    # the entry of two zeros stands for a text itself
+    known = template_grams(spark, templates, k).unionByName(spark.createDataFrame([(0, 0, -1, 0)], "gram long, proof int, template int, place int"))
     texts = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    # all capitals are lowered for the hash; the proof, worked out only where a hash fits, lowers A-Z alone
-    words = texts.withColumn("raw", F.regexp_extract_all("text", F.lit(CASED_WORD), F.lit(0))).drop("text")
-    words = words.withColumn("w", F.transform("raw", F.lower)).withColumn("n_words", F.size("raw"))
+    words = texts.withColumn("w", F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(WORD), F.lit(0))).drop("text").withColumn("n_words", F.size("w"))
     starts = F.when(F.col("n_words") >= k, F.sequence(F.lit(0), F.col("n_words") - k))
-    hashed = words.withColumn("h", F.transform(starts, lambda i: _gram([F.get("w", i + j) for j in range(k)])))
-    proof = lambda i: lower_ascii(F.array_join(F.slice("raw", i + 1, k), " "))
-    listed = F.transform("h", lambda h, i: F.struct(h.alias("gram"), F.when(h.isin(hashes), proof(i)).alias("proof")))
-    # the last entry stands for the text itself; exploding "outer" keeps the planner from testing the whole expression twice
-    end = F.array(F.struct(F.lit(0).cast("long").alias("gram"), F.lit("").alias("proof")))
-    every = hashed.select("row", "doc_id", "n_words", F.concat(F.coalesce(listed, end.cast("array<struct<gram:bigint,proof:string>>")), end).alias("grams"))
+    hashed = words.withColumn("h", F.transform(starts, lambda i: F.struct(*_gram([F.get("w", i + j) for j in range(k)]))))
+    # exploding "outer" keeps the planner from testing the whole expression twice
+    end = F.array(F.struct(F.lit(0).cast("long").alias("gram"), F.lit(0).alias("proof")))
+    every = hashed.select("row", "doc_id", "n_words", F.concat(F.coalesce("h", end), F.when(F.col("h").isNotNull(), end).otherwise(F.slice(end, 1, 0))).alias("grams"))
     rows = every.select("row", "doc_id", "n_words", F.posexplode_outer("grams").alias("at", "g"))
     rows = rows.select("row", "doc_id", "n_words", "at", "g.gram", "g.proof")
-    met = rows.join(F.broadcast(known.unionByName(ends)), ["gram", "proof"]).repartition("row")
+    met = rows.join(sent_if_small(known, 24), ["gram", "proof"]).repartition("row")
     diagonal = F.when(F.col("template") >= 0, F.col("at") - F.col("place"))
     return met.groupBy("row", "doc_id", "n_words", "template", diagonal.alias("diagonal")).agg(F.collect_set("place").alias("places"))
 

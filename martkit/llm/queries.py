@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martkit.llm import ans, bpe_tree, decontamination, extraction, licenses, maxent, mixing, near, quality, runs, secrets, tokens, variants
 from martkit.llm.catalog import query, table
 from martkit.llm.common import TOKEN
-from martkit.session import scratch_path
+from martkit.session import scratch_path, shared_root
 
 #: The word pattern of the contracts and A-Z lowered, in SQL.
 WORDS_SQL = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -119,21 +119,34 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op1_token_counts")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    counted = tokens.count(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
+    # one cache for all runs on this cluster: a text that any of them has counted is not encoded again
+    counted = tokens.count(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), f"{shared_root(spark).rstrip('/')}/martkit/token-cache")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+_TEMPLATES = ", ".join(f"({k}, '{t.label}', {str(t.exact).lower()}, {t.words.split()})" for k, t in enumerate(licenses.TEMPLATES))
 OP3_SQL = f"""
 WITH doc AS (SELECT doc_id, {WORDS_SQL.format("text")} AS w FROM documents),
-phrase AS (SELECT * FROM (VALUES ('mit', ['under', 'the', 'mit', 'license']), ('apache-2', ['apache', 'license', 'version', '2']), ('cc-by-nc', ['cc', 'by', 'nc'])) t(label, p)),
-place AS (SELECT doc_id, label, i - 1 AS pos FROM (SELECT doc_id, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS i FROM doc, phrase WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
-found AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY doc_id)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels
-FROM doc LEFT JOIN found USING (doc_id)
+template AS (SELECT * FROM (VALUES {_TEMPLATES}) t(template, label, exact, p)),
+known AS (SELECT template, place, p[place + 1:place + {licenses.K}] AS g FROM (SELECT *, unnest(range(len(p) - {licenses.K - 1})) AS place FROM template)),
+gram AS (SELECT doc_id, i, w[i + 1:i + {licenses.K}] AS g FROM (SELECT doc_id, w, unnest(range(len(w) - {licenses.K - 1})) AS i FROM doc WHERE len(w) >= {licenses.K})),
+vote AS (SELECT DISTINCT doc_id, template, i - place AS diagonal, place FROM gram JOIN known USING (g)),
+line AS (SELECT doc_id, template, diagonal, list(place) AS places, min(place) AS low, max(place) AS high FROM vote GROUP BY ALL),
+cut AS (SELECT line.*, label, exact, len(p) AS size, CASE WHEN coalesce(diagonal - lag(diagonal) OVER w <= CASE WHEN exact THEN 0 ELSE {licenses.SHIFT} END, false) THEN 0 ELSE 1 END AS far
+  FROM line JOIN template USING (template) WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+passage AS (SELECT *, sum(far) OVER (PARTITION BY doc_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS passage FROM cut),
+span AS (SELECT doc_id, template, label, exact, min(diagonal + low) AS first_word,
+  len(list_distinct(flatten(list_transform(flatten(list(places)), lambda x: range(x, x + {licenses.K}))))) / any_value(size) AS score FROM passage GROUP BY doc_id, template, label, exact, passage),
+held AS (SELECT * FROM span WHERE score >= CASE WHEN exact THEN 1 ELSE {licenses.COVERAGE} END),
+found AS (SELECT doc_id, count(*) FILTER (template < {licenses.BASE_COUNT}) AS n_base, min(first_word) FILTER (template < {licenses.BASE_COUNT}) AS first_word,
+  max(first_word) FILTER (template < {licenses.BASE_COUNT}) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (template < {licenses.BASE_COUNT}) AS base_labels,
+  string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM held GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM doc LEFT JOIN found USING (doc_id)
 """
 
 
-@query("op3_license_diagonals")
+@query("op3_license_diagonals", OP3_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(table(spark, folder, "documents"))
     whole = [F.col(c).cast("long").alias(c) for c in ("n_words", "n_base", "first_word", "last_word")]

@@ -85,10 +85,15 @@ def _near(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
     return own.join(other, meets & close, "left_semi").drop("_own").dropDuplicates(["row", "kind", "start"])
 
 
-def _clear(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` that overlap no span of ``right`` in the same text."""
-    other = right.select(F.col("row").alias("_row"), F.col("start").alias("_start"), F.col("end").alias("_end"))
-    return left.join(other, (F.col("row") == F.col("_row")) & (F.col("start") < F.col("_end")) & (F.col("_start") < F.col("end")), "left_anti")
+def _clear(left: DataFrame, right: DataFrame, width: int = SCOPE) -> DataFrame:
+    """Rows of ``left`` that overlap no span of ``right`` in the same text. Both sides are entered in the cells that they touch,
+    so that a text of many spans compares neighbours alone."""
+    touched = lambda: F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.greatest("end", F.col("start") + 1) - 1) / width)))
+    other = right.select(F.col("row").alias("_row"), F.col("start").alias("_start"), F.col("end").alias("_end"), touched().alias("_cell"))
+    own = left.withColumn("_own", touched())
+    same = (F.col("row") == F.col("_row")) & (F.col("_own") == F.col("_cell"))
+    overlapping = own.join(other, same & (F.col("start") < F.col("_end")) & (F.col("_start") < F.col("end")), "left_semi")
+    return left.join(overlapping.select("row", "kind", "start").distinct(), ["row", "kind", "start"], "left_anti")
 
 
 def link(strong: DataFrame, weak: DataFrame, scope: int = SCOPE) -> DataFrame:

@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import chunks_of, id_text
+from martkit.llm.common import chunks_of, id_text, stage
 
 CACHE = "digest binary, n_tokens long"
+OFTEN = 1000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Before a space that follows a printable character: no run of white space is cut.
@@ -156,10 +157,16 @@ def count(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc_id", t
     misses = single.join(read_cache(spark, folder), "digest", "left_anti")
 
     def encode(batches):
-        known = encoder(tokenizer)
         for digests, found in chunks_of((b.rename_columns(["doc_id", "text"]) for b in batches)):
+            known = encoder(tokenizer)  # one a worker, and none where nothing is missing
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([len(x) // 4 for x in known.ids(found)], pa.int64())], names=["digest", "n_tokens"])
 
     misses.select("digest", "text").mapInArrow(encode, CACHE).write.mode("append").parquet(folder)
-    rows = keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return rows.join(read_cache(spark, folder), "digest", "left")
+    rows = stage(keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "token-rows")
+    # no more than OFTEN contents can each make up one row in OFTEN; their counts are sent to the rows, which else would all
+    # meet in one task
+    often = rows.groupBy("digest").agg(F.count("*").alias("rows")).where(F.col("rows") * OFTEN >= rows.count()).where("rows > 1")
+    sent = stage(read_cache(spark, folder).join(F.broadcast(often), "digest").select("digest", F.col("n_tokens").alias("sent")), "token-often")
+    marked = rows.join(F.broadcast(sent), "digest", "left")
+    rest = marked.where("sent IS NULL").join(read_cache(spark, folder), "digest", "left")
+    return rest.drop("sent").unionByName(marked.where("sent IS NOT NULL").withColumnRenamed("sent", "n_tokens"))
