@@ -61,9 +61,21 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
     return freq
 
 
+def _symbols(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct ids in order, place of each id among them, counts): by counting where ids are those of a vocabulary, else by
+    sorting."""
+    if not len(ids) or int(ids.max()) >= 1 << 22:
+        return np.unique(ids, return_inverse=True, return_counts=True)
+    every = np.bincount(ids)
+    symbols = np.flatnonzero(every)
+    place = np.zeros(len(every), np.int64)
+    place[symbols] = np.arange(len(symbols))
+    return symbols.astype(ids.dtype), place[ids], every[symbols]
+
+
 def encode(ids: np.ndarray, lanes: int = LANES, block: int = BLOCK) -> bytes:
     """A shard blob. All blocks advance together, one id for each lane at a time, so each step works on a whole matrix."""
-    symbols, code, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    symbols, code, counts = _symbols(ids)
     blocks = -(-len(ids) // block)
     steps = -(-block // lanes)
     if not blocks:
@@ -99,7 +111,8 @@ def encode(ids: np.ndarray, lanes: int = LANES, block: int = BLOCK) -> bytes:
     masks = np.stack(masks[::-1])
     words = np.concatenate(sent[::-1])
     owner = np.nonzero(masks)[1]
-    words = words[np.argsort(owner, kind="stable")]
+    # small numbers are sorted by their digits
+    words = words[np.argsort(owner.astype(np.uint16) if blocks <= 1 << 16 else owner, kind="stable")]
     per_block = np.bincount(owner, minlength=blocks)
     first = (np.cumsum(per_block) - per_block).astype("<u4")
     little = ids.astype("<u4")

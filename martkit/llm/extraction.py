@@ -52,8 +52,10 @@ def lay_out(article: list[str], other: list[str], prose: list[str], draw: random
     def put(texts, mark, before, after):
         out.append(before)
         for t in texts:
-            tag = draw.choice(("p", "p", "p", "div")) if mark else draw.choice(("p", "div", "li"))
-            out.append(f"<{tag}>{html.escape(t)}</{tag}>")
+            tag = draw.choice(("p", "p", "p", "p", "div", "li", "blockquote", "h2", "dd", "td")) if mark else draw.choice(("p", "p", "div", "li", "h2", "h3"))
+            # an article has lists, quotations, headings and tables, too
+            left, right = {"li": ("<ol>", "</ol>"), "dd": ("<dl>", "</dl>"), "td": ("<table><tr>", "</tr></table>")}.get(tag, ("", "")) if mark else ("", "")
+            out.append(f"{left}<{tag}>{html.escape(t)}</{tag}>{right}")
             marks.append(mark)
         out.append(after)
 
@@ -229,10 +231,11 @@ def train(pages: list[str], epochs: int = EPOCHS, seed: int = 7, at_once: int =
     for b, m in read:
         sample.append((features(b), m))
         article, other = [x.text for x, mark in zip(b, m) if mark], [x.text for x, mark in zip(b, m) if not mark]
-        page, marks = lay_out(article, other, prose, draw)
-        again = blocks(page)
-        if len(again) == len(marks):
-            sample.append((features(again), np.array(marks, np.float32)))
+        for _ in range(2):
+            page, marks = lay_out(article, other, prose, draw)
+            again = blocks(page)
+            if len(again) == len(marks):
+                sample.append((features(again), np.array(marks, np.float32)))
     model = new_model(choose)
     first, second = ({k: np.zeros_like(v) for k, v in model.items()} for _ in range(2))
     step = 0
