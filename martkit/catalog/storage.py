@@ -10,7 +10,7 @@ from martkit import labels
 from martkit.catalog import mean_sql, query
 from martkit.catalog.series import daily_prices
 from martkit.functions.dates import wall_time
-from martkit.functions.numbers import fixed_mean
+from martkit.functions.numbers import fixed_mean, merged_mean, partial_sums
 from martkit.operators import marts, ranking
 from martkit.operators.calendar import entity_dimension
 from martkit.plans.weather import store_readings
@@ -27,6 +27,27 @@ def _orders(t):
     return t.orders.select(*_ORDER_COLUMNS.split(", "))
 
 
+@query("incremental_marts", f"""
+    SELECT strftime(o_orderdate, '%Y-%m') AS label, count(*) AS n, {mean_sql('o_totalprice', 2)} AS avg_price, max(o_totalprice) AS max_price FROM orders GROUP BY 1
+    UNION ALL SELECT o_orderstatus, count(*), {mean_sql('o_totalprice', 2)}, max(o_totalprice) FROM orders GROUP BY 1""")
+def incremental_marts(t):
+    """Two loads whose windows overlap; after each the partial sums of the months touched are worked out, and the marts by month
+    and by status are merged from them. The first load's last months come with wrong prices, which the second one mends."""
+    table, partials, at = scratch_path(t.spark, "orders"), scratch_path(t.spark, "partials"), F.col("o_orderdate")
+    wrong = _orders(t).withColumn("o_totalprice", F.when(at < wall_time(datetime(1998, 1, 1)), F.col("o_totalprice")).otherwise(-1.0))
+    for batch, start, end in (
+        (wrong.where(at < wall_time(datetime(1998, 7, 1))), datetime(1995, 1, 1), datetime(1998, 7, 1)),
+        (_orders(t).where(at >= wall_time(datetime(1998, 1, 1))), datetime(1998, 1, 1), datetime(2002, 1, 1)),
+    ):
+        snapshots.replace_window(batch, table, "o_orderdate", start, end, ["o_orderkey"])
+        snapshots.follow(table, partials, t.spark, lambda rows: rows.groupBy("month", "o_orderstatus").agg(
+            F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"), *partial_sums("o_totalprice", "price")
+        ), "o_orderstatus")
+    stored = snapshots.read(t.spark, partials)
+    merge = lambda label: stored.groupBy(label.alias("label")).agg(F.sum("n").alias("n"), merged_mean("price", 2).alias("avg_price"), F.max("top").alias("max_price"))
+    return merge(F.col("month")).unionByName(merge(F.col("o_orderstatus")))
+
+
 @query("rebuild", f"SELECT {_ORDER_COLUMNS} FROM orders")
 def rebuild(t):
     path = scratch_path(t.spark, "rebuild")

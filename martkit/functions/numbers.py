@@ -55,19 +55,50 @@ def _bins(c: Column | str) -> list[Column]:
     return out
 
 
-def _total(c: Column | str) -> tuple[Column, Column, Column]:
-    """(sum as a decimal with 18 digits behind the point, number of known values, the largest of them): aggregates."""
+def _aggregates(c: Column | str) -> dict[str, Column]:
+    """What is kept of a group's values: a total for each bin, the known values, those that the bins hold, the largest."""
     number = _col(c).cast("double")
     bins, size = _bins(c), F.when(number - number == 0, F.abs(number))
-    known, held = F.count(size), F.count(bins[0])
+    return {f"bin{k}": F.try_sum(b) for k, b in enumerate(bins)} | {"known": F.count(size), "held": F.count(bins[0]), "largest": F.max(size)}
+
+
+def _combined(found: dict[str, Column]) -> Column:
+    """The sum as a decimal with 18 digits behind the point."""
     wide = DecimalType(20, 0)
-    parts = [F.try_sum(b).cast(wide) for b in bins]
+    parts = [found[f"bin{k}"].cast(wide) for k in range(BINS)]
     total = F.try_add((parts[0] * F.lit(2**BITS).cast(DecimalType(9, 0))).try_cast(EXACT), parts[1].cast(EXACT)).try_cast(EXACT)
     for k, part in enumerate(parts[2:], 1):
         total = F.try_add(total, (part.cast(EXACT) / F.lit(str(2 ** (k * BITS))).cast(DecimalType(24, 0))).cast(EXACT)).try_cast(EXACT)
     refused = F.raise_error(F.lit("more than 20 whole digits in a value or a sum")).cast(EXACT)
-    whole = F.when(known == 0, F.lit(None).cast(EXACT)).when((held == known) & total.isNotNull(), total).otherwise(refused)
-    return whole, known, F.max(size)
+    return F.when(found["known"] == 0, F.lit(None).cast(EXACT)).when((found["held"] == found["known"]) & total.isNotNull(), total).otherwise(refused)
+
+
+def _total(c: Column | str) -> tuple[Column, Column, Column]:
+    """(sum, number of known values, the largest of them): aggregates."""
+    found = _aggregates(c)
+    return _combined(found), found["known"], found["largest"]
+
+
+def partial_sums(c: Column | str, name: str) -> list[Column]:
+    """Aggregates that can be stored and merged later, as columns that begin with ``name``."""
+    return [v.alias(f"{name}_{k}") for k, v in _aggregates(c).items()]
+
+
+def _merged(name: str) -> dict[str, Column]:
+    sums = {k: F.try_sum(f"{name}_{k}") for k in (f"bin{i}" for i in range(BINS))}
+    return sums | {k: F.coalesce(F.sum(f"{name}_{k}"), F.lit(0)) for k in ("known", "held")} | {"largest": F.max(f"{name}_largest")}
+
+
+def merged_sum(name: str) -> Column:
+    """``fixed_sum`` of the values behind stored partial sums: the same to the last digit."""
+    found = _merged(name)
+    return fifteen(_combined(found).cast("double"), found["largest"])
+
+
+def merged_mean(name: str, digits: int) -> Column:
+    """``fixed_mean`` of the values behind stored partial sums."""
+    found = _merged(name)
+    return half_up(_combined(found), found["known"], digits, found["largest"])
 
 
 def fixed_sum(c: Column | str) -> Column:

@@ -24,7 +24,6 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-import sys
 from collections.abc import Callable
 
 import numpy as np
@@ -34,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import chunks_of, id_text, need
+from martkit.llm.common import chunks_of, id_text, need, remembered
 from martkit.llm.tokens import _SIMPLE, _WORDS
 
 #: Characters of a leaf; ids that are decoded at once.
@@ -285,7 +284,7 @@ class Tree:
 
 def tree(path: str, leaf: int = LEAF) -> Tree:
     """One for each worker process: what it remembers serves later tasks, too."""
-    kept = sys.modules.setdefault("_martkit_trees", type(sys)("_martkit_trees")).__dict__
+    kept = remembered("trees")
     return kept.get((path, leaf)) or kept.setdefault((path, leaf), Tree(read_ranks(path), leaf))
 
 

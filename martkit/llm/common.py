@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,6 +59,16 @@ def sent_if_small(df: DataFrame, row_bytes: int, bound: int = 64 << 20) -> DataF
     return F.broadcast(df) if df.count() * row_bytes <= bound else df
 
 
+def remembered(operator: str) -> dict:
+    """What a worker process keeps for the later tasks of one operator. It keeps nothing of any other: workers live on from
+    stage to stage, and what several operators remember would add up."""
+    kept = sys.modules.setdefault("_martkit_memory", type(sys)("_martkit_memory")).__dict__
+    own = kept.get("own")
+    if own is None or own[0] != operator:
+        own = kept["own"] = (operator, {})
+    return own[1]
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """The wanted names, each with as many underscores before it as no column of ``df`` has, upper or lower case."""
     taken = {c.lower() for c in df.columns}

@@ -20,14 +20,13 @@ Without training documents every count is 0 and the class weights stay as they b
 from __future__ import annotations
 
 import math
-import sys
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import mix64, need, stage
+from martkit.llm.common import mix64, need, remembered, stage
 
 FREQUENT = 1 << 20
 CLASSES, LEAST_ROWS, MOST_ROWS, TOKENS_A_ROW = 32, 1 << 12, 1 << 18, 16
@@ -63,7 +62,7 @@ class _Powers:
 
 
 def _worker_powers() -> _Powers:
-    kept = sys.modules.setdefault("_martkit_lm", type(sys)("_martkit_lm")).__dict__
+    kept = remembered("maxent")
     return kept.get("powers") or kept.setdefault("powers", _Powers())
 
 

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import TO_LOWER, WORD, attach, free_names, id_text, mix64, need, sent_if_small, stage
+from martkit.llm.common import TO_LOWER, WORD, attach, free_names, id_text, mix64, need, remembered, sent_if_small, stage
 from martkit.llm.components import components
 
 _WORD = re.compile(WORD)
@@ -66,7 +65,7 @@ class _Hashes(dict):
     """Words to 64-bit hashes that are the same in every process; forgets when it has grown large."""
 
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return value
@@ -100,7 +99,7 @@ def signer(trees: int, depth: int):
 
 
 def _worker_hashes() -> dict:
-    return sys.modules.setdefault("_martkit_words", type(sys)("_martkit_words")).__dict__.setdefault("words", _Hashes())
+    return remembered("near").setdefault("words", _Hashes())
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, depth: int = DEPTH) -> DataFrame:

@@ -13,7 +13,6 @@ import hashlib
 import json
 import re
 import struct
-import sys
 from collections.abc import Callable
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import chunks_of, id_text, stage
+from martkit.llm.common import chunks_of, id_text, remembered, stage
 
 CACHE = "digest binary, n_tokens long"
 OFTEN = 1000
@@ -53,7 +52,7 @@ class Encoder:
     at spaces that follow printable characters, which no word crosses, and what is not plain goes to the library whole.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         self.most = most
         self.by_piece = False
         if path.endswith(".model"):
@@ -121,7 +120,7 @@ def _byte_letters() -> list[str]:
 
 def encoder(path: str) -> Encoder:
     """One for each worker process: what it remembers serves later tasks, too."""
-    kept = sys.modules.setdefault("_martkit_encoders", type(sys)("_martkit_encoders")).__dict__
+    kept = remembered("tokens")
     return kept.get(path) or kept.setdefault(path, Encoder(path))
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,28 @@ from martkit.operators.dedupe import keep_first, keep_last
 from martkit.sinks.writers import MONTH, Staging, _exists, _file_system, _starts_month, _with_month, months_between
 
 
+def changed_months(known: dict, before: dict | None) -> list[str]:
+    """Months whose parts differ between two manifests of a table; all of them without an earlier one."""
+    old = before["months"] if before else {}
+    return sorted(m for m in {*old, *known["months"]} if old.get(m) != known["months"].get(m))
+
+
+def follow(source: str, target: str, spark: SparkSession, build: Callable[[DataFrame], DataFrame], key: str) -> list[str]:
+    """Bring a table made month by month from another up to its newest version: ``build`` is given the rows of the months that
+    have changed since, and no others are read. ``build`` keeps ``month``. Returns those months."""
+    newest, known = manifest(spark, source), manifest(spark, target)
+    seen = known["about"].get("source_version") if known else None
+    if seen == newest["version"]:
+        return []
+    changed = changed_months(newest, manifest(spark, source, seen) if seen else None)
+    rows = build(_parts(spark, source, newest["schema"], {m: newest["months"][m] for m in changed if m in newest["months"]}))
+    load = _Load(spark, target, _schema(rows))
+    load.write(rows)
+    kept = {m: p for m, p in (known["months"] if known else {}).items() if m not in changed}
+    _publish(spark, target, known, load.schema, kept | {m: [p] for m, p in load.parts(key).items()}, {"source_version": newest["version"]})
+    return changed
+
+
 class Conflict(RuntimeError):
     """Another load has published since this one began; it can be run again."""
 
@@ -49,12 +71,13 @@ def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict
         stream.close()
 
 
-def _publish(spark: SparkSession, path: str, known: dict | None, schema: str, months: Mapping[str, list]) -> int:
+def _publish(spark: SparkSession, path: str, known: dict | None, schema: str, months: Mapping[str, list], about: Mapping | None = None) -> int:
+    """``about``: what else the manifest is to say of this version."""
     version = (known["version"] if known else 0) + 1
     jvm = spark._jvm
     fs, written = _file_system(spark, f"{path}/manifests/.{uuid.uuid4().hex}")
     stream = fs.create(written)
-    stream.write(bytearray(json.dumps({"version": version, "schema": schema, "months": dict(sorted(months.items()))}).encode()))
+    stream.write(bytearray(json.dumps({"version": version, "schema": schema, "months": dict(sorted(months.items())), "about": dict(about or {})}).encode()))
     stream.close()
     final = jvm.org.apache.hadoop.fs.Path(f"{path}/manifests/{version:012d}.json")
     files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())

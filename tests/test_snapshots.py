@@ -144,3 +144,25 @@ def test_upsert(spark, tmp_path):
     assert {(r.day.month, r.k, r.v) for r in snapshots.read(spark, path).collect()} == {(1, "x", 2), (1, "y", 1), (2, "x", 1)}
     with pytest.raises(ValueError, match="part of the key"):
         snapshots.upsert(rows(), path, ["k"], "day")
+
+
+def test_marts_follow_the_changed_months_alone(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from martkit.functions.numbers import fixed_mean, fixed_sum, merged_mean, merged_sum, partial_sums
+
+    table, marts = str(tmp_path / "t"), str(tmp_path / "m")
+    month = lambda k: datetime(2020 + k // 12, 1 + k % 12, 1)
+    rows = [(f"{k:03d}-{j}", month(k), 7 * k + j) for k in range(24) for j in range(6)]
+    _load(spark, table, rows, month(0), month(24))
+    build = lambda df: df.groupBy("month").agg(F.count(F.lit(1)).alias("n"), *partial_sums(F.col("v") / 7, "v"))
+    assert len(snapshots.follow(table, marts, spark, build, "n")) == 24 and snapshots.follow(table, marts, spark, build, "n") == []
+    looked, parts = [], snapshots._parts
+    monkeypatch.setattr(snapshots, "_parts", lambda s, p, schema, months: looked.append((p, sorted(months))) or parts(s, p, schema, months))
+    _load(spark, table, [("005-0", month(5), 1000), ("006-9", month(6), 3)], month(5), month(7))
+    _load(spark, table, [], month(9), month(10))
+    assert snapshots.follow(table, marts, spark, build, "n") == ["2020-06", "2020-07", "2020-10"]
+    assert [m for p, m in looked if p == table] == [["2020-06", "2020-07"]]
+    whole = lambda df, *a: [tuple(r) for r in df.agg(*a).collect()]
+    value = F.col("v") / 7
+    assert whole(snapshots.read(spark, marts), F.sum("n"), merged_sum("v"), merged_mean("v", 6)) == whole(snapshots.read(spark, table), F.count(F.lit(1)), fixed_sum(value), fixed_mean(value, 6))
