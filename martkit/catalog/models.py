@@ -181,20 +181,36 @@ def next_forecast(t):
 _TEXT_FEATURES = ("n_chars", "words", "lines", "digit_share", "odd_share")
 
 
-@query("quality_classifier")
-def quality_classifier(t):
-    """Labelled documents: seeded split, forest, accuracy against its bound, and a check on known rows.
-
-    The labels cover some documents; they are joined by id before any text is looked at.
-    """
+def _text_features(t):
+    """Labelled documents with what the classifier looks at; they are joined by id before any text is looked at."""
     size = F.greatest(F.length("text"), F.lit(1))
     docs = t.documents.select("doc_id", "text", "n_chars").join(t.labels.select("doc_id", "quality"), "doc_id")
-    rows = docs.select(
+    return docs.select(
         "doc_id", F.col("quality").cast("double").alias("quality"), "n_chars",
         F.size(F.split("text", r"\s+")).alias("words"), F.size(F.split("text", "\n")).alias("lines"),
         (F.length(F.regexp_replace("text", r"\D", "")) / size).alias("digit_share"),
         (F.length(F.regexp_replace("text", r"(?U)[\w\s.,]", "")) / size).alias("odd_share"),
     )
+
+
+_TEXT_SLOT = "CAST('0x' || left(md5('42:' || doc_id), 8) AS UBIGINT) % 10000"
+
+
+@query("classifier_features", rf"""
+    SELECT doc_id, quality::DOUBLE AS quality, n_chars, CAST(len(regexp_split_to_array(text, '\s+')) AS INTEGER) AS words, CAST(len(string_split(text, chr(10))) AS INTEGER) AS lines,
+           length(regexp_replace(text, '[^0-9]', '', 'g')) / greatest(length(text), 1) AS digit_share,
+           length(regexp_replace(text, '[\p{{L}}\p{{M}}\p{{Nd}}\p{{Nl}}\p{{Pc}}\s\x0b\x85\p{{Z}}.,]', '', 'g')) / greatest(length(text), 1) AS odd_share, {_TEXT_SLOT} < 8000 AS is_train
+    FROM documents JOIN labels USING (doc_id)""")
+def classifier_features(t):
+    """The classifier's rows and the side of the split on which each lies."""
+    train, test = forecast.split_by_key(_text_features(t), "doc_id")
+    return train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+
+
+@query("quality_classifier")
+def quality_classifier(t):  # its rows have SQL in classifier_features; a forest has none
+    """Labelled documents: seeded split, forest, accuracy against its bound, and a check on known rows."""
+    rows = _text_features(t)
     train, test = forecast.split_by_key(rows, "doc_id")
     model = forecast.train_forest(train, "quality", _TEXT_FEATURES)
     reached = forecast.accuracy(model.transform(test), "quality")
