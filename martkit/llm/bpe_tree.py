@@ -68,7 +68,7 @@ def newer_characters() -> str:
 class Tree:
     """Encoder and decoder of one vocabulary of ranks; ``most`` words are remembered."""
 
-    def __init__(self, ranks: dict[bytes, int], leaf: int = LEAF, most: int = 600_000):
+    def __init__(self, ranks: dict[bytes, int], leaf: int = LEAF, most: int = 400_000):
         self.ranks, self.leaf, self.most = ranks, max(leaf, 2), most
         self.bytes_of = {v: k for k, v in ranks.items()}
         #: Longer words are no entry of the vocabulary; their ids are joined, not looked up.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -65,6 +67,13 @@ def remembered(operator: str) -> dict:
     kept = sys.modules.setdefault("_martkit_memory", type(sys)("_martkit_memory")).__dict__
     own = kept.get("own")
     if own is None or own[0] != operator:
+        kept.pop("own", None)
+        own = None
+        gc.collect()
+        try:  # hand what is free back to the system, where the C library can
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):
+            pass
         own = kept["own"] = (operator, {})
     return own[1]
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import TO_LOWER, WORD, chunks_of, free_names, id_text, need, stage
+from martkit.llm.common import TO_LOWER, WORD, chunks_of, free_names, id_text, need, remembered, stage
 
 _WORD = re.compile(WORD)
 
@@ -255,6 +255,7 @@ def scan(
     has_mark = "_before" in rows.columns
 
     def work(batches):
+        remembered("leaks")  # nothing; what other operators keep goes
         for ids, texts, marks in _with_marks(batches, has_mark):
             out = []
             for i, text, own in zip(ids, texts, marks):
@@ -299,6 +300,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_span: int
     has_mark = mark in docs.columns
 
     def work(batches):
+        remembered("leaks")  # nothing; what other operators keep goes
         for b in batches:
             marks = b.column(mark).to_pylist() if has_mark else [None] * b.num_rows
             b = b.select(schema.names)

@@ -52,7 +52,7 @@ class Encoder:
     at spaces that follow printable characters, which no word crosses, and what is not plain goes to the library whole.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 400_000):
         self.most = most
         self.by_piece = False
         if path.endswith(".model"):
