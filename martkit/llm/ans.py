@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import id_text
+from martkit.llm.common import chunks_of, id_text
 from martkit.llm.tokens import encoder
 
 MAGIC = 0x534E4152
@@ -184,16 +184,14 @@ def _write_partition(tokenizer: str, end_id: int, shard_ids: int):
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "shard", "n_ids", "doc_ids", "lengths", "data"])
 
-        for b in batches:
-            for at in range(0, b.num_rows, 64):
-                some = b.slice(at, 64)
-                for i, ids in zip(some.column("doc_id").to_pylist(), known.ids(some.column("text").to_pylist())):
-                    docs.append(i)
-                    lengths.append(len(ids) // 4 + 1)
-                    held += (ids, end)
-                    size += lengths[-1]
-                    if size >= shard_ids:
-                        yield close()
+        for names, texts in chunks_of(batches):
+            for i, ids in zip(names, known.ids(texts)):
+                docs.append(i)
+                lengths.append(len(ids) // 4 + 1)
+                held += (ids, end)
+                size += lengths[-1]
+                if size >= shard_ids:
+                    yield close()
         if docs:
             yield close()
 

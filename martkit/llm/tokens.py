@@ -14,9 +14,11 @@ import json
 import re
 import struct
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,16 @@ _SIMPLE = re.compile(f"[\\n !-~{_LETTERS}]+")
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s0-9{_LETTERS}]+|\\s+(?!\\S)|\\s+")
 
 
+#: Characters of plain texts, and pieces, that are worked on at once.
+AT_ONCE = 4 << 20
+
+# kinds of bytes in plain texts, white space last
+_LETTER, _DIGIT, _MARK, _APOSTROPHE, _SPACE, _LINE = range(6)
+_KINDS = np.array([_LETTER if b >= 128 or chr(b).isalpha() else _DIGIT if chr(b).isdigit() else {32: _SPACE, 10: _LINE, 39: _APOSTROPHE}.get(b, _MARK) for b in range(256)], np.uint8)
+#: Whether a word begins at a byte of the second kind that follows one of the first.
+_BEGINS = np.array([[a < _SPACE and (b >= _SPACE or (a != _APOSTROPHE and a != b and (a, b) != (_MARK, _APOSTROPHE))) for b in range(6)] for a in range(6)])
+
+
 class _Memo(dict):
     def __init__(self, work: Callable[[str], bytes]):
         super().__init__()
@@ -43,13 +55,62 @@ class _Memo(dict):
         return value
 
 
+class _Lately:
+    """Ids of the pieces met lately, in arrays: beyond ``most`` pieces, the half that was met last stays."""
+
+    def __init__(self, work: Callable[[str], bytes], most: int):
+        self.work, self.most, self.now = work, most, 0
+        self.pieces = pa.array([], pa.large_string())
+        self.ids, self.sizes, self.met = np.zeros(0, "<u4"), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Where each of some distinct pieces stands here; those that are new are worked out and added."""
+        self._forget()
+        place = pc.index_in(pieces, value_set=self.pieces).fill_null(-1).to_numpy().copy()
+        new = place < 0
+        if new.any():
+            added = pieces.filter(pa.array(new))
+            ids = [self.work(p) for p in added.to_pylist()]
+            place[new] = np.arange(len(self.pieces), len(self.pieces) + len(ids))
+            self.pieces = pa.concat_arrays([self.pieces, added])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")])
+            self.sizes = np.concatenate([self.sizes, np.array([len(x) // 4 for x in ids], np.int32)])
+            self.met = np.concatenate([self.met, np.zeros(len(ids), np.int32)])
+        self.now += 1
+        self.met[place] = self.now
+        return place
+
+    def _forget(self) -> None:
+        if len(self.pieces) <= self.most:
+            return
+        stay = np.sort(np.argsort(self.met, kind="stable")[-(self.most // 2) :])
+        kept = np.zeros(len(self.pieces), bool)
+        kept[stay] = True
+        self.ids = self.ids[np.repeat(kept, self.sizes)]
+        self.pieces, self.sizes, self.met = self.pieces.take(pa.array(stay)), self.sizes[stay], self.met[stay]
+
+    def dealt(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces at ``place`` one after the other, and how many each piece has."""
+        size = self.sizes[place]
+        before = np.cumsum(size, dtype=np.int64) - size
+        firsts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        # each id lies as far behind its piece's first one here as it does in the result
+        return self.ids[np.arange(size.sum()) + np.repeat(firsts[place] - before, size)], size
+
+
+@lru_cache(256)
+def _packer(n: int) -> Callable[..., bytes]:
+    return struct.Struct(f"<{n}I").pack
+
+
 class Encoder:
     """Token ids of whole texts as the library of the file's kind gives them: ``tokenizers`` for .json, ``sentencepiece`` for
     .model, without added special tokens, truncation or padding.
 
     A byte-level vocabulary with the usual word pattern merges within words alone. Texts of plain characters are cut into
-    words here, and the library's model encodes each distinct word once (up to ``most`` are remembered). Other texts are cut
-    at spaces that follow printable characters, which no word crosses, and what is not plain goes to the library whole.
+    words here, many texts at once, and the library's model encodes each distinct word once (up to ``most`` are remembered).
+    Other texts are cut at spaces that follow printable characters, which no word crosses, and what is not plain goes to the
+    library whole.
     """
 
     def __init__(self, path: str, most: int = 400_000):
@@ -79,6 +140,7 @@ class Encoder:
             self.model = library.model
             self.bytes_of = _byte_letters()
             self.words = _Memo(self._word)
+            self.lately = _Lately(self._piece, most)
             self.marks = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
 
     def _word(self, word: str) -> bytes:
@@ -87,29 +149,87 @@ class Encoder:
         else:
             letters = "".join(map(self.bytes_of.__getitem__, word.encode()))
         ids = [t.id for t in self.model.tokenize(letters)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packer(len(ids))(*ids)
 
     def _piece(self, piece: str) -> bytes:
-        if not piece:
-            return b""
-        if _SIMPLE.fullmatch(piece) and not self.marks.search(piece):
-            return b"".join(map(self.words.__getitem__, _WORDS.findall(piece)))
-        return np.array(self._whole([piece])[0], "<u4").tobytes()
+        """Of one or more words of plain characters."""
+        found = _WORDS.findall(piece)
+        return b"".join(map(self._word, found))
+
+    def _other(self, text: str) -> bytes:
+        """Of a text that is not plain, or has a special string."""
+        out = []
+        for piece in _CUT.split(text):
+            if self._is_plain(piece):
+                out += map(self.words.__getitem__, _WORDS.findall(piece))
+            elif piece:
+                out.append(np.array(self._whole([piece])[0], "<u4").tobytes())
+        return b"".join(out)
+
+    def _is_plain(self, text: str) -> bool:
+        return bool(_SIMPLE.fullmatch(text)) and not self.marks.search(text)
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Of texts of plain characters: cut all at once, each distinct piece is looked up once and its ids are dealt out."""
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        ends = np.cumsum([len(r) for r in raw])
+        begins = _piece_starts(data, ends[:-1])
+        bounds = np.append(begins, len(data)).astype(np.int64)
+        every = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(bounds), pa.py_buffer(data))
+        ids, sizes = [], []
+        for at in range(0, len(every), AT_ONCE):  # one round, but for very long texts
+            pieces = every.slice(at, AT_ONCE).dictionary_encode()
+            some, size = self.lately.dealt(self.lately.places(pieces.dictionary)[pieces.indices.to_numpy()])
+            ids.append(some.tobytes())
+            sizes.append(size)
+        stops = (4 * np.cumsum(np.concatenate(sizes), dtype=np.int64)[np.searchsorted(begins, ends) - 1]).tolist()
+        joined = b"".join(ids)
+        return [joined[a:b] for a, b in zip([0, *stops], stops)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         if not self.by_piece:
             return [np.array(x, "<u4").tobytes() for x in self._whole(texts)]
-        word, out = self.words.__getitem__, []
-        for text in texts:
-            if len(self.words) > self.most:
-                self.words.clear()
-            if _SIMPLE.fullmatch(text) and not self.marks.search(text):
-                out.append(b"".join(map(word, _WORDS.findall(text))))
-            else:
-                out.append(b"".join(map(self._piece, _CUT.split(text))))
+        out: list[bytes] = [b""] * len(texts)
+        plain, size = [], 0
+        for k, text in enumerate(texts):
+            if not self._is_plain(text):  # nor is an empty one
+                if len(self.words) > self.most:
+                    self.words.clear()
+                out[k] = self._other(text)
+                continue
+            plain.append(k)
+            size += len(text)
+            if size >= AT_ONCE:
+                self._deal(texts, plain, out)
+                plain, size = [], 0
+        if plain:
+            self._deal(texts, plain, out)
         return out
 
+    def _deal(self, texts: list[str], plain: list[int], out: list[bytes]) -> None:
+        for k, ids in zip(plain, self._plain([texts[k] for k in plain])):
+            out[k] = ids
+
+
+def _piece_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Places in the bytes of plain texts, which begin at 0 and at ``texts``, where a word surely begins, nearly all that do.
+
+    Kinds of characters: letters (all bytes beyond ASCII are parts of such), digits, spaces, line ends, apostrophes and other
+    marks. A word begins where a letter, digit or mark is followed by one of another kind, or by white space; not so after an
+    apostrophe, which may begin an ending. White space of more than one character stays with what follows it.
+    """
+    kind = _KINDS[data]
+    starts = np.zeros(len(data), bool)
+    starts[1:] = _BEGINS[kind[:-1], kind[1:]]
+    # a line end alone is a word; what follows more white space is not cut off
+    line = np.flatnonzero(kind[1:-1] == _LINE) + 1
+    starts[line + 1] = (kind[line - 1] < _SPACE) & (kind[line + 1] < _SPACE)
+    starts[0] = True
+    starts[texts] = True
+    return np.flatnonzero(starts)
+
 
 def _byte_letters() -> list[str]:
     """The public byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on."""

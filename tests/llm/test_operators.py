@@ -82,6 +82,36 @@ def test_pieces_give_the_librarys_ids():
         assert np.frombuffer(own.ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_plain_texts_together_give_the_librarys_ids(monkeypatch):
+    from tokenizers import Tokenizer
+
+    library, own, draw = Tokenizer.from_file(BPE), tokens.Encoder(BPE, most=20), random.Random(6)
+    bits = [" ", "  ", "\n", "\n\n", "a", "Be", "é", "ɏ", "'s", "'", "'ll", "12", ".", ",", '"', "'re", "x", "$5"]
+    monkeypatch.setattr(tokens, "AT_ONCE", 50)  # texts longer than what is worked on at once, too
+    for _ in range(60):
+        texts = ["".join(draw.choices(bits, weights=[9] + [2] * (len(bits) - 1), k=draw.randint(0, 90))) for _ in range(30)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_of_texts_together_are_encoded_once():
+    """However few words are remembered."""
+    own, words = tokens.Encoder(BPE, most=10), [f" {a}{b}" for a in "abcdefgh" for b in "uvwxyz"]
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.calls = model, 0
+
+        def tokenize(self, letters):
+            self.calls += 1
+            return self.model.tokenize(letters)
+
+    own.model = Counted(own.model)
+    texts = ["".join(words[k:] + words[:k]) for k in range(len(words))]
+    want = own.library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == [w.ids for w in want]
+    assert own.model.calls == len(words)
+
+
 def test_other_tokenizers():
     import sentencepiece
     from tokenizers import Tokenizer
