@@ -46,6 +46,10 @@ def follow(source: str, target: str, spark: SparkSession, build: Callable[[DataF
     return changed
 
 
+#: About as many rows as a task sorts or writes of a batch whose size is known.
+ROWS = 1_000_000
+
+
 class Conflict(RuntimeError):
     """Another load has published since this one began; it can be run again."""
 
@@ -119,9 +123,13 @@ class _Load:
         self.folder = f"{path}/data/load={self.id}"
         self.base = f"{path}/data"
 
-    def write(self, df: DataFrame) -> DataFrame:
-        """Rebalancing by month keeps the file count down; a month with very many rows is still split over tasks."""
-        df.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(self.folder)
+    def write(self, df: DataFrame, key: str | None = None, most: int | None = None) -> DataFrame:
+        """Rebalancing by month keeps the file count down; a month with very many rows is still split over tasks. Splits go by
+        compressed bytes, though, and narrow rows by the million take little of those: where there may be more than ``ROWS``
+        (at most ``most``), tasks get about that many each, by ranges of month and key."""
+        parts = -(-most // ROWS) if most and key else 1
+        dealt = df.repartitionByRange(parts, MONTH, f"`{key}`") if parts > 1 else df.hint("rebalance", MONTH)
+        dealt.write.mode("append").partitionBy(MONTH).parquet(self.folder)
         return self.rows()
 
     def rows(self) -> DataFrame:
@@ -131,7 +139,11 @@ class _Load:
         """For each month written: its part, with rows and the key's range; one row a month comes to the driver. ``inside``: a
         condition whose rows are counted, too, into ``self.inside``."""
         condition = F.lit(True) if inside is None else inside
-        known = self.rows().groupBy(MONTH).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"), F.count_if(condition).alias("inside")).collect()
+        known = self.rows().groupBy(MONTH).agg(
+            F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"), F.count_if(condition).alias("inside"),
+            # least and greatest strings alone would have all rows sorted by month; next to a collected set they are hashed
+            F.collect_set(F.lit(1)),
+        ).collect()
         self.inside = sum(r.inside for r in known)
         return {r[MONTH]: {"load": self.id, "rows": r.n, "low": _plain(r.low), "high": _plain(r.high)} for r in known}
 
@@ -156,7 +168,7 @@ def meeting(months: Mapping[str, list], parts: Mapping[str, dict]) -> dict[str,
     return {m: own for m, own in found.items() if own} if parts else {}
 
 
-def _without_known(load: _Load, parts: dict, path: str, months: Mapping[str, list], keys: Sequence[str], stage: Staging, where=None) -> _Load:
+def _without_known(load: _Load, parts: dict, path: str, months: Mapping[str, list], keys: Sequence[str], stage: Staging, where=None, most: int | None = None) -> _Load:
     """The load without rows whose key the stored parts hold, where ``where`` is true: mostly it itself, else one written anew."""
     spark = load.spark
     near = meeting(months, parts)
@@ -169,12 +181,13 @@ def _without_known(load: _Load, parts: dict, path: str, months: Mapping[str, lis
     if clash.isEmpty():
         return load
     again = _Load(spark, path, load.schema)
-    again.write(load.rows().join(clash, list(keys), "left_anti"))
+    again.write(load.rows().join(clash, list(keys), "left_anti"), keys[0], most)
     return again
 
 
-def replace_window(batch: DataFrame, path: str, at: str, start: datetime, end: datetime, keys: Sequence[str], order: Sequence[str] = ()) -> dict[str, int]:
+def replace_window(batch: DataFrame, path: str, at: str, start: datetime, end: datetime, keys: Sequence[str], order: Sequence[str] = (), most: int | None = None) -> dict[str, int]:
     """Delete ``[start, end)`` and insert the batch, in one step for readers; keys present elsewhere in the table are ignored.
+    ``most``: the number of rows of the batch, or a bound, where it is known.
 
     Within the batch the first row per key by ``order`` is kept. An empty batch clears the window. Rows of the touched months
     outside the window are kept. Reports distinct keys of the batch and stored rows. The batch is written once, unless some of
@@ -187,13 +200,13 @@ def replace_window(batch: DataFrame, path: str, at: str, start: datetime, end: d
     months = months_between(start, end)
     fresh = _with_month(keep_first(batch, keys, order).drop(*order), at)
     first = load = _Load(spark, path, _schema(fresh))
-    load.write(fresh)
+    load.write(fresh, keys[0], most)
     parts = load.parts(keys[0], inside)
     distinct = sum(p["rows"] for p in parts.values())
     stored = known["months"] if known else {}
     covered = set(months[(not _starts_month(start)):(len(months) - (not _starts_month(end)))])
     with Staging(spark, "clash") as stage:
-        load = _without_known(load, parts, path, {m: p for m, p in stored.items() if m not in covered}, keys, stage, ~inside)
+        load = _without_known(load, parts, path, {m: p for m, p in stored.items() if m not in covered}, keys, stage, ~inside, most)
         if load is not first:
             parts = load.parts(keys[0], inside)
         # a batch may hold rows outside its window: their months are written anew, too

@@ -41,11 +41,19 @@ def load_window(feed: DataFrame, path: str, start: datetime, end: datetime) -> d
         events = stage(parse_events(feed))
         order = [c for c in ("feed_order",) if c in events.columns]
         counts = events.agg(F.count_if(is_loadable()).alias("good"), F.count_if(~is_loadable()).alias("bad")).first()
-        good = events.where(is_loadable()).withColumn("ingested_at", wall_time(datetime.now(UTC)))
-        result = snapshots.replace_window(good, path, "occurred_at", start, end, list(EVENT_KEYS), order)
+        good = _dealt(events.where(is_loadable()), counts.good).withColumn("ingested_at", wall_time(datetime.now(UTC)))
+        result = snapshots.replace_window(good, path, "occurred_at", start, end, list(EVENT_KEYS), order, counts.good)
     return result | {"attempted": counts.good, "rejected": counts.bad}
 
 
+def _dealt(staged: DataFrame, rows: int) -> DataFrame:
+    """Staged rows, about ``snapshots.ROWS`` to a task, which sorts them to drop repeated ids before the shuffle: a split of a
+    file is bounded in compressed bytes only. A row goes by its place in the files, so rows of one id are spread, too."""
+    if rows <= snapshots.ROWS:
+        return staged
+    return staged.withColumn("_place", F.monotonically_increasing_id()).repartition(-(-rows // snapshots.ROWS), "_place").drop("_place")
+
+
 LOAD_LOG = "window_start date, window_end date, stored bigint, loaded_at timestamp_ntz"
 
 

@@ -166,3 +166,22 @@ def test_marts_follow_the_changed_months_alone(spark, tmp_path, monkeypatch):
     whole = lambda df, *a: [tuple(r) for r in df.agg(*a).collect()]
     value = F.col("v") / 7
     assert whole(snapshots.read(spark, marts), F.sum("n"), merged_sum("v"), merged_mean("v", 6)) == whole(snapshots.read(spark, table), F.count(F.lit(1)), fixed_sum(value), fixed_mean(value, 6))
+
+
+def test_a_load_of_many_narrow_rows_is_spread_over_tasks(spark, tmp_path, monkeypatch):
+    """All of one month, each id twice: the first of each is stored, and no task writes more than a few times ``ROWS``."""
+    from martkit.sources.feed import FEED_COLUMNS
+    from martkit.streaming import incremental
+
+    monkeypatch.setattr(snapshots, "ROWS", 100, raising=False)
+    own = {"id": F.concat(F.lit("e"), F.col("id") % 1000), "time": F.lit("2024-01-05T00:00:00Z"), "mag": F.when(F.col("id") < 1000, "1").otherwise("2")}
+    feed = spark.range(2000).select(*[own.get(c, F.lit(None).cast("string")).alias(c) for c in FEED_COLUMNS])
+    path = str(tmp_path / "t")
+    found = incremental.load_window(feed, path, datetime(2024, 1, 1), datetime(2024, 2, 1))
+    assert found == {"distinct": 1000, "in_window": 1000, "attempted": 2000, "rejected": 0}
+    stored = snapshots.read(spark, path)
+    assert sorted(tuple(r) for r in stored.select("event_id", "magnitude").collect()) == sorted((f"e{k}", 1.0) for k in range(1000))
+    files = stored.groupBy(F.input_file_name()).count().collect()
+    assert max(r[1] for r in files) <= 300
+    part = snapshots.manifest(spark, path)["months"]["2024-01"][0]
+    assert (part["rows"], part["low"], part["high"]) == (1000, "e0", "e999")
