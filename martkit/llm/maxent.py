@@ -7,11 +7,11 @@ all others form the last class, where counts get one added and one further token
 
 Counts are exact, over all training documents. Tokens of at least one in ``FREQUENT`` training tokens - of which there can be
 no more than that - are sent to the tasks; the others' counts reach the documents by a join. The rows of the hashed features
-grow with the vocabulary: a power of two of about a sixteenth of the distinct tokens, up to ``MOST_ROWS``, since each task
-holds the weights (32 MB then); beyond that, from about four million distinct tokens on, only the counts grow on. Training
-deals the documents into rounds; in each, every task takes gradient steps over its documents from the shared weights, and the
-tasks' changes, summed up in two levels on the executors in a fixed order, are averaged by their numbers of tokens. A task has
-as many documents as it takes for its change to be small beside them.
+grow with the vocabulary: a power of two of about a sixteenth of the distinct tokens, up to ``MOST_ROWS``, since each worker
+holds the weights (32 MB then), and a copy while it trains; beyond that, from about four million distinct tokens on, only the
+counts grow on. Training deals the documents into rounds; in each, every task takes gradient steps over its documents from the
+shared weights, and the tasks' changes, summed up in two levels on the executors in a fixed order, are averaged by their
+numbers of tokens. A task has as many documents as it takes for its change to be small beside them.
 
 Cases: null texts count as empty: the end alone. A null id counts as empty text for the split. Repeated rows each count.
 Without training documents every count is 0 and the class weights stay as they began. Clashing extra columns are ignored.
@@ -23,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ CLASSES, LEAST_ROWS, MOST_ROWS, TOKENS_A_ROW = 32, 1 << 12, 1 << 18, 16
 ROUNDS, RATE, STEP_TOKENS = 2, 0.12, 8192
 SCORE_TOKENS = 2048
 PARTS = 16
+#: Bytes of text whose words are hashed at once (each takes some 50 bytes then), of a slice of rows, and tokens counted at once.
+HASHED_BYTES, SLICE_BYTES, COUNTED_TOKENS = 1 << 17, 2 << 20, 1 << 20
 _END = 0x656E64
 
 
@@ -44,7 +47,8 @@ _PARTS[[0x20, *range(0x09, 0x0E)]] = True
 
 
 class _Powers:
-    """A random value for each byte, and the powers of an odd base and of its inverse, for places up to the longest chunk so far."""
+    """A random value for each byte, and the powers of an odd base and of its inverse, for as many places as were hashed at once
+    so far: ``HASHED_BYTES``, or the longest word."""
 
     def __init__(self):
         self.letter = np.random.default_rng(20261).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -70,7 +74,8 @@ def tokens(texts: pa.Array, powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of the tokens of all texts, the end of each text); an end token follows each text's words.
 
     The texts' bytes, as they lie behind one another in the array, are hashed in place: a word's hash is a polynomial of its
-    bytes' values, a difference of running sums brought to the power of its first place.
+    bytes' values, a difference of running sums brought to the power of its first place. The sums run over some words at a
+    time, so that their memory follows neither the texts nor their number.
     """
     wide = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
     _, offsets, data = texts.buffers()
@@ -86,18 +91,36 @@ def tokens(texts: pa.Array, powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
     first[cut] |= inside[cut]
     last[cut - 1] |= inside[cut - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = powers.upto(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(powers.letter[d] * up[:n], out=sums[1:])
-    found = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
     ends = np.searchsorted(start, edges[1:])
-    return np.insert(found, ends, np.uint64(_END)), ends + np.arange(1, len(ends) + 1)
+    found = np.full(len(start) + len(ends), np.uint64(_END))
+    ends += np.arange(len(ends))  # the places of the end tokens
+    word = np.ones(len(found), bool)
+    word[ends] = False
+    found[word] = _hashes(d, start, end, powers)
+    return found, ends + 1
+
+
+def _hashes(d: np.ndarray, start: np.ndarray, end: np.ndarray, powers: _Powers) -> np.ndarray:
+    """Of the words from ``start`` to ``end``, as many at a time as ``HASHED_BYTES`` hold, one at least."""
+    out = np.empty(len(start), np.uint64)
+    k = 0
+    while k < len(start):
+        at = start[k]
+        stop = max(k + 1, int(np.searchsorted(end, at + HASHED_BYTES, side="right")))
+        n = int(end[stop - 1] - at)
+        first, last = start[k:stop] - at, end[k:stop] - at
+        up, down = powers.upto(max(n, HASHED_BYTES) + 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(powers.letter[d[at : at + n]] * up[:n], out=sums[1:])
+        out[k:stop] = mix64((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+        k = stop
+    return out
 
 
-def _slices(batches, bytes_at_once: int):
-    """Some rows at a time, about so many bytes of them."""
+def _slices(batches):
+    """Some rows at a time, about ``SLICE_BYTES`` of them."""
     for b in batches:
-        step_rows = max(1, int(b.num_rows * bytes_at_once / max(1, b.nbytes)))
+        step_rows = max(1, int(b.num_rows * SLICE_BYTES / max(1, b.nbytes)))
         for at in range(0, b.num_rows, step_rows):
             yield b.slice(at, step_rows)
 
@@ -107,13 +130,22 @@ def is_held_out(id_col: str = "doc_id", folds: int = 7, fold: int = 2) -> Column
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """``token, c`` over all rows of ``docs`` (doc_id, text). Each chunk sends a token once. Staged."""
+    """``token, c`` over all rows of ``docs`` (doc_id, text). A task sends a token once for some ``COUNTED_TOKENS``. Staged."""
+
+    def counted(held):
+        found, n = np.unique(np.concatenate(held).view(np.int64), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["token", "c"])
 
     def work(batches):
-        powers = _worker_powers()
-        for some in _slices(batches, 8 << 20):
-            found, n = np.unique(tokens(some.column("text"), powers)[0].view(np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["token", "c"])
+        powers, held, n = _worker_powers(), [], 0
+        for some in _slices(batches):
+            held.append(tokens(some.column("text"), powers)[0])
+            n += len(held[-1])
+            if n >= COUNTED_TOKENS:
+                yield counted(held)
+                held, n = [], 0
+        if held:
+            yield counted(held)
 
     return stage(docs.mapInArrow(work, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")), "lm-counts")
 
@@ -219,13 +251,14 @@ def step(softmax: Softmax, squares: np.ndarray, at: np.ndarray, cls: np.ndarray,
     weights[0] -= rate * every / np.sqrt(squares[0])
 
 
-def _train(words: Vocabulary, weights: np.ndarray, rate: float):
+def _train(model: Broadcast, rate: float):
     def work(batches):
         from pyspark import TaskContext
 
+        words, weights = model.value
         powers, own, squares, n = _worker_powers(), weights.copy(), np.ones(len(weights), np.float32), 0
         softmax = Softmax(own, STEP_TOKENS)
-        for some in _slices(batches, 2 << 20):
+        for some in _slices(batches):
             found, ends = tokens(some.column("text"), powers)
             place = words.find(found)
             cls = np.where(place >= 0, words.of[place] if len(words.of) else 0, words.classes - 1)
@@ -234,11 +267,10 @@ def _train(words: Vocabulary, weights: np.ndarray, rate: float):
                 step(softmax, squares, at[k : k + STEP_TOKENS], cls[k : k + STEP_TOKENS], rate)
             n += len(found)
         if n:
-            own -= weights
-            change = own.astype(np.float16).reshape(PARTS, -1)
             task = TaskContext.get().partitionId()
-            columns = ([*range(PARTS)], [task % SALTS] * PARTS, [task] * PARTS, [n] * PARTS, [c.tobytes() for c in change])
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _CHANGE)], names=_NAMES)
+            for part, (now, was) in enumerate(zip(own.reshape(PARTS, -1), weights.reshape(PARTS, -1))):  # one part's bytes at a time
+                columns = ([part], [task % SALTS], [task], [n], [(now - was).astype(np.float16).tobytes()])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _CHANGE)], names=_NAMES)
 
     return work
 
@@ -288,11 +320,13 @@ def fit(docs: DataFrame, words: Vocabulary, rows: int, rounds: int = ROUNDS, rat
     tasks = math.ceil(words.total / (2 * weights.size))  # a task's change takes two bytes a weight, its texts some six a token
     for r in range(rounds):
         own = docs.coalesce(max(tasks, 1)).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == r)
-        changes = own.mapInArrow(_train(words, weights, rate), CHANGE)
+        model = docs.sparkSession.sparkContext.broadcast((words, weights))  # a worker holds it once, whatever the number of its tasks
+        changes = own.mapInArrow(_train(model, rate), CHANGE)
         salted = changes.repartition("part", "salt").sortWithinPartitions("part", "salt", "task").mapInArrow(_mean_of("salted"), CHANGE)
         means = salted.repartition("part").sortWithinPartitions("part", "salt").mapInArrow(_mean_of("all"), CHANGE)
         for row in means.collect():  # as many rows as there are parts of the weights
             weights.reshape(PARTS, -1)[row.part] += np.frombuffer(row.change, np.float16)
+        model.destroy()
     return weights
 
 
@@ -306,9 +340,12 @@ def rate(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> DataFrame:
     """What a pass over the texts gives for each row of ``docs`` (row, doc_id, text, held_out), and the tokens whose counts are
     still to be looked up. Staged."""
 
+    model = docs.sparkSession.sparkContext.broadcast((words, weights))
+
     def work(batches):
+        words, weights = model.value
         powers, softmax = _worker_powers(), Softmax(weights, SCORE_TOKENS)
-        for some in _slices(batches, 2 << 20):
+        for some in _slices(batches):
             found, ends = tokens(some.column("text"), powers)
             starts = np.concatenate(([0], ends[:-1]))
             place = words.find(found)
@@ -336,7 +373,9 @@ def rate(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> DataFrame:
                 names=["row", "doc_id", "held_out", "n_tokens", "n_frequent", "n_rare", "frequent_sum", "model_sum", "rare", "times"],
             )
 
-    return stage(docs.select("row", "doc_id", "text", "held_out").mapInArrow(work, RATED), "lm-rated")
+    rated = stage(docs.select("row", "doc_id", "text", "held_out").mapInArrow(work, RATED), "lm-rated")
+    model.destroy()
+    return rated
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, classes: int = CLASSES, rows: int | None = None, rounds: int = ROUNDS) -> DataFrame:

@@ -3,6 +3,7 @@ empty tables, extra columns with clashing names."""
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -359,6 +360,31 @@ def test_tokens_from_bytes():
     assert len(maxent.tokens(pa.array([], pa.string()), powers)[0]) == 0
 
 
+def test_hashing_memory_follows_a_piece_of_the_texts():
+    """Not all bytes given at once take wide sums and powers, and workers keep no powers of them; a longer word does."""
+    powers = maxent._Powers()
+    texts = pa.array([passage(2000, k) for k in range(40)] * 8)
+    maxent.tokens(texts.slice(0, 1), powers)
+    tracemalloc.start()
+    try:
+        found, ends = maxent.tokens(texts, powers)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 320 * 2001 and (np.diff(ends) == 2001).all() and texts.nbytes > 3 << 20
+    assert peak < 20 * texts.nbytes and len(powers.up) <= maxent.HASHED_BYTES + 1
+    whole, _ = maxent.tokens(pa.array([" ".join(["ab", "c" * maxent.HASHED_BYTES, "d" * (maxent.HASHED_BYTES + 9), "ab", "e"] * 2)]), powers)
+    assert (whole[:5] == whole[5:10]).all() and whole[0] == whole[3] and len(set(whole.tolist())) == 5
+
+
+def test_counts_of_tokens_in_several_turns(docs, monkeypatch):
+    """Whatever a task counts at once, and however small the slices, sums are those of all rows."""
+    want = sorted(map(tuple, maxent.counts(docs).collect()))
+    monkeypatch.setattr(maxent, "COUNTED_TOKENS", 50)
+    monkeypatch.setattr(maxent, "SLICE_BYTES", 300)
+    assert sorted(map(tuple, maxent.counts(docs).collect())) == want and sum(c for _, c in want) > 36000
+
+
 def test_rows_follow_the_vocabulary():
     sizes = [maxent.rows_for(n) for n in (0, 10, 70_000, 200_000, 1_000_000, 3_000_000, 10**9)]
     assert sizes == sorted(sizes) and sizes[0] == maxent.LEAST_ROWS and sizes[-1] == maxent.MOST_ROWS and len(set(sizes)) == 5
